@@ -27,10 +27,19 @@ def iso_text(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss")
 
 
+def slot(moment: Column, minutes: int) -> Column:
+    """Start of the slot of a day a moment falls in (``minutes`` divides a day).
+
+    ``date_trunc`` would go through the session time zone; counting minutes from
+    the date does not.
+    """
+    of_day = F.hour(moment) * 60 + F.minute(moment)
+    start = (F.floor(of_day / minutes) * minutes).cast("int")
+    return F.timestamp_add("MINUTE", start, moment.cast("date").cast("timestamp_ntz"))
+
+
 def half_hour(moment: Column) -> Column:
-    """Start of the half-hour slot a moment falls in."""
-    hour = F.date_trunc("hour", moment)
-    return F.when(F.minute(moment) < 30, hour).otherwise(hour + F.expr("INTERVAL 30 MINUTES"))
+    return slot(moment, 30)
 
 
 def month_start(moment: Column) -> Column:
