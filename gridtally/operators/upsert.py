@@ -103,3 +103,28 @@ def merge_partitions(target: DataFrame, source: DataFrame, how: Merge, partition
     """Replacement rows for the touched partitions only; write them with dynamic
     partition overwrite to a new or the same table."""
     return merge(touched(target, source, partition), source, how)
+
+
+# Key and overwritable columns of each dimension and mutable fact.
+ENTITIES = {
+    "customer": (["customer_id"], ["customer_number", "first_name", "last_name", "email", "customer_type", "status"]),
+    "account": (["account_id"], ["account_number", "account_status", "billing_cycle"]),
+    "location": (["premise_id"], ["premise_number", "address_line_1", "city", "state", "postal_code", "grid_zone"]),
+    "contract": (["contract_id"], ["contract_number", "commodity_type", "tariff_code", "status"]),
+    "meter": (["meter_id"], ["meter_type", "commodity_type", "status", "installation_date", "decommission_date"]),
+    "billing": (["bill_id"], ["bill_date", "due_date", "total_amount", "tax_amount", "bill_status"]),
+    "payment": (["payment_id"], ["payment_date", "amount", "payment_method", "payment_status"]),
+}
+
+
+def entity_merge(entity: str, columns: list[str], loaded_at: Column, stamp: str = "bq_update_timestamp", time: str = "event_timestamp") -> Merge:
+    """The merge every dimension and mutable fact shares: a change wins when it is
+    not older than the row's stamp, and stamps the row with the load time."""
+    keys, update = ENTITIES[entity]
+    return Merge(
+        keys=keys,
+        update=[c for c in update if c in columns],
+        guard=newer(stamp, time, or_equal=True),
+        on_update={stamp: loaded_at},
+        on_insert={c: loaded_at for c in ("bq_insert_timestamp", stamp) if c in columns},
+    )
