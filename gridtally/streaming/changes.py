@@ -41,12 +41,12 @@ def run_split(spark: SparkSession, source: str, out: str, checkpoint: str, inges
 
 def events(spark: SparkSession, out: str) -> DataFrame:
     """Latest event per table, key and operation over all batches so far."""
-    stored = spark.read.schema(schemas.CHANGE_EVENT).parquet(f"{out}/events")
+    stored = spark.read.schema(schemas.CHANGE_EVENT).parquet(f"{out}/events").drop("batch")
     return cdc.latest_events(stored)
 
 
 def errors(spark: SparkSession, out: str) -> DataFrame:
-    return spark.read.schema(schemas.CHANGE_ERROR).parquet(f"{out}/errors")
+    return spark.read.schema(schemas.CHANGE_ERROR).parquet(f"{out}/errors").drop("batch")
 
 
 def deduplicated(stream: DataFrame, keys: list[str], moment: str, delay: str) -> DataFrame:
