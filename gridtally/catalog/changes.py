@@ -73,7 +73,7 @@ def _(spark, folder):
     columns = {
         "reading_value": "double", "unit_of_measure": "string", "reading_type": "string", "quality_flag": "string", "read_at": "timestamp_ntz",
     }
-    return cdc.typed(valid_events(spark, folder), "meter_readings", columns)
+    return cdc.typed(valid_events(spark, folder), columns, "meter_readings")
 
 
 @query("cdc_counters", "SELECT count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS invalid FROM events")

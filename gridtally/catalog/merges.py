@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from gridtally.catalog.base_sql import ACCOUNTS, BILLS, CUSTOMERS, CUSTOMER_CHANGES, OPS_READINGS, PAYMENTS
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.catalog.warehouse import LATEST_READINGS
-from gridtally.functions import payload, times
-from gridtally.operators import dedup, upsert
+from gridtally.functions import times
+from gridtally.operators import cdc, dedup, upsert
 from gridtally.sources import adapters
 
 LOADED = "2026-01-01 00:00:00"
@@ -194,13 +194,9 @@ def _(spark, folder):
         "reading_id", "meter_id", "reading_value", F.col("reading_timestamp").alias("read_at"), times.at(EARLIER).alias("bq_insert_timestamp")
     )
     landed = adapters.ops_readings(spark, folder).select(F.to_json(F.struct("reading_id", "meter_id", "reading_value", "reading_timestamp")).alias("payload"))
-    record = payload.fields(F.col("payload"))
-    source = landed.withColumn("_r", record).select(
-        payload.field_text(F.col("_r"), "reading_id").alias("reading_id"),
-        payload.field_text(F.col("_r"), "meter_id").alias("meter_id"),
-        payload.field_text(F.col("_r"), "reading_value").try_cast("double").alias("reading_value"),
-        payload.field_text(F.col("_r"), "reading_timestamp").try_cast("timestamp_ntz").alias("read_at"),
-        times.at(LOADED).alias("bq_insert_timestamp"),
+    columns = {"reading_id": "string", "meter_id": "string", "reading_value": "double", "reading_timestamp": "timestamp_ntz"}
+    source = cdc.typed(landed, columns, keep=[]).withColumnRenamed("reading_timestamp", "read_at").withColumn(
+        "bq_insert_timestamp", times.at(LOADED)
     )
     return upsert.insert_new(target, source, ["reading_id"], "read_at", "reading_value", "meter_id")
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from gridtally.functions import payload, times
 from gridtally.operators import dedup
+from gridtally.operators.once import computed_once
 
 # Fixed values.
 CHANGE_SOURCE = "datastream_postgres"
@@ -59,20 +60,27 @@ def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = Fa
     The event time defaults to the ingestion time. ``raw`` keeps the input line.
     """
     arrived = times.at(ingested_at) if isinstance(ingested_at, str) else ingested_at
-    parsed = lines.select(F.col("value").alias("raw"), payload.fields(F.col("value")).alias("_r"), arrived.alias("ingestion_timestamp"))
+    lines = lines.select(F.col("value").alias("raw"), arrived.alias("ingestion_timestamp"))
+    parsed = computed_once(lines, ["raw", "ingestion_timestamp"], {"_r": payload.fields(F.col("raw"))})
     record = F.col("_r")
-    parsed = parsed.withColumn("source_table", payload.metadata_text(record, "table")).withColumn(
-        "operation", payload.metadata_text(record, "change_type")
+    table = payload.metadata_text(record, "table")
+    found = computed_once(
+        parsed,
+        ["raw", "ingestion_timestamp", "_r"],
+        {
+            "source_table": table,
+            "operation": payload.metadata_text(record, "change_type"),
+            "source_primary_key": _primary_key(record, table, guess_keys),
+            "_stamp": payload.metadata_text(record, "timestamp"),
+        },
     )
-    keyed = parsed.withColumn("source_primary_key", _primary_key(record, F.col("source_table"), guess_keys))
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
-    stamp = times.utc_stamp(payload.metadata_text(record, "timestamp"))
-    return keyed.select(
+    return found.select(
         F.lit(CHANGE_SOURCE).alias("source_system"),
         "source_table",
         "operation",
         "source_primary_key",
-        F.coalesce(stamp, F.col("ingestion_timestamp")).alias("event_timestamp"),
+        F.coalesce(times.utc_stamp(F.col("_stamp")), F.col("ingestion_timestamp")).alias("event_timestamp"),
         "ingestion_timestamp",
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.to_json(payload.data_fields(record)).alias("payload"),
@@ -98,16 +106,17 @@ def latest_events(events: DataFrame) -> DataFrame:
     return dedup.latest_per_key(events, keys, "ingestion_timestamp", "event_timestamp", "payload")
 
 
-def typed(events: DataFrame, table: str, columns: dict[str, str]) -> DataFrame:
-    """Payload fields of one table as typed columns; a bad value becomes NULL."""
-    own = events.filter(F.col("source_table") == table)
-    record = payload.fields(F.col("payload"))
-    return own.withColumn("_r", record).select(
-        "source_primary_key",
-        "operation",
-        "event_timestamp",
-        *[payload.field_text(F.col("_r"), name).try_cast(dtype).alias(name) for name, dtype in columns.items()],
-    )
+def typed(
+    events: DataFrame, columns: dict[str, str], table: str | None = None, keep: list[str] | None = None
+) -> DataFrame:
+    """Payload fields as typed columns; a bad value becomes NULL. ``table`` picks
+    the events of one table."""
+    own = events if table is None else events.filter(F.col("source_table") == table)
+    keep = ["source_primary_key", "operation", "event_timestamp"] if keep is None else keep
+    # Only the wanted fields are parsed, as text; a bad number must not spoil the record.
+    text_fields = ", ".join(f"`{name}` string" for name in columns)
+    parsed = computed_once(own, keep, {"_r": F.from_json("payload", text_fields)})
+    return parsed.select(*keep, *[F.col(f"_r.{name}").try_cast(dtype).alias(name) for name, dtype in columns.items()])
 
 
 def counters(normalized: DataFrame) -> DataFrame:

@@ -32,8 +32,11 @@ def first_flag(df: DataFrame, keys: list[str], row_id: list[str], flag: str) ->
     on the row id, so the rows of a hot key spread over all tasks instead of
     being sorted in one.
     """
-    first = F.min(F.struct(*[F.col(c).alias(f"_first_{c}") for c in row_id]))
-    firsts = df.groupBy(*keys).agg(first.alias("_first")).select("_first.*", F.lit(True).alias("_is_first"))
+    # A single number stays in a hash aggregation; several columns compare as a struct.
+    ident = F.struct(*[F.col(c).alias(f"_first_{c}") for c in row_id]) if len(row_id) > 1 else F.col(row_id[0])
+    found = df.groupBy(*keys).agg(F.min(ident).alias("_first"))
+    found = found.select("_first.*") if len(row_id) > 1 else found.select(F.col("_first").alias(f"_first_{row_id[0]}"))
+    firsts = found.withColumn("_is_first", F.lit(True))
     same = None
     for c in row_id:
         match = df[c].eqNullSafe(firsts[f"_first_{c}"])

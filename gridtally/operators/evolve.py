@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from gridtally.functions import payload
+from gridtally.operators.once import computed_once
 
 
 class IncompatibleSchemaError(ValueError):
@@ -78,7 +79,7 @@ def observed(events: DataFrame, table: str = "source_table", body: str = "payloa
     schemas, not of the data.
     """
     pairs = events.select(F.col(table).alias("table_name"), F.explode(payload.fields(F.col(body))).alias("field", "_v"))
-    typed = pairs.select("table_name", "field", payload.value_type(F.col("_v")).alias("dtype"))
+    typed = computed_once(pairs, ["table_name", "field"], {"dtype": payload.value_type(F.col("_v"))})
     return typed.filter(F.col("dtype").isNotNull()).distinct()
 
 
@@ -89,7 +90,8 @@ def type_errors(events: DataFrame, registered: DataFrame, row_id: str, table: st
     """
     values = events.select(
         row_id, F.col(table).alias("table_name"), F.explode(payload.fields(F.col(body))).alias("field", "_v")
-    ).withColumn("actual", payload.value_type(F.col("_v")))
+    )
+    values = computed_once(values, [row_id, "table_name", "field"], {"actual": payload.value_type(F.col("_v"))})
     checked = registered.filter(F.col("dtype").isin("int", "float", "str")).select(
         "table_name", "field", F.col("dtype").alias("expected")
     )

@@ -33,21 +33,49 @@ def valid_at(
     return joined.drop("_at_month", "_month", "_key")
 
 
-def period_days(periods: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """Distinct (key, start, end) periods, one row per day they cover (both ends in)."""
+def period_months(periods: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
+    """Distinct (key, start, end) periods, one row per month they touch.
+
+    Bills of one site often share a period, so this is bounded by the calendar
+    and not by the number of bills.
+    """
     distinct = periods.select(*keys, start, end).distinct().filter(F.col(start) <= F.col(end))
-    return distinct.withColumn("day", F.explode(F.expr(f"sequence({start}, {end}, interval 1 day)")))
+    months = F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("interval 1 month"))
+    return distinct.withColumn("_month", F.explode(months))
+
+
+def _covering(daily: DataFrame, periods: DataFrame, keys: list[str], start: str, end: str, how: str) -> DataFrame:
+    """Daily rows with the periods that contain them, matched month by month.
+
+    The optimizer does not see that the months multiply the period rows, so a
+    sort-merge join is asked for instead of trusting its size estimate with a
+    broadcast. A (site, month) has at most 31 daily rows.
+    """
+    cut = period_months(periods, keys, start, end).withColumnsRenamed({k: f"_p_{k}" for k in keys}).hint("merge")
+    placed = daily.withColumn("_day_month", F.trunc("day", "MM"))
+    on = (F.col("_day_month") == F.col("_month")) & F.col("day").between(F.col(start), F.col(end))
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_p_{k}"))
+    return placed.join(cut, on, how)
 
 
 def usage_in_periods(
     periods: DataFrame, daily: DataFrame, keys: list[str], start: str, end: str, usage: str, total: str
 ) -> DataFrame:
-    """Usage summed over each period of a list, from one row per key and day.
+    """Usage summed over each period of a list (both ends in), from one row per
+    key and day. Periods without any usage are left out."""
+    joined = _covering(daily.select(*keys, "day", usage), periods, keys, start, end, "inner")
+    return joined.groupBy(*keys, start, end).agg(F.sum(usage).alias(total))
+
 
-    Periods are deduplicated before they are cut into days and the join is on
-    (key, day), so neither a meter with many bills nor one with many readings
-    piles up in a task.
+def covered_days(daily: DataFrame, periods: DataFrame, keys: list[str], start: str, end: str, flag: str) -> DataFrame:
+    """Daily rows with a flag telling whether some period contains the day.
+
+    ``daily`` has one row per key and day. Grouping by the join's own columns
+    keeps its partitioning, so the flag costs no further shuffle.
     """
-    days = period_days(periods, keys, start, end)
-    joined = days.join(daily.select(*keys, "day", usage), [*keys, "day"])
-    return joined.groupBy(*keys, start, end).agg(F.sum(usage).alias(total))
+    joined = _covering(daily, periods, keys, start, end, "left")
+    kept = [c for c in daily.columns if c not in (*keys, "day")]
+    return joined.groupBy(*keys, "_day_month", "day").agg(
+        *[F.first(c).alias(c) for c in kept], F.max(F.col("_month").isNotNull()).alias(flag)
+    ).drop("_day_month")

@@ -73,10 +73,8 @@ def unbilled_readings(readings: DataFrame, bills: DataFrame, site: str, moment:
     daily = readings.groupBy(site, F.col(moment).cast("date").alias("day")).agg(
         F.count("*").alias("reading_count"), numbers.exact_sum(F.col(value)).alias("total_kwh")
     )
-    covered = ranges.period_days(bills, [site], "period_start", "period_end").select(site, "day").distinct()
-    return daily.join(covered.withColumn("_billed", F.lit(True)), [site, "day"], "left").select(
-        site, F.col("day").alias("read_date"), "reading_count", "total_kwh", F.col("_billed").isNotNull().alias("is_billed")
-    )
+    covered = ranges.covered_days(daily, bills, [site], "period_start", "period_end", "is_billed")
+    return covered.select(site, F.col("day").alias("read_date"), "reading_count", "total_kwh", "is_billed")
 
 
 def churn_signals(payments: DataFrame, bills: DataFrame, suspensions: DataFrame) -> DataFrame:
