@@ -124,7 +124,7 @@ def _(spark, folder):
 def _(spark, folder):
     path = session.fresh_path(spark, "fact")
     rows = gold(spark, folder).withColumn("processed_at", F.lit(AS_OF).cast("timestamp_ntz"))
-    sink.write_reading_fact(normalize.to_reading_fact(rows), path, per_partition=4)
+    sink.write_reading_fact(normalize.to_reading_fact(rows), path)
     return spark.read.parquet(path).groupBy("reading_date").agg(
         F.count("*").alias("rows"), F.countDistinct("source_household_id").alias("households")
     )

@@ -47,20 +47,18 @@ def land_batch(df: DataFrame, base: str, dataset: str, run_id: str, run_date: st
     return path
 
 
-def partitioned(df: DataFrame, path: str, partition: str, by: Column, cluster: list[str], per_partition: int = 1) -> None:
+def partitioned(df: DataFrame, path: str, partition: str, by: Column, cluster: list[str]) -> None:
     """Write ``df`` split by a derived partition column, clustered inside it.
 
-    Rows are hashed on the partition value and a salt from the cluster columns,
-    so a partition holding a large share of the rows is written by
-    ``per_partition`` tasks. Only the partitions present in ``df`` are replaced.
+    The rebalance lets adaptive execution choose the tasks from real sizes: small
+    days share one, a day that holds a large share of the rows is split over many,
+    even if all its rows have one cluster key. Only the partitions present in
+    ``df`` are replaced.
     """
-    salt = F.pmod(F.xxhash64(*cluster), F.lit(per_partition))
     (
         df.withColumn(partition, by)
-        .withColumn("_salt", salt)
-        .repartition(partition, "_salt")
+        .hint("rebalance", partition)
         .sortWithinPartitions(partition, *cluster)
-        .drop("_salt")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
@@ -68,16 +66,14 @@ def partitioned(df: DataFrame, path: str, partition: str, by: Column, cluster: l
     )
 
 
-def write_reading_fact(fact: DataFrame, path: str, per_partition: int = 1) -> None:
+def write_reading_fact(fact: DataFrame, path: str) -> None:
     """Reading fact by day, clustered by household."""
-    partitioned(
-        fact, path, "reading_date", F.col("reading_timestamp").cast("date"), ["source_household_id"], per_partition
-    )
+    partitioned(fact, path, "reading_date", F.col("reading_timestamp").cast("date"), ["source_household_id"])
 
 
-def write_monthly_fact(fact: DataFrame, path: str, day: str, cluster: list[str], per_partition: int = 1) -> None:
+def write_monthly_fact(fact: DataFrame, path: str, day: str, cluster: list[str]) -> None:
     """Billing, payment or consumption fact by month."""
-    partitioned(fact, path, "month", F.trunc(day, "MM"), cluster, per_partition)
+    partitioned(fact, path, "month", F.trunc(day, "MM"), cluster)
 
 
 def export_entity(df: DataFrame, root: str, name: str) -> tuple[str, str]:
