@@ -300,7 +300,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     events = adapters.table(spark, folder, "events").filter("event_type <> 'error'")
-    return ordered.sequence_gaps(events, "event_id", block=1000)
+    return ordered.sequence_gaps(events, "event_id")
 
 
 @query(

@@ -215,8 +215,8 @@ def _(spark, folder):
         return bills
 
     def write(df) -> None:
-        df.write.mode("append").parquet(f"{base}/rows")
+        df.write.mode("overwrite").parquet(f"{base}/rows/run=bf-1")
 
     for _attempt in range(2):
         pipelines.backfill(spark, base, "bf-1", "bills", load, "bill_date", "1996-01-01", "1996-12-31", write)
-    return spark.read.parquet(f"{base}/rows")
+    return spark.read.parquet(f"{base}/rows").drop("run")

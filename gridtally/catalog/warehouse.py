@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridtally import session
 from gridtally.catalog.base_sql import (
     ACCOUNTS, BILLS, CUSTOMERS, CUSTOMER_CHANGES, KEY60, METERS, OPS_READINGS, READINGS,
 )
@@ -209,7 +210,9 @@ def _(spark, folder):
 )
 def _(spark, folder):
     bills = adapters.bills(spark, folder).select("bill_id", "customer_id", "bill_date").withColumn("_at", F.col("bill_date").cast("timestamp_ntz"))
-    versions = customer_versions(spark, folder).select("customer_id", "customer_type", "valid_from", "valid_to")
+    # The history is a stored dimension; a join reads the table, it does not rebuild it.
+    versions = session.materialize(customer_versions(spark, folder), "dim-customer-history")
+    versions = versions.select("customer_id", "customer_type", "valid_from", "valid_to")
     return ranges.valid_at(bills, versions, "customer_id", "_at", "valid_from", "valid_to").drop("_at")
 
 

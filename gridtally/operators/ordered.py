@@ -1,9 +1,8 @@
-"""Previous and next row within a key, without sorting a whole key in one task.
+"""Questions about a row's neighbours in time, without sorting a whole key in one task.
 
-Rows are ordered inside (key, bucket) groups, where ``bucket`` is a coarse,
-monotone image of the first order column (a month, a block of numbers). Only the
-first and last row of each bucket are then compared across buckets. The result
-equals lag/lead over the whole key.
+Rows are ordered inside (key, bucket) groups, where the bucket is a monotone image
+of the first order column. Only one summary row per bucket is then compared across
+buckets. The result equals the same window over the whole key, whatever the bucket.
 """
 
 from __future__ import annotations
@@ -12,35 +11,63 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+ROWS_PER_BUCKET = 1_000_000
+
+
+def time_buckets(df: DataFrame, keys: list[str], moment: str, name: str = "_bucket", limit: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add a bucket: the month, or slices of it where a key is crowded.
+
+    The time a (key, month) with more than ``limit`` rows really spans is cut into
+    count / limit equal slices. At most (rows / limit) such groups exist, which
+    bounds what is broadcast.
+    """
+    month = F.trunc(F.col(moment).cast("date"), "MM")
+    span = F.timestamp_diff("MICROSECOND", F.col("_from"), F.col("_to")) + 1
+    crowded = (
+        df.groupBy(*keys, month.alias("_m"))
+        .agg(F.count("*").alias("_rows"), F.min(moment).alias("_from"), F.max(moment).alias("_to"))
+        .filter(F.col("_rows") > limit)
+        .select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_m", "_from", (span / F.ceil(F.col("_rows") / limit)).alias("_width"))
+    )
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys], month.eqNullSafe(F.col("_m")))
+    joined = df.join(F.broadcast(crowded), same, "left")
+    offset = F.timestamp_diff("MICROSECOND", F.col("_from"), F.col(moment))
+    slice_no = F.coalesce(F.floor(offset / F.col("_width")), F.lit(0))
+    return joined.select(*df.columns, F.struct(month.alias("month"), slice_no.alias("slice")).alias(name))
+
+
+def _join_back(rows: DataFrame, summary: DataFrame, group: list[str], wanted: list[Column]) -> DataFrame:
+    named = summary.select(*[F.col(c).alias(f"_e_{c}") for c in group], *wanted)
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in group])
+    return rows.join(named, same, "inner")
+
 
 def with_neighbours(
-    df: DataFrame, keys: list[str], order: list[str], bucket: Column, values: list[str],
+    df: DataFrame, keys: list[str], order: list[str], values: list[str], bucket: str,
     previous: str | None = None, following: str | None = None,
 ) -> DataFrame:
-    """Add struct columns holding ``values`` of the previous / following row."""
-    rows = df.withColumn("_bucket", bucket)
-    group = [*keys, "_bucket"]
-    sort_key = F.struct(*[F.col(c) for c in order])
-    picked = F.struct(*[F.col(c) for c in values])
+    """Add struct columns holding ``values`` of the previous / following row.
 
-    edges = rows.groupBy(*group).agg(
-        F.max(F.struct(sort_key.alias("at"), picked.alias("row"))).alias("_last"),
-        F.min(F.struct(sort_key.alias("at"), picked.alias("row"))).alias("_first"),
-    )
-    across = Window.partitionBy(*keys).orderBy("_bucket")
+    ``bucket`` names a column of ``df``. It stays in the result, whose rows are still
+    placed by key and bucket, so that a second question costs no second shuffle.
+    """
+    group = [*keys, bucket]
+    at = F.struct(*[F.col(c) for c in order]).alias("at")
+    picked = F.struct(*[F.col(c) for c in values])
+    edge = F.struct(at, picked.alias("row"))
+    edges = df.groupBy(*group).agg(F.max(edge).alias("_last"), F.min(edge).alias("_first"))
+    across = Window.partitionBy(*keys).orderBy(bucket)
     edges = edges.select(
-        *[F.col(c).alias(f"_e_{c}") for c in group],
-        F.lag("_last.row").over(across).alias("_before"),
-        F.lead("_first.row").over(across).alias("_after"),
+        *group, F.lag("_last.row").over(across).alias("_before"), F.lead("_first.row").over(across).alias("_after")
     )
 
     inside = Window.partitionBy(*group).orderBy(*order)
+    rows = df
     if previous:
         rows = rows.withColumn("_prev", F.lag(picked).over(inside))
     if following:
         rows = rows.withColumn("_next", F.lead(picked).over(inside))
-    same_bucket = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in group])
-    out = rows.join(edges, same_bucket, "inner")
+    out = _join_back(rows, edges, group, [F.col("_before"), F.col("_after")])
     columns = [F.col(c) for c in df.columns]
     if previous:
         columns.append(F.coalesce("_prev", "_before").alias(previous))
@@ -49,13 +76,32 @@ def with_neighbours(
     return out.select(*columns)
 
 
-def sequence_gaps(df: DataFrame, number: str, block: int = 1_000_000) -> DataFrame:
-    """Runs of missing numbers: first missing, last missing, how many."""
-    distinct = df.select(F.col(number).alias("_n")).distinct()
-    bucket = F.floor(F.col("_n") / block)
-    pairs = with_neighbours(distinct, [], ["_n"], bucket, ["_n"], following="_following")
-    return pairs.filter(F.col("_following._n") > F.col("_n") + 1).select(
+def carry_forward(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: str, name: str) -> DataFrame:
+    """Add the latest ``value`` that is not NULL at or before each row of its key."""
+    group = [*keys, bucket]
+    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = df.withColumn("_here", F.last(value, ignorenulls=True).over(inside))
+    at = F.struct(*[F.col(c) for c in order])
+    ends = df.groupBy(*group).agg(F.max_by(value, F.when(F.col(value).isNotNull(), at)).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*group, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    out = _join_back(rows, ends, group, [F.col("_carried")])
+    return out.select(*df.columns, F.coalesce("_here", "_carried").alias(name))
+
+
+def sequence_gaps(df: DataFrame, number: str, blocks: int = 10_000) -> DataFrame:
+    """Runs of missing numbers: first missing, last missing, how many.
+
+    The span of the numbers is cut into a fixed count of blocks, so the one
+    sequence that spans everything is compared over that many summary rows only.
+    """
+    distinct = df.filter(F.col(number).isNotNull()).select(F.col(number).alias("_n")).distinct()
+    low = df.agg(F.min(number)).scalar()
+    width = df.agg(F.greatest(F.ceil((F.max(number) - F.min(number) + 1) / blocks), F.lit(1))).scalar()
+    placed = distinct.withColumn("_block", F.floor((F.col("_n") - low) / width))
+    pairs = with_neighbours(placed, [], ["_n"], ["_n"], "_block", following="_then")
+    return pairs.filter(F.col("_then._n") > F.col("_n") + 1).select(
         (F.col("_n") + 1).alias("gap_start"),
-        (F.col("_following._n") - 1).alias("gap_end"),
-        (F.col("_following._n") - F.col("_n") - 1).alias("missing"),
+        (F.col("_then._n") - 1).alias("gap_end"),
+        (F.col("_then._n") - F.col("_n") - 1).alias("missing"),
     )

@@ -1,40 +1,44 @@
-"""Joins on an interval, turned into joins on equality.
-
-A range condition inside a hash join compares every pair of one key. Here the
-interval side is cut into calendar buckets first, so the join key is
-(key, bucket) and the rows of a hot key spread over its buckets.
-"""
+"""Joins on an interval, without comparing every pair of one key."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridtally.operators import ordered
+
 
 def valid_at(
     events: DataFrame, versions: DataFrame, key: str, moment: str, start: str, end: str, how: str = "inner",
+    limit: int = ordered.ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Each event with the version that was valid at its date.
+    """Each event with the version that was valid at its moment.
 
-    ``end`` is exclusive and NULL means still valid. Versions of one key do not
-    overlap, so cutting them into months adds at most one row per key and month.
-    Open versions reach up to the newest event, looked up once as a single value.
+    ``end`` is exclusive and NULL means still valid; versions of one key do not
+    overlap. Events and versions are put on one time line per key and the latest
+    version is carried forward, so the work is linear in both even for a key that
+    has very many of them.
     """
-    horizon = events.agg(F.max(F.col(moment).cast("date"))).scalar()
-    first_month = F.trunc(F.col(start).cast("date"), "MM")
-    last_month = F.trunc(F.least(F.coalesce(F.col(end).cast("date"), horizon), horizon), "MM")
-    cut = versions.withColumn("_from", first_month).withColumn("_to", last_month).filter("_from <= _to")
-    cut = cut.withColumn("_month", F.explode(F.expr("sequence(_from, _to, interval 1 month)"))).drop("_from", "_to")
-    cut = cut.withColumnRenamed(key, "_key")
-    placed = events.withColumn("_at_month", F.trunc(F.col(moment).cast("date"), "MM"))
-    inside = (F.col(moment) >= F.col(start)) & (F.col(end).isNull() | (F.col(moment) < F.col(end)))
-    joined = placed.join(
-        cut, (F.col(key) == F.col("_key")) & (F.col("_at_month") == F.col("_month")) & inside, how
+    attributes = [c for c in versions.columns if c != key]
+    known = versions.select(
+        key, F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.struct(*attributes).alias("_version"),
+        F.lit(None).cast(events.schema).alias("_event"),
+    )
+    asked = events.select(
+        key, F.col(moment).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(known.schema["_version"].dataType).alias("_version"),
+        F.struct(*events.columns).alias("_event"),
     )
-    return joined.drop("_at_month", "_month", "_key")
+    line = ordered.time_buckets(known.unionByName(asked), [key], "_t", limit=limit)
+    seen = ordered.carry_forward(line, [key], ["_t", "_kind"], "_version", "_bucket", "_found").filter("_kind = 1")
+    open_or_later = F.col(f"_found.{end}").isNull() | (F.col("_t") < F.col(f"_found.{end}"))
+    hit = F.when(F.col("_found").isNotNull() & open_or_later, F.col("_found"))
+    out = seen.withColumn("_hit", hit)
+    if how == "inner":
+        out = out.filter(F.col("_hit").isNotNull())
+    return out.select("_event.*", *[F.col(f"_hit.{c}").alias(c) for c in attributes])
 
 
 def period_months(periods: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:
-    """Distinct (key, start, end) periods, one row per month they touch.
+    """Distinct (key, start, end) periods, one row per calendar month they touch.
 
     Bills of one site often share a period, so this is bounded by the calendar
     and not by the number of bills.

@@ -93,7 +93,9 @@ def backfill(
 ) -> dict:
     """Reload a date range once: tag the rows, write them, record the run.
 
-    The range filter is applied here, whatever the source returns.
+    The range filter is applied here, whatever the source returns. ``write`` must
+    replace its own output (a folder of the run, or the partitions it touches), so
+    that a run lost between writing and recording can be repeated.
     """
     name = f"{table}_backfill"
     if already_done(spark, base, run_id, name):

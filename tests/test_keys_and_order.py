@@ -49,9 +49,9 @@ def test_surplus_copies(spark):
 def test_neighbours_do_not_depend_on_the_bucket(spark, width):
     data = hot_rows(4) + [(None, 3, 900), (None, 4, 901)]
     df = spark.createDataFrame(data, "k string, t int, n int")
-    out = ordered.with_neighbours(
-        df, ["k"], ["t", "n"], F.floor(F.col("t") / width), ["n"], previous="before", following="after"
-    )
+    placed = df.withColumn("b", F.floor(F.col("t") / width))
+    out = ordered.with_neighbours(placed, ["k"], ["t", "n"], ["n"], "b", previous="before", following="after")
+    assert out.columns == ["k", "t", "n", "b", "before", "after"]
     got = {r["n"]: (r["before"] and r["before"]["n"], r["after"] and r["after"]["n"]) for r in out.collect()}
     want = {}
     for key in {r[0] for r in data}:
@@ -64,8 +64,34 @@ def test_neighbours_do_not_depend_on_the_bucket(spark, width):
 def test_sequence_gaps(spark, rows):
     present = [1, 2, 3, 7, 8, 20, 20, 40]
     df = spark.createDataFrame([(n,) for n in present], "lsn bigint")
-    for block in (2, 5, 100):
-        assert rows(ordered.sequence_gaps(df, "lsn", block)) == [(21, 39, 19), (4, 6, 3), (9, 19, 11)]
+    for blocks in (1, 3, 1000):
+        assert rows(ordered.sequence_gaps(df, "lsn", blocks)) == [(21, 39, 19), (4, 6, 3), (9, 19, 11)]
+
+
+def test_crowded_months_are_sliced_in_order(spark):
+    start = dt.datetime(2024, 1, 1)
+    data = [("hot", start + dt.timedelta(minutes=7 * i)) for i in range(9000)] + [("cold", start), (None, None)]
+    df = spark.createDataFrame(data, "k string, at timestamp_ntz")
+    out = ordered.time_buckets(df, ["k"], "at", "b", limit=500)
+    sizes = out.groupBy("k", "b").agg(F.count("*").alias("n"), F.min("at").alias("a"), F.max("at").alias("z")).collect()
+    assert sum(r["n"] for r in sizes) == len(data) and max(r["n"] for r in sizes) <= 600
+    hot = sorted((r["b"]["month"], r["b"]["slice"], r["a"], r["z"]) for r in sizes if r["k"] == "hot")
+    assert len(hot) > 15 and all(x[3] < y[2] for x, y in zip(hot, hot[1:]))
+
+
+@pytest.mark.parametrize("width", [1, 9, 1000])
+def test_carry_forward(spark, width):
+    rnd = random.Random(9)
+    data = [(k, t, n, rnd.choice([None, None, f"v{n}"])) for k, t, n in hot_rows(8)]
+    df = spark.createDataFrame(data, "k string, t int, n int, v string").withColumn("b", F.floor(F.col("t") / width))
+    got = {r["n"]: r["seen"] for r in ordered.carry_forward(df, ["k"], ["t", "n"], "v", "b", "seen").collect()}
+    want = {}
+    for key in {r[0] for r in data}:
+        last = None
+        for _, n, v in sorted((t, n, v) for k, t, n, v in data if k == key):
+            last = v or last
+            want[n] = last
+    assert got == want
 
 
 def day(text: str):
@@ -75,7 +101,8 @@ def day(text: str):
 CHANGES = "k string, at timestamp_ntz, v string, n int, deleted boolean"
 
 
-def test_history(spark):
+@pytest.mark.parametrize("limit", [1, 2, 1000])
+def test_history(spark, limit):
     data = [
         ("a", day("2024-01-01"), "x", 1, False),
         ("a", day("2024-01-15"), "x", 2, False),
@@ -87,7 +114,7 @@ def test_history(spark):
         ("b", day("2024-01-02"), None, 8, False),
     ]
     df = spark.createDataFrame(data, CHANGES)
-    out = history.versions(df, "k", "at", ["v"], "n", F.col("deleted"))
+    out = history.versions(df, "k", "at", ["v"], "n", F.col("deleted"), limit=limit)
     got = sorted((r["k"], str(r["v"]), r["valid_from"], r["valid_to"], r["is_current"]) for r in out.collect())
     assert got == [
         ("a", "x", day("2024-01-01"), day("2024-02-01"), False),
@@ -111,7 +138,8 @@ def test_soft_delete(spark, rows):
     assert rows(history.soft_delete(now, gone, "k", "status", "at")) == [("a", "ACTIVE", None), ("b", "INACTIVE", 2)]
 
 
-def test_valid_at_matches_every_pair_tested(spark):
+@pytest.mark.parametrize("limit", [10, 100_000])
+def test_valid_at_matches_every_pair_tested(spark, limit):
     rnd = random.Random(5)
     base = dt.datetime(2023, 1, 1)
     cuts = sorted({rnd.randrange(800) for _ in range(12)})
@@ -123,11 +151,14 @@ def test_valid_at_matches_every_pair_tested(spark):
     events = [(n, rnd.choice(["hot", "hot", "cold"]), base + dt.timedelta(days=rnd.randrange(1000))) for n in range(300)]
     left = spark.createDataFrame(events, "n int, k string, at timestamp_ntz")
     right = spark.createDataFrame(versions, "k string, version string, valid_from timestamp_ntz, valid_to timestamp_ntz")
-    got = sorted((r["n"], r["version"]) for r in ranges.valid_at(left, right, "k", "at", "valid_from", "valid_to").collect())
+    out = ranges.valid_at(left, right, "k", "at", "valid_from", "valid_to", limit=limit)
+    got = sorted((r["n"], r["version"]) for r in out.collect())
     want = sorted(
         (n, v) for n, k, at in events for key, v, a, b in versions if key == k and a <= at and (b is None or at < b)
     )
     assert got == want and want
+    every = ranges.valid_at(left, right, "k", "at", "valid_from", "valid_to", how="left", limit=limit)
+    assert every.count() == 300 and every.filter("version is null").count() == 300 - len(want)
 
 
 def test_usage_and_coverage_match_every_pair_tested(spark):

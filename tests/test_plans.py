@@ -96,11 +96,11 @@ def test_flags_with_a_hot_key(spark, hot):
 
 def test_neighbours_with_a_hot_key_spread_by_bucket(spark, hot):
     spread = hot.withColumn("event_timestamp", F.timestamp_add("MINUTE", F.col("n").cast("int"), F.col("event_timestamp")))
-    hour = F.floor(F.unix_micros(F.col("event_timestamp").cast("timestamp")) / 3.6e9)
-    out = ordered.with_neighbours(spread, ["meter_id"], ["event_timestamp", "n"], hour, ["n"], previous="was")
+    timed = ordered.time_buckets(spread, ["meter_id"], "event_timestamp", limit=1000)
+    out = ordered.with_neighbours(timed, ["meter_id"], ["event_timestamp", "n"], ["n"], "_bucket", previous="was")
     assert out.count() == N
     assert out.filter(F.col("was").isNull()).count() == spread.select("meter_id").distinct().count()
-    assert largest_share(spread.withColumn("b", hour), "meter_id", "b") < 0.15
+    assert largest_share(timed, "meter_id", "_bucket") < 0.15 < largest_share(timed, "meter_id")
 
 
 def test_orphans_with_a_hot_missing_key(spark, hot):
