@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from gridtally.operators.ordered import ROWS_PER_BUCKET, time_buckets, with_neighbours
+from gridtally.operators.ordered import ROWS_PER_BUCKET, time_groups, with_neighbours
 
 # Attributes whose change starts a new version.
 TRACKED = {
@@ -33,14 +33,14 @@ def versions(
         .agg(latest.alias("_v"))
         .select(key, F.col(moment).alias("valid_from"), "_v.state", "_v.closed")
     )
-    timed = time_buckets(points, [key], "valid_from", limit=limit)
-    seen = with_neighbours(timed, [key], ["valid_from"], ["state", "closed"], "_bucket", previous="_was")
+    timed = time_groups(points, [key], "valid_from", limit=limit)
+    seen = with_neighbours(timed, [key], ["valid_from"], ["state", "closed"], "_group", previous="_was")
     starts = seen.filter(
         F.col("_was").isNull()
         | ~F.col("_was.state").eqNullSafe(F.col("state"))
         | (F.col("_was.closed") != F.col("closed"))
     ).drop("_was")
-    spans = with_neighbours(starts, [key], ["valid_from"], ["valid_from"], "_bucket", following="_then")
+    spans = with_neighbours(starts, [key], ["valid_from"], ["valid_from"], "_group", following="_then")
     return spans.filter(~F.col("closed")).select(
         key,
         *[F.col(f"state.{c}").alias(c) for c in tracked],

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 ROWS_PER_BUCKET = 1_000_000
 
 
-def time_buckets(df: DataFrame, keys: list[str], moment: str, name: str = "_bucket", limit: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add a bucket: the month, or slices of it where a key is crowded.
+def time_groups(df: DataFrame, keys: list[str], moment: str, name: str = "_group", limit: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Add a group of keys and bucket: the month, or slices of it where a key is crowded.
 
     The time a (key, month) with more than ``limit`` rows really spans is cut into
     count / limit equal slices. At most (rows / limit) such groups exist, which
@@ -33,41 +33,40 @@ def time_buckets(df: DataFrame, keys: list[str], moment: str, name: str = "_buck
     joined = df.join(F.broadcast(crowded), same, "left")
     offset = F.timestamp_diff("MICROSECOND", F.col("_from"), F.col(moment))
     slice_no = F.coalesce(F.floor(offset / F.col("_width")), F.lit(0))
-    return joined.select(*df.columns, F.struct(month.alias("month"), slice_no.alias("slice")).alias(name))
+    return joined.select(*df.columns, F.struct(*keys, month.alias("month"), slice_no.alias("slice")).alias(name))
 
 
-def _join_back(rows: DataFrame, summary: DataFrame, group: list[str], wanted: list[Column]) -> DataFrame:
-    named = summary.select(*[F.col(c).alias(f"_e_{c}") for c in group], *wanted)
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_e_{c}")) for c in group])
-    return rows.join(named, same, "inner")
+def _join_back(rows: DataFrame, summary: DataFrame, group: str, *wanted: str) -> DataFrame:
+    """Rows with their group's summary. The group is never NULL, so the join is a
+    plain equality and keeps the placement the window already asked for."""
+    return rows.join(summary.select(F.col(group).alias("_e"), *wanted), F.col(group) == F.col("_e"), "inner")
 
 
 def with_neighbours(
-    df: DataFrame, keys: list[str], order: list[str], values: list[str], bucket: str,
+    df: DataFrame, keys: list[str], order: list[str], values: list[str], group: str,
     previous: str | None = None, following: str | None = None,
 ) -> DataFrame:
     """Add struct columns holding ``values`` of the previous / following row.
 
-    ``bucket`` names a column of ``df``. It stays in the result, whose rows are still
-    placed by key and bucket, so that a second question costs no second shuffle.
+    ``group`` names a column made of the keys and a bucket. It stays in the result,
+    whose rows are still placed by it: a second question costs no second shuffle.
     """
-    group = [*keys, bucket]
     at = F.struct(*[F.col(c) for c in order]).alias("at")
     picked = F.struct(*[F.col(c) for c in values])
     edge = F.struct(at, picked.alias("row"))
-    edges = df.groupBy(*group).agg(F.max(edge).alias("_last"), F.min(edge).alias("_first"))
-    across = Window.partitionBy(*keys).orderBy(bucket)
+    edges = df.groupBy(*keys, group).agg(F.max(edge).alias("_last"), F.min(edge).alias("_first"))
+    across = Window.partitionBy(*keys).orderBy(group)
     edges = edges.select(
-        *group, F.lag("_last.row").over(across).alias("_before"), F.lead("_first.row").over(across).alias("_after")
+        group, F.lag("_last.row").over(across).alias("_before"), F.lead("_first.row").over(across).alias("_after")
     )
 
-    inside = Window.partitionBy(*group).orderBy(*order)
+    inside = Window.partitionBy(group).orderBy(*order)
     rows = df
     if previous:
         rows = rows.withColumn("_prev", F.lag(picked).over(inside))
     if following:
         rows = rows.withColumn("_next", F.lead(picked).over(inside))
-    out = _join_back(rows, edges, group, [F.col("_before"), F.col("_after")])
+    out = _join_back(rows, edges, group, "_before", "_after")
     columns = [F.col(c) for c in df.columns]
     if previous:
         columns.append(F.coalesce("_prev", "_before").alias(previous))
@@ -76,16 +75,15 @@ def with_neighbours(
     return out.select(*columns)
 
 
-def carry_forward(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: str, name: str) -> DataFrame:
+def carry_forward(df: DataFrame, keys: list[str], order: list[str], value: str, group: str, name: str) -> DataFrame:
     """Add the latest ``value`` that is not NULL at or before each row of its key."""
-    group = [*keys, bucket]
-    inside = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = df.withColumn("_here", F.last(value, ignorenulls=True).over(inside))
     at = F.struct(*[F.col(c) for c in order])
-    ends = df.groupBy(*group).agg(F.max_by(value, F.when(F.col(value).isNotNull(), at)).alias("_end"))
-    earlier = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*group, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
-    out = _join_back(rows, ends, group, [F.col("_carried")])
+    ends = df.groupBy(*keys, group).agg(F.max_by(value, F.when(F.col(value).isNotNull(), at)).alias("_end"))
+    earlier = Window.partitionBy(*keys).orderBy(group).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(group, F.last("_end", ignorenulls=True).over(earlier).alias("_carried"))
+    out = _join_back(rows, ends, group, "_carried")
     return out.select(*df.columns, F.coalesce("_here", "_carried").alias(name))
 
 

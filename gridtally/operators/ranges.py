@@ -27,8 +27,8 @@ def valid_at(
         key, F.col(moment).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(known.schema["_version"].dataType).alias("_version"),
         F.struct(*events.columns).alias("_event"),
     )
-    line = ordered.time_buckets(known.unionByName(asked), [key], "_t", limit=limit)
-    seen = ordered.carry_forward(line, [key], ["_t", "_kind"], "_version", "_bucket", "_found").filter("_kind = 1")
+    line = ordered.time_groups(known.unionByName(asked), [key], "_t", limit=limit)
+    seen = ordered.carry_forward(line, [key], ["_t", "_kind"], "_version", "_group", "_found").filter("_kind = 1")
     open_or_later = F.col(f"_found.{end}").isNull() | (F.col("_t") < F.col(f"_found.{end}"))
     hit = F.when(F.col("_found").isNotNull() & open_or_later, F.col("_found"))
     out = seen.withColumn("_hit", hit)

@@ -49,7 +49,7 @@ def test_surplus_copies(spark):
 def test_neighbours_do_not_depend_on_the_bucket(spark, width):
     data = hot_rows(4) + [(None, 3, 900), (None, 4, 901)]
     df = spark.createDataFrame(data, "k string, t int, n int")
-    placed = df.withColumn("b", F.floor(F.col("t") / width))
+    placed = df.withColumn("b", F.struct("k", F.floor(F.col("t") / width)))
     out = ordered.with_neighbours(placed, ["k"], ["t", "n"], ["n"], "b", previous="before", following="after")
     assert out.columns == ["k", "t", "n", "b", "before", "after"]
     got = {r["n"]: (r["before"] and r["before"]["n"], r["after"] and r["after"]["n"]) for r in out.collect()}
@@ -72,7 +72,7 @@ def test_crowded_months_are_sliced_in_order(spark):
     start = dt.datetime(2024, 1, 1)
     data = [("hot", start + dt.timedelta(minutes=7 * i)) for i in range(9000)] + [("cold", start), (None, None)]
     df = spark.createDataFrame(data, "k string, at timestamp_ntz")
-    out = ordered.time_buckets(df, ["k"], "at", "b", limit=500)
+    out = ordered.time_groups(df, ["k"], "at", "b", limit=500)
     sizes = out.groupBy("k", "b").agg(F.count("*").alias("n"), F.min("at").alias("a"), F.max("at").alias("z")).collect()
     assert sum(r["n"] for r in sizes) == len(data) and max(r["n"] for r in sizes) <= 600
     hot = sorted((r["b"]["month"], r["b"]["slice"], r["a"], r["z"]) for r in sizes if r["k"] == "hot")
@@ -83,7 +83,7 @@ def test_crowded_months_are_sliced_in_order(spark):
 def test_carry_forward(spark, width):
     rnd = random.Random(9)
     data = [(k, t, n, rnd.choice([None, None, f"v{n}"])) for k, t, n in hot_rows(8)]
-    df = spark.createDataFrame(data, "k string, t int, n int, v string").withColumn("b", F.floor(F.col("t") / width))
+    df = spark.createDataFrame(data, "k string, t int, n int, v string").withColumn("b", F.struct("k", F.floor(F.col("t") / width)))
     got = {r["n"]: r["seen"] for r in ordered.carry_forward(df, ["k"], ["t", "n"], "v", "b", "seen").collect()}
     want = {}
     for key in {r[0] for r in data}:

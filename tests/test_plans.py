@@ -96,11 +96,11 @@ def test_flags_with_a_hot_key(spark, hot):
 
 def test_neighbours_with_a_hot_key_spread_by_bucket(spark, hot):
     spread = hot.withColumn("event_timestamp", F.timestamp_add("MINUTE", F.col("n").cast("int"), F.col("event_timestamp")))
-    timed = ordered.time_buckets(spread, ["meter_id"], "event_timestamp", limit=1000)
-    out = ordered.with_neighbours(timed, ["meter_id"], ["event_timestamp", "n"], ["n"], "_bucket", previous="was")
+    timed = ordered.time_groups(spread, ["meter_id"], "event_timestamp", limit=1000)
+    out = ordered.with_neighbours(timed, ["meter_id"], ["event_timestamp", "n"], ["n"], "_group", previous="was")
     assert out.count() == N
     assert out.filter(F.col("was").isNull()).count() == spread.select("meter_id").distinct().count()
-    assert largest_share(timed, "meter_id", "_bucket") < 0.15 < largest_share(timed, "meter_id")
+    assert largest_share(timed, "_group") < 0.15 < largest_share(timed, "meter_id")
 
 
 def test_orphans_with_a_hot_missing_key(spark, hot):
