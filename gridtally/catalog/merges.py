@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridtally.catalog.base_sql import ACCOUNTS, BILLS, CUSTOMERS, CUSTOMER_CHANGES, OPS_READINGS, PAYMENTS
+from gridtally.catalog.base_sql import ACCOUNTS, BILLS, CONTRACTS, CUSTOMERS, CUSTOMER_CHANGES, METERS, OPS_READINGS, PAYMENTS
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.catalog.warehouse import LATEST_READINGS
 from gridtally.functions import times
@@ -237,3 +237,54 @@ def _(spark, folder):
     how = upsert.entity_merge("payment", target.columns, times.at(LOADED))
     merged = upsert.merge_latest(target, changes, how, "event_timestamp", "amount", "payment_status", operations=["INSERT", "UPDATE"])
     return merged.withColumn("amount", F.col("amount").cast("double"))
+
+
+# Entities whose merge is the shared one: the sample columns each has.
+SHARED = {
+    "contract": (adapters.contracts, CONTRACTS, "contracts", ["contract_id", "tariff_code", "commodity_type"], "commodity_type = 'GAS'"),
+    "meter": (adapters.meters, METERS, "meters", ["meter_id", "meter_type", "commodity_type", "status"], "status = 'ACTIVE'"),
+}
+
+
+def _register_shared(entity: str) -> None:
+    load, cte, name, columns, changed = SHARED[entity]
+    key, *rest = columns
+    picked = ", ".join(f"CASE WHEN {changed} THEN {c} ELSE 'BEFORE' END AS {c}" for c in rest)
+    sql = f"""SELECT {key}, {picked}, TIMESTAMP '2025-01-01' AS bq_insert_timestamp,
+      CASE WHEN {changed} THEN TIMESTAMP '2026-01-01' ELSE TIMESTAMP '2025-01-01' END AS bq_update_timestamp FROM {name}"""
+
+    @query(f"merge_{entity}", with_ctes([cte], sql))
+    def _(spark, folder):
+        """Rows the warehouse knows in an older state; the changes of some come too late."""
+        rows = load(spark, folder).select(*columns)
+        seen = times.at("2025-01-01 00:00:00")
+        target = rows.select(key, *[F.lit("BEFORE").alias(c) for c in rest]).withColumns(
+            {"bq_insert_timestamp": seen, "bq_update_timestamp": seen}
+        )
+        moment = F.when(F.expr(changed), times.at("2025-06-01 00:00:00")).otherwise(times.at("2024-06-01 00:00:00"))
+        changes = rows.withColumns({"operation": F.lit("UPDATE"), "event_timestamp": moment})
+        how = upsert.entity_merge(entity, target.columns, times.at(LOADED))
+        return upsert.merge_latest(target, changes, how, "event_timestamp", operations=cdc.UPSERTS)
+
+
+for _entity in SHARED:
+    _register_shared(_entity)
+
+
+@query(
+    "merge_location",
+    """SELECT 'PR-' || n_nationkey AS premise_id, n_name AS city, r_name AS grid_zone, TIMESTAMP '2026-01-01' AS bq_insert_timestamp,
+       TIMESTAMP '2026-01-01' AS bq_update_timestamp FROM nation JOIN region ON r_regionkey = n_regionkey""",
+)
+def _(spark, folder):
+    """Locations of an empty dimension are all inserted."""
+    region = adapters.table(spark, folder, "region")
+    places = adapters.table(spark, folder, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    changes = places.select(
+        F.concat(F.lit("PR-"), F.col("n_nationkey").cast("string")).alias("premise_id"), F.col("n_name").alias("city"),
+        F.col("r_name").alias("grid_zone"), F.lit("INSERT").alias("operation"), times.at(EARLIER).alias("event_timestamp"),
+    )
+    stamps = {"bq_insert_timestamp": times.at(EARLIER), "bq_update_timestamp": times.at(EARLIER)}
+    target = changes.filter("operation = 'NONE'").select("premise_id", "city", "grid_zone").withColumns(stamps)
+    how = upsert.entity_merge("location", target.columns, times.at(LOADED))
+    return upsert.merge_latest(target, changes, how, "event_timestamp", operations=cdc.UPSERTS)

@@ -11,7 +11,7 @@ from gridtally.catalog.registry import query, with_ctes
 from gridtally.operators import normalize
 from gridtally.plans import pipelines, warehouse
 from gridtally.sinks import files as sink
-from gridtally.sources import adapters, drops, files, readings
+from gridtally.sources import adapters, changes, drops, files, readings
 
 
 def write_source_csv(spark, folder) -> str:
@@ -53,6 +53,15 @@ def _(spark, folder):
     return scanned.agg(F.count("*").alias("rows")).withColumn("has_bytes", size)
 
 
+@query("cdc_change_lines", "SELECT event_type, count(*) AS lines FROM events GROUP BY 1")
+def _(spark, folder):
+    """Change files with a blank line after every record."""
+    path = session.fresh_path(spark, "change-files")
+    kind = adapters.table(spark, folder, "events").select(F.col("event_type").alias("value"))
+    kind.withColumn("value", F.explode(F.array("value", F.lit("  ")))).write.option("compression", "gzip").text(path)
+    return changes.change_lines(spark, path).groupBy(F.col("value").alias("event_type")).agg(F.count("*").alias("lines"))
+
+
 @query("gold_layer_roundtrip", with_ctes(GOLD_CHAIN, "SELECT * FROM gold"))
 def _(spark, folder):
     root = session.fresh_path(spark, "gold")

@@ -83,6 +83,17 @@ def _(spark, folder):
     return spark.read.parquet(f"{base}/out")
 
 
+@query("stream_reading_feed", "SELECT event_id AS reading_id, value FROM events")
+def _(spark, folder):
+    """The reading feed by its own event time, every reading delivered twice."""
+    base = session.fresh_path(spark, "feed")
+    once = _event_stream(spark, folder).select(F.col("event_id").alias("reading_id"), F.col("ts").alias("read_at"), "value")
+    kept = changes.entity_feed(once.union(once), "meter_reading", "1 hour").drop("read_at")
+    sink = kept.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+    sink.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @query(
     "stream_fact_append",
     """SELECT CAST(ts AS DATE) AS reading_date, count(*) AS rows, count(DISTINCT user_id) AS households FROM events GROUP BY 1""",

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtally import schemas
+from gridtally import schemas, session
 from gridtally.functions import times
 from gridtally.operators import normalize, quality
 from gridtally.sinks import files as sink
@@ -29,8 +29,7 @@ class Dataset:
 
 def _manifests(spark: SparkSession, base: str) -> DataFrame | None:
     path = f"{base}/_manifests"
-    jvm = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if not jvm.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm):
+    if not session.exists(spark, path):
         return None
     # run and dataset also appear as folder names; the columns inside win.
     return spark.read.schema(schemas.RUN_MANIFEST).option("recursiveFileLookup", "true").json(path)
@@ -128,15 +127,18 @@ def meter_batch(spark: SparkSession, csv: str, base: str, run_id: str, processed
     source = normalize.normalize_source(readings.source_csv(spark, csv), null_as_zero)
     sink.write_raw_chunks(normalize.accepted(source), f"{base}/raw/smartmeter", run_id)
     raw = readings.raw_run(spark, f"{base}/raw", run_id)
+    if raw.isEmpty():
+        raise ValueError(f"run {run_id} left no rows in any chunk")
     typed = normalize.standardize(raw, run_id, f"std-{run_id}", processed_at, null_as_zero)
     std_path = sink.write_snapshot(typed, f"{base}/standardized", run_id)
 
     positioned = readings.with_position(spark, std_path)
-    flagged = quality.flag_readings(positioned, ["source_path", "source_row"])
-    gold_path = sink.write_gold(flagged.drop("source_path", "source_row"), f"{base}/gold", run_id)
-    rejected = quality.rejects(flagged).drop("source_path", "source_row")
+    flagged = quality.flag_readings(positioned, ["source_path", "source_row"]).drop("source_path", "source_row")
+    # Three outputs come from the flags; they are computed once and stored.
+    flagged = session.materialize(flagged, "flagged")
+    gold_path = sink.write_gold(flagged, f"{base}/gold", run_id)
     dead_path = f"{base}/dead_letter/run={run_id}"
-    rejected.write.mode("overwrite").parquet(dead_path)
+    quality.rejects(flagged).write.mode("overwrite").parquet(dead_path)
     score = quality.scores(flagged).withColumn("run_at", times.at(processed_at))
     score.write.mode("overwrite").parquet(f"{base}/quality_runs/run={run_id}")
     return {"standardized": std_path, "gold": gold_path, "dead_letter": dead_path}

@@ -49,6 +49,12 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/gridtally/{label}-{uuid.uuid4().hex}"
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on whatever file system the path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtally import schemas
+from gridtally import schemas, session
 
 
 def source_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -43,8 +43,10 @@ def raw_run_bytes(df: DataFrame) -> DataFrame:
     return per_file.agg(F.count("*").alias("files"), F.sum("file_size").alias("bytes"))
 
 
-def layer(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Standardized or gold Parquet of one run."""
+def layer(spark: SparkSession, path: str | None, schema) -> DataFrame:
+    """Standardized or gold Parquet of one run; no rows when the run wrote none."""
+    if path is None or not session.exists(spark, path):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
 

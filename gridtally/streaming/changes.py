@@ -49,6 +49,27 @@ def errors(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(schemas.CHANGE_ERROR).parquet(f"{out}/errors").drop("batch")
 
 
+# Event-time column and identity of each entity's feed.
+FEEDS = {
+    "customer": ("updated_at", "customer_id"),
+    "account": ("updated_at", "account_id"),
+    "contract": ("updated_at", "contract_id"),
+    "service_point": ("updated_at", "service_point_id"),
+    "meter": ("updated_at", "meter_id"),
+    "meter_reading": ("read_at", "reading_id"),
+    "bill": ("bill_date", "bill_id"),
+    "payment": ("payment_date", "payment_id"),
+}
+
+
+def entity_feed(stream: DataFrame, entity: str, delay: str) -> DataFrame:
+    """An entity's feed with its own watermark, repeated deliveries dropped. A row
+    counts as repeated when both its identity and its event time repeat."""
+    moment, key = FEEDS[entity]
+    timed = stream.withColumn(moment, F.col(moment).cast("timestamp"))
+    return deduplicated(timed, [key, moment], moment, delay)
+
+
 def deduplicated(stream: DataFrame, keys: list[str], moment: str, delay: str) -> DataFrame:
     """Repeated deliveries dropped with bounded state: a repeat is recognized while
     it is within ``delay`` of the first."""
