@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from gridtally.catalog.base_sql import FLAGGED, GOLD_CHAIN, READINGS
+from gridtally.catalog.base_sql import GOLD_CHAIN, READINGS
 from gridtally.catalog.registry import query, with_ctes
-from gridtally.operators import dedup, normalize, quality
+from gridtally.operators import dedup, normalize, quality, reconcile
 from gridtally.plans import analytics, warehouse
 from gridtally.sources import adapters, readings as reading_files
 
@@ -317,8 +317,6 @@ def _(spark, folder):
       UNION ALL SELECT 'gold', stdor_to_u, count(*) FROM gold GROUP BY 1, 2"""),
 )
 def _(spark, folder):
-    from gridtally.operators import reconcile
-
     source = adapters.source_rows(spark, folder).withColumn("tariff", F.when(F.col("stdorToU") != "", F.col("stdorToU")))
     return reconcile.stage_counts(
         {
@@ -327,6 +325,3 @@ def _(spark, folder):
             "gold": (gold(spark, folder), "stdor_to_u"),
         }
     )
-
-
-__all__ = ["AS_OF", "FLAGGED", "flagged", "gold", "homes"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from gridtally.functions import numbers
 from gridtally.operators import dedup
@@ -90,8 +90,6 @@ def volume_alerts(runs: DataFrame, pipeline: str, day: str, rows: str, drop: flo
 
     The window runs over one row per pipeline and day, not over records.
     """
-    from pyspark.sql import Window
-
     daily = runs.groupBy(pipeline, day).agg(F.sum(rows).alias("records"))
     trailing = Window.partitionBy(pipeline).orderBy(day).rowsBetween(-days, -1)
     known = daily.withColumn("trailing_average", F.avg("records").over(trailing))
