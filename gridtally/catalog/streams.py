@@ -43,7 +43,10 @@ def _(spark, folder):
 
 
 def _event_stream(spark, folder):
+    """The events table as a stream; a large table is a folder of part files."""
     schema = adapters.table(spark, folder, "events").schema
+    if session.is_folder(spark, f"{folder}/events.parquet"):
+        return readings.file_stream(spark, f"{folder}/events.parquet", schema)
     return readings.file_stream(spark, folder, schema, "events.parquet")
 
 

@@ -33,25 +33,20 @@ TABLE_KEYS = {
 GUESSED_KEYS = ["customer_id", "account_id", "meter_id"]
 
 
-def _first_field(record: Column) -> Column:
-    names = F.map_keys(payload.data_fields(record))
-    return F.try_variant_get(record[F.try_element_at(names, F.lit(1))], "$", "string")
-
-
 def _primary_key(record: Column, table: Column, guess: bool) -> Column:
     """Key by the table's own key column, or by guessing from the field names.
 
-    Guessing takes the first of a few well-known id fields, which is wrong for
-    rows that also carry their parent's id, so it is an opt-in.
+    First the name of the key field is chosen, then one field is read. An unknown
+    table is keyed by its first field. Guessing takes the first of a few well-known
+    id fields, which is wrong for rows that also carry their parent's id, so it is
+    an opt-in.
     """
-    key = F.when(F.lit(False), F.lit(None).cast("string"))
     if guess:
-        for name in GUESSED_KEYS:
-            key = key.when(F.map_contains_key(record, name), payload.field_text(record, name))
+        names = F.coalesce(*[F.when(F.map_contains_key(record, name), F.lit(name)) for name in GUESSED_KEYS])
     else:
-        for owner, name in TABLE_KEYS.items():
-            key = key.when(table == owner, payload.field_text(record, name))
-    return key.otherwise(_first_field(record))
+        names = F.create_map(*[F.lit(x) for pair in TABLE_KEYS.items() for x in pair])[table]
+    first = F.try_element_at(F.map_keys(payload.data_fields(record)), F.lit(1))
+    return F.try_variant_get(record[F.coalesce(names, first)], "$", "string")
 
 
 def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = False) -> DataFrame:
@@ -64,15 +59,15 @@ def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = Fa
     parsed = computed_once(lines, ["raw", "ingestion_timestamp"], {"_r": payload.fields(F.col("raw"))})
     record = F.col("_r")
     table = payload.metadata_text(record, "table")
-    found = computed_once(
-        parsed,
-        ["raw", "ingestion_timestamp", "_r"],
-        {
-            "source_table": table,
-            "operation": payload.metadata_text(record, "change_type"),
-            "source_primary_key": _primary_key(record, table, guess_keys),
-            "_stamp": payload.metadata_text(record, "timestamp"),
-        },
+    found = parsed.select(
+        "raw",
+        "ingestion_timestamp",
+        record.isNull().alias("_no_object"),
+        table.alias("source_table"),
+        payload.metadata_text(record, "change_type").alias("operation"),
+        _primary_key(record, table, guess_keys).alias("source_primary_key"),
+        payload.metadata_text(record, "timestamp").alias("_stamp"),
+        F.to_json(payload.data_fields(record)).alias("payload"),
     )
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     return found.select(
@@ -83,8 +78,8 @@ def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = Fa
         F.coalesce(times.utc_stamp(F.col("_stamp")), F.col("ingestion_timestamp")).alias("event_timestamp"),
         "ingestion_timestamp",
         F.lit(SCHEMA_VERSION).alias("schema_version"),
-        F.to_json(payload.data_fields(record)).alias("payload"),
-        F.when(record.isNull(), NOT_AN_OBJECT)
+        "payload",
+        F.when(F.col("_no_object"), NOT_AN_OBJECT)
         .when(empty("source_table") | empty("operation"), NO_METADATA)
         .when(empty("source_primary_key"), NO_KEY)
         .alias("error"),

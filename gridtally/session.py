@@ -49,10 +49,20 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/gridtally/{label}-{uuid.uuid4().hex}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there, on whatever file system the path names."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    fs, where = _file_system(spark, path)
+    return fs.exists(where)
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    fs, where = _file_system(spark, path)
+    return fs.exists(where) and fs.getFileStatus(where).isDirectory()
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

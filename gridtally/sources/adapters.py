@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from gridtally.functions import times
 from gridtally.operators.normalize import READING_SOURCE
+from gridtally.operators.once import computed_once
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -254,14 +255,14 @@ def change_lines(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise(F.concat(F.lit("["), number, F.lit("]")))
     )
     account = F.concat(F.lit("ACC-"), user).alias("account_id")
-    return e.select(
+    text = (
         F.when(kind == "signup", F.to_json(F.struct(customer, account, F.lit("ACTIVE").alias("status"), meta("customers"))))
         .when(kind == "view", reading)
         .when(kind == "click", F.to_json(F.struct(meter, state, meta("meters", timed=False))))
         .when(kind == "purchase", F.to_json(F.struct(F.concat(F.lit("P"), number).alias("payment_id"), account, value.alias("amount"), meta("payments"))))
         .otherwise(broken)
-        .alias("value")
     )
+    return computed_once(e, [], {"value": text})
 
 
 def run_events(spark: SparkSession, folder: str) -> DataFrame:

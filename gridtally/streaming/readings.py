@@ -9,6 +9,7 @@ from gridtally.sinks import files as sink
 
 
 def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int = 100) -> DataFrame:
+    """New Parquet files of a folder."""
     return (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", pattern)
