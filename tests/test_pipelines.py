@@ -218,3 +218,13 @@ def test_daily_stream_with_late_rows_equals_batch(spark, tmp_path):
     run()
     got = sorted((str(r["day"]), r["total_kwh"], r["reading_count"]) for r in stream.daily_totals(spark, out).collect())
     assert got == [("2024-01-01", 0.3, 2), ("2024-01-02", 0.2, 1), ("2024-01-03", None, 0)]
+
+
+def test_streams_read_a_table_that_is_a_folder(spark, tmp_path):
+    from gridtally.catalog import QUERIES
+
+    shape = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    rows = [(i, dt.datetime(2024, 1, 1 + i % 3), i % 5, "view", 1.5, "{}") for i in range(30)]
+    spark.createDataFrame(rows, shape).repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    got = sorted((str(r["day"]), r["total_kwh"]) for r in QUERIES["stream_daily_consumption"](spark, str(tmp_path)).collect())
+    assert got == [("2024-01-01", 15.0), ("2024-01-02", 15.0), ("2024-01-03", 15.0)]
