@@ -6,9 +6,11 @@ import pytest
 from compare import difference, sql_connection
 
 import __spark_entry__ as entry
+from gridtally import catalog
 
 FOLDER = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES = {name: fn for name, fn in entry.queries().items() if name in catalog.QUERIES}
+ORACLES = catalog.ORACLES
 
 # Cross joins, pairwise loops and Python in the plan.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas", "FlatMapGroups")
