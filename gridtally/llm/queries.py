@@ -5,13 +5,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridtally.llm import decontaminate, sharding
+from gridtally import session
+from gridtally.llm import binary_ids, decontaminate, packing, sharding
 from gridtally.llm.common import prepare, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
 
 
+@query("op1_best_fit_packing")
+def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(prepare(spark), folder, "documents"))
+
+
+@query("op2_simple8b_ids")
+def simple8b_ids(spark: SparkSession, folder: str) -> DataFrame:
+    files = session.fresh_path(prepare(spark), "ids")
+    binary_ids.write(table(spark, folder, "documents"), files)
+    return binary_ids.index(spark, files)
+
+
 @query("op4_feistel_sharding")
 def feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(prepare(spark), folder, "documents"), shards=40)
