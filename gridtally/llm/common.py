@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import gridtally
 from gridtally import session
 
 #: Rows of one Arrow batch. Texts may be long, so a batch holds few of them.
@@ -16,8 +20,24 @@ ARROW_ROWS = 500
 SLICE_BYTES = 4 << 20
 
 
+def _ship(spark: SparkSession) -> None:
+    """Send this package to the executors, which run parts of it, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(gridtally.__file__).parent
+    # the driver serves this file as long as the application lives
+    folder = tempfile.mkdtemp(prefix="gridtally-code-")
+    context.addPyFile(shutil.make_archive(f"{folder}/gridtally", "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
+_SHIPPED: set[str] = set()
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings for operators that hand texts to Python tasks."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return session.configure(spark)
 

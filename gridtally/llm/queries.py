@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import session
-from gridtally.llm import binary_ids, decontaminate, packing, sharding
-from gridtally.llm.common import prepare, table
+from gridtally.llm import binary_ids, decontaminate, packing, quality, sharding, toxicity
+from gridtally.llm.common import prepare, remainder, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -25,11 +25,25 @@ def simple8b_ids(spark: SparkSession, folder: str) -> DataFrame:
     return binary_ids.index(spark, files)
 
 
+@query("op3_toxicity_automaton")
+def toxicity_automaton(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(prepare(spark), folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels, remainder("doc_id", 3) != 1)
+    return toxicity.score(docs, model).select("doc_id", (remainder("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op4_feistel_sharding")
 def feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(prepare(spark), folder, "documents"), shards=40)
 
 
+@query("op8_subword_quality")
+def subword_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(prepare(spark), folder, "documents"), table(spark, folder, "labels")
+    model = quality.fit(docs, labels, remainder("doc_id", 5) != 0)
+    return quality.score(docs, model).select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 # Words as the contract states them; the windows of an item shorter than 13 words is the item.
 _DECONTAMINATION_SQL = r"""
 WITH d AS (
