@@ -7,6 +7,7 @@ import tempfile
 from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,6 +85,64 @@ def over_batches(
     return df.mapInArrow(run, schema)
 
 
+#: Rows up to which the smaller side of a join with texts is broadcast.
+BROADCAST_ROWS = 2_000_000
+
+
+def looked_up(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join that leaves ``df`` in place when ``small``, a stored table of slim rows, is counted to be small.
+
+    Otherwise both sides are shuffled, and adaptive execution splits hot keys.
+    """
+    side = F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+    return df.join(side, on, how)
+
+
+def numbered_copy(df: DataFrame, label: str) -> DataFrame:
+    """A stored copy of ``df`` with a column ``_row``: numbers that stay with their rows."""
+    path = session.fresh_path(df.sparkSession, label)
+    stored = df.withColumn("_row", F.monotonically_increasing_id())
+    stored.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(stored.schema).parquet(path)
+
+
+_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def powers(base: int, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd ``base`` modulo 2^64 from 0 on, and their inverses."""
+    held = _POWERS.get(base)
+    if held is None or len(held[0]) < size:
+        n = max(size, 1 << 18)
+        held = tuple(
+            np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(n - 1, b, np.uint64), dtype=np.uint64)))
+            for b in (base, pow(base, -1, 1 << 64))
+        )
+        _POWERS[base] = held
+    return held[0][:size], held[1][:size]
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """Spread the bits of 64-bit values (a bijection)."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
+    return x ^ (x >> np.uint64(32))
+
+
+def run_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray, base: int) -> np.ndarray:
+    """Polynomial hashes of the runs values[begin:end], from running sums."""
+    up, down = powers(base, len(values) + 1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values.astype(np.uint64) * up[: len(values)], dtype=np.uint64)))
+    return mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def spans_of(inside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begins and ends of the runs of True."""
+    edge = np.concatenate(([False], inside, [False]))
+    turn = np.flatnonzero(edge[1:] != edge[:-1])
+    return turn[::2], turn[1::2]
+
+
 def remainder(column: str, divisor: int):
     """crc32 of the id written as text, modulo ``divisor``: which rows are held out."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % divisor

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import session
-from gridtally.llm import binary_ids, decontaminate, packing, quality, sharding, toxicity
+from gridtally.llm import binary_ids, decontaminate, line_dedup, packing, quality, sharding, toxicity
 from gridtally.llm.common import prepare, remainder, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
@@ -37,6 +37,33 @@ def feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(table(prepare(spark), folder, "documents"), shards=40)
 
 
+# A run of lines goes where it holds 30 characters and stands earlier, too. Shortest such
+# runs, from each line on and up to each line, cover all longer ones.
+_LINE_DEDUP_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS i FROM d WHERE ls IS NOT NULL),
+c AS (SELECT *, length(line) AS n, sum(length(line)) OVER (PARTITION BY doc_id ORDER BY i) AS total FROM l),
+runs AS (
+    SELECT a.doc_id, a.i AS s, min(b.i) AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.total >= a.total - a.n + 30 GROUP BY ALL
+    UNION
+    SELECT b.doc_id, max(a.i) AS s, b.i AS e FROM c a JOIN c b ON a.doc_id = b.doc_id AND b.i >= a.i AND b.total >= a.total - a.n + 30 GROUP BY b.doc_id, b.i),
+texts AS (SELECT doc_id, s, e, array_to_string(ls[s : e], chr(10)) AS run FROM runs JOIN d USING (doc_id)),
+later AS (SELECT doc_id, s, e FROM texts QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, s) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, e + 1)) AS i FROM later),
+kept AS (
+    SELECT doc_id, string_agg(line, chr(10) ORDER BY i) FILTER (g.i IS NULL) AS text, count(*) AS n_lines, count(g.i) AS n_removed
+    FROM l LEFT JOIN gone g USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op5_line_runs", _LINE_DEDUP_SQL)
+def line_runs(spark: SparkSession, folder: str) -> DataFrame:
+    made = line_dedup.dedup(table(prepare(spark), folder, "documents").select("doc_id", "text"))
+    return made.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 @query("op8_subword_quality")
 def subword_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(prepare(spark), folder, "documents"), table(spark, folder, "labels")
