@@ -10,14 +10,17 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
 from functools import lru_cache
 
 import numpy as np
 
 #: Pieces a worker remembers, and the longest of them in characters.
-REMEMBERED = 300_000
+REMEMBERED = 400_000
 LONGEST = 48
+#: Marks that often stand behind a word.
+MARKS = ".,;:!?%&$#*|)\""
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -42,6 +45,22 @@ def _folds_case(spec: dict) -> bool:
     return steps == ["NFC", "Replace", "Lowercase"]
 
 
+_BEYOND = re.compile("[^\u0000-\u012f\u0131-\u024f]")
+
+
+def _plain(text: str) -> bool:
+    """Text that lowers letter by letter and is in NFC, as nearly all below U+0250 is, without special tokens."""
+    if "<|" in text:
+        return False
+    if text.isascii():
+        return True
+    try:
+        text.encode("latin-1")  # the quickest test that most texts pass
+        return True
+    except UnicodeEncodeError:
+        return _BEYOND.search(text) is None
+
+
 class Encoder:
     """Encodes texts to little-endian unsigned 32-bit ids, the end id included."""
 
@@ -64,13 +83,22 @@ class Encoder:
         self.known.update(zip(pieces, (array("I", e.ids).tobytes() for e in encodings)))
 
     def _learn(self, pieces: list[str]) -> None:
-        simple, other = [], []
-        for p in pieces:
-            # below U+0250 text is in NFC and lowers letter by letter; "<|" may begin a special token
-            (simple if self.plain is not None and max(p) < "ɐ" and "İ" not in p and "<|" not in p else other).append(p)
-        for at in range(0, len(simple), 20_000):
-            some = simple[at : at + 20_000]
-            self._put(some, self.plain.encode_batch_fast([p.lower() for p in some], add_special_tokens=False))
+        if self.plain is None:
+            simple, other = [], pieces
+        else:
+            simple = [p for p in pieces if _plain(p)]
+            other = [p for p in pieces if not _plain(p)]
+        # letters and the marks behind them are encoded apart, so a word is met once
+        split = {p: (core, p[len(core) :].lower()) for p in simple if (core := p.lower().rstrip(MARKS)).isalpha()}
+        parts = {x for pair in split.values() for x in pair}
+        parts.update(p.lower() for p in simple if p not in split)
+        new = [p for p in parts if p not in self.known]
+        for at in range(0, len(new), 20_000):
+            some = new[at : at + 20_000]
+            self._put(some, self.plain.encode_batch_fast(some, add_special_tokens=False))
+        known = self.known
+        for p in simple:
+            known[p] = known[split[p][0]] + known[split[p][1]] if p in split else known[p.lower()]
         for at in range(0, len(other), 2_000):
             some = other[at : at + 2_000]
             self._put(some, self.whole.encode_batch_fast(some, add_special_tokens=False))
@@ -78,7 +106,7 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         if not self.by_piece:
             return [array("I", e.ids).tobytes() + self.end for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [(t.lower() if self.plain and _plain(t) else t).replace("\n", " ").split(" ") for t in texts]
         needed = set().union(*split)
         known = self.known
         if len(known) + len(needed) > 2 * REMEMBERED:
