@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import session
-from gridtally.llm import binary_ids, decontaminate, line_dedup, packing, quality, sharding, toxicity
+from gridtally.llm import binary_ids, decontaminate, line_dedup, near_dedup, packing, quality, sharding, toxicity
 from gridtally.llm.common import prepare, remainder, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
@@ -64,6 +64,11 @@ def line_runs(spark: SparkSession, folder: str) -> DataFrame:
     return made.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query("op6_order_minhash")
+def order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.class_of(table(prepare(spark), folder, "documents"))
+
+
 @query("op8_subword_quality")
 def subword_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(prepare(spark), folder, "documents"), table(spark, folder, "labels")
