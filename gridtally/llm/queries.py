@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import session
-from gridtally.llm import binary_ids, decontaminate, line_dedup, near_dedup, packing, quality, sharding, toxicity
+from gridtally.llm import binary_ids, decontaminate, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, toxicity
 from gridtally.llm.common import prepare, remainder, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
@@ -116,3 +116,9 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "item_ids"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+@query("op10_block_anchors")
+def block_anchors(spark: SparkSession, folder: str) -> DataFrame:
+    made = substring_dedup.dedup(table(prepare(spark), folder, "documents"))
+    return made.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
