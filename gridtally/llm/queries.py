@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import session
-from gridtally.llm import binary_ids, decontaminate, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, toxicity
+from gridtally.llm import binary_ids, decontaminate, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
 from gridtally.llm.common import prepare, remainder, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
@@ -69,6 +69,23 @@ def order_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.class_of(table(prepare(spark), folder, "documents"))
 
 
+_TOP_K_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+    SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+    FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 20
+"""
+
+
+@query("op7_impact_top_k", _TOP_K_SQL)
+def impact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(table(prepare(spark), folder, "embeddings"))
+
+
 @query("op8_subword_quality")
 def subword_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(prepare(spark), folder, "documents"), table(spark, folder, "labels")
