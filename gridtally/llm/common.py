@@ -68,6 +68,13 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def beside_text(docs: DataFrame, keep: tuple) -> tuple[DataFrame, str]:
+    """The kept columns and the text, sent once, and the text column's name."""
+    if "text" in keep:
+        return docs.select(*keep), "text"
+    return docs.select(*keep, F.col("text").alias("_text")), "_text"
+
+
 def over_batches(
     df: DataFrame, schema, work: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch] | pa.RecordBatch]
 ) -> DataFrame:

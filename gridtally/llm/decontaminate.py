@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridtally.llm.common import over_batches, text_bytes
+from gridtally.llm.common import beside_text, over_batches, text_bytes
 
 #: Bytes that become spaces, and A to Z that become a to z. Bytes from 0x80 on stay.
 _FOLD = bytes(
@@ -131,11 +131,12 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple = ("doc_id",), width
         shared = spark.sparkContext.broadcast(rows)
         groups.append((hashlib.sha256(repr(rows).encode()).hexdigest(), shared))
 
+    chosen, text = beside_text(docs, keep)
+
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n_words, n_hit, items, spans, bad = zip(*(_scan(t, groups, width) for t in text_bytes(batch.column("_text"))))
+        n_words, n_hit, items, spans, bad = zip(*(_scan(t, groups, width) for t in text_bytes(batch.column(text))))
         spans = [[dict(zip(("item_id", "start", "end"), s)) for s in of] for of in spans]
         made = [pa.array(v, k) for v, k in zip((n_words, n_hit, items, spans, bad), KINDS)]
         return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + made, names=[*keep, *NAMES])
 
-    chosen = docs.select(*keep, F.col("text").alias("_text"))
-    return over_batches(chosen, StructType(chosen.schema.fields[:-1] + StructType.fromDDL(RESULT).fields), work)
+    return over_batches(chosen, StructType(chosen.schema.fields[: len(keep)] + StructType.fromDDL(RESULT).fields), work)

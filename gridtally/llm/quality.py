@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridtally.llm.common import over_batches, text_bytes
+from gridtally.llm.common import beside_text, over_batches, text_bytes
 
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
@@ -216,12 +216,12 @@ def score(docs: DataFrame, model: Model, keep: tuple = ("doc_id",), threshold: f
     A null or empty text has no features and gets the bias alone.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per bucket
+    chosen, text = beside_text(docs, keep)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = shared.value.score(text_bytes(batch.column("_text")))
+        found = shared.value.score(text_bytes(batch.column(text)))
         columns = [pa.array(found, pa.float64()), pa.array((found >= threshold).astype(np.int32))]
         return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns, names=[*keep, "score", "predicted"])
 
-    chosen = docs.select(*keep, F.col("text").alias("_text"))
-    schema = StructType(chosen.schema.fields[:-1] + StructType.fromDDL("score double, predicted int").fields)
+    schema = StructType(chosen.schema.fields[: len(keep)] + StructType.fromDDL("score double, predicted int").fields)
     return over_batches(chosen, schema, work)

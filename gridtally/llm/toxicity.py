@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from gridtally.llm.common import over_batches, slices
+from gridtally.llm.common import beside_text, over_batches, slices
 from gridtally.llm.quality import sample
 
 #: Labelled rows of either label to learn from, at most.
@@ -396,16 +396,16 @@ def score(docs: DataFrame, model: Model, keep: tuple = ("doc_id",), threshold: f
     A hit's span holds character offsets of the text. A null or empty text has no hits.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the lexicon
+    chosen, text = beside_text(docs, keep)
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         model = shared.value
-        found = find(model.automaton, _texts(batch.column("_text")))
+        found = find(model.automaton, _texts(batch.column(text)))
         scores = np.array([model.score(n, hits) for n, hits in found])
         spans = [[{"start": h[0], "end": h[1], "term": model.terms[h[2]][0], "errors": h[3], "quoted": h[4]} for h in hits] for _, hits in found]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("term", pa.string()), ("errors", pa.int32()), ("quoted", pa.bool_())]))
         columns = [pa.array(scores, pa.float64()), pa.array((scores >= threshold).astype(np.int32)), pa.array(spans, kind)]
         return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + columns, names=[*keep, "score", "predicted", "hits"])
 
-    chosen = docs.select(*keep, F.col("text").alias("_text"))
     more = "score double, predicted int, hits array<struct<start: int, end: int, term: string, errors: int, quoted: boolean>>"
-    return over_batches(chosen, StructType(chosen.schema.fields[:-1] + StructType.fromDDL(more).fields), work)
+    return over_batches(chosen, StructType(chosen.schema.fields[: len(keep)] + StructType.fromDDL(more).fields), work)
