@@ -131,9 +131,13 @@ def _(spark, folder):
     with_ctes(GOLD_CHAIN, "SELECT CAST(event_timestamp AS DATE) AS reading_date, count(*) AS rows, count(DISTINCT household_id) AS households FROM gold GROUP BY 1"),
 )
 def _(spark, folder):
+    """Two runs that share their days, one of them repeated: the fact holds both once."""
     path = session.fresh_path(spark, "fact")
     rows = gold(spark, folder).withColumn("processed_at", F.lit(AS_OF).cast("timestamp_ntz"))
-    sink.write_reading_fact(normalize.to_reading_fact(rows), path)
+    fact = normalize.to_reading_fact(rows)
+    of_first = F.crc32(F.col("source_household_id").cast("binary")) % 2 == 0
+    for run, part in (("run-1", of_first), ("run-2", ~of_first), ("run-1", of_first)):
+        sink.write_reading_fact(fact.filter(part), path, run)
     return spark.read.parquet(path).groupBy("reading_date").agg(
         F.count("*").alias("rows"), F.countDistinct("source_household_id").alias("households")
     )
@@ -142,7 +146,7 @@ def _(spark, folder):
 @query("monthly_fact_layout", with_ctes([BILLS], "SELECT CAST(date_trunc('month', bill_date) AS DATE) AS month, count(*) AS bills FROM bills GROUP BY 1"))
 def _(spark, folder):
     path = session.fresh_path(spark, "bills")
-    sink.write_monthly_fact(adapters.bills(spark, folder), path, "bill_date", ["account_id"])
+    sink.write_monthly_fact(adapters.bills(spark, folder), path, "bill_date", ["account_id"], "run-1")
     return spark.read.parquet(path).groupBy("month").agg(F.count("*").alias("bills"))
 
 

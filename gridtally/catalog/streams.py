@@ -16,12 +16,21 @@ from gridtally.streaming import changes, readings
 
 def _split(spark, folder) -> str:
     base = session.fresh_path(spark, "changes")
-    # Several files, so that more than one micro-batch runs.
-    adapters.change_lines(spark, folder).repartition(4).write.text(f"{base}/in")
-    changes.run_split(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", INGESTED, files_per_batch=2)
+    adapters.change_lines(spark, folder).write.option("maxRecordsPerFile", 100_000).text(f"{base}/in")
+    changes.run_split(spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", INGESTED)
     return f"{base}/out"
 
 
+@query(
+    "stream_cdc_counters",
+    """SELECT count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS invalid, true AS all_read, CAST(0 AS BIGINT) AS read_errors FROM events""",
+)
+def _(spark, folder):
+    out = _split(spark, folder)
+    seen = changes.counters(spark, out.removesuffix("/out") + "/in", out)
+    return seen.select("processed", "invalid", (F.col("notifications") == F.col("files_read")).alias("all_read"), "read_errors")
+
+
 @query("stream_cdc_events", with_ctes([CHANGES, LATEST_CHANGES], "SELECT * FROM latest_changes"))
 def _(spark, folder):
     return changes.events(spark, _split(spark, folder))
@@ -66,25 +75,20 @@ def _(spark, folder):
        GROUP BY 1 HAVING date_trunc('day', min(ts)) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 6 HOUR FROM events)""",
 )
 def _(spark, folder):
-    """Days closed by the watermark."""
+    """Days that are over, late readings included."""
     base = session.fresh_path(spark, "windowed")
-    daily = readings.windowed_daily(_event_stream(spark, folder), "ts", "value", "6 hours")
-    sink = daily.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-    sink.trigger(availableNow=True).start().awaitTermination()
-    out = spark.read.parquet(f"{base}/out")
-    return out.select(F.col("day_start").cast("timestamp_ntz").alias("day_start"), F.col("total_kwh").cast("double").alias("total_kwh"), "reading_count")
+    readings.daily_partials(_event_stream(spark, folder), f"{base}/out", f"{base}/checkpoint", "ts", "value", "6 hours").awaitTermination()
+    out = readings.closed_days(spark, f"{base}/out", "6 hours")
+    return out.select("day_start", F.col("total_kwh").cast("double").alias("total_kwh"), "reading_count")
 
 
 @query("stream_dedup_deliveries", "SELECT event_id, event_type, value FROM events")
 def _(spark, folder):
     """Every event is delivered twice; one of each pair is kept."""
     base = session.fresh_path(spark, "deliveries")
-    once = _event_stream(spark, folder).select("event_id", "event_type", "value", F.col("ts").cast("timestamp").alias("at"))
-    twice = once.union(once)
-    kept = changes.deduplicated(twice, ["event_id"], "at", "1 hour").drop("at")
-    sink = kept.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-    sink.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    once = _event_stream(spark, folder).select("event_id", "event_type", "value", "ts")
+    changes.append_once(once.union(once), f"{base}/out", f"{base}/checkpoint", ["event_id"], "ts").awaitTermination()
+    return changes.stored_feed(spark, f"{base}/out").drop("ts")
 
 
 @query("stream_reading_feed", "SELECT event_id AS reading_id, value FROM events")
@@ -92,10 +96,8 @@ def _(spark, folder):
     """The reading feed by its own event time, every reading delivered twice."""
     base = session.fresh_path(spark, "feed")
     once = _event_stream(spark, folder).select(F.col("event_id").alias("reading_id"), F.col("ts").alias("read_at"), "value")
-    kept = changes.entity_feed(once.union(once), "meter_reading", "1 hour").drop("read_at")
-    sink = kept.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
-    sink.trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    changes.entity_feed(once.union(once), "meter_reading", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return changes.stored_feed(spark, f"{base}/out").drop("read_at")
 
 
 @query(

@@ -49,14 +49,16 @@ def _primary_key(record: Column, table: Column, guess: bool) -> Column:
     return F.try_variant_get(record[F.coalesce(names, first)], "$", "string")
 
 
-def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = False) -> DataFrame:
+def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Canonical events plus an ``error`` column that is NULL for good records.
 
-    The event time defaults to the ingestion time. ``raw`` keeps the input line.
+    The event time defaults to the ingestion time. ``raw`` keeps the input line, and
+    the columns named in ``keep`` go along.
     """
+    keep = keep or []
     arrived = times.at(ingested_at) if isinstance(ingested_at, str) else ingested_at
-    lines = lines.select(F.col("value").alias("raw"), arrived.alias("ingestion_timestamp"))
-    parsed = computed_once(lines, ["raw", "ingestion_timestamp"], {"_r": payload.fields(F.col("raw"))})
+    lines = lines.select(F.col("value").alias("raw"), arrived.alias("ingestion_timestamp"), *keep)
+    parsed = computed_once(lines, ["raw", "ingestion_timestamp", *keep], {"_r": payload.fields(F.col("raw"))})
     record = F.col("_r")
     table = payload.metadata_text(record, "table")
     found = parsed.select(
@@ -68,6 +70,7 @@ def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = Fa
         _primary_key(record, table, guess_keys).alias("source_primary_key"),
         payload.metadata_text(record, "timestamp").alias("_stamp"),
         F.to_json(payload.data_fields(record)).alias("payload"),
+        *keep,
     )
     empty = lambda c: F.coalesce(F.col(c), F.lit("")) == ""
     return found.select(
@@ -84,6 +87,7 @@ def normalize(lines: DataFrame, ingested_at: str | Column, guess_keys: bool = Fa
         .when(empty("source_primary_key"), NO_KEY)
         .alias("error"),
         "raw",
+        *keep,
     )
 
 

@@ -65,6 +65,13 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and fs.getFileStatus(where).isDirectory()
 
 
+def remove(spark: SparkSession, pattern: str) -> None:
+    """Delete the files and folders that a path or glob names, if there are any."""
+    fs, where = _file_system(spark, pattern)
+    for found in fs.globStatus(where) or []:
+        fs.delete(found.getPath(), True)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Cut lineage by writing ``df`` to the shared folder and reading it back.
 

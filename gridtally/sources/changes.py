@@ -4,17 +4,30 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gridtally.sources import files
+
 
 def change_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per non-blank line of the change files (gzip is read as is)."""
-    return spark.read.text(path).filter(F.trim("value") != "")
+    """One row per non-blank line of the change files (gzip is read as is).
+
+    An unreadable file gives no lines and stops nothing; ``unreadable`` finds it.
+    """
+    return spark.read.option("ignoreCorruptFiles", "true").text(path).filter(F.trim("value") != "")
+
+
+def unreadable(spark: SparkSession, path: str) -> DataFrame:
+    """Change files that hold bytes, but from which no record could be read: path, bytes."""
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(path).filter(F.trim("value") != "")
+    plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")  # noqa: E731  file:/x and file:///x are one file
+    read = lines.select(plain("_metadata.file_path").alias("_file")).distinct()
+    landed = files.listing(spark, path).filter("bytes > 0").withColumn("_file", plain("path"))
+    return landed.join(read, "_file", "left_anti").select("path", "bytes")
 
 
 def change_line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same lines as an unbounded source that picks up new files."""
-    return (
-        spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path).filter(F.trim("value") != "")
-    )
+    """The same lines, each with its file, as an unbounded source that picks up new files."""
+    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("ignoreCorruptFiles", "true").text(path)
+    return lines.select("value", F.col("_metadata.file_path").alias("source_file")).filter(F.trim("value") != "")
 
 
 def notified_paths(messages: DataFrame, body: str = "value") -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from gridtally import schemas
+from gridtally import schemas, session
 from gridtally.operators import cdc, dedup
-from gridtally.sources import changes
+from gridtally.sources import changes, files
 
 STATE_KEYS = ["source_table", "source_primary_key", "operation"]
 
@@ -20,11 +22,15 @@ def write_split(lines: DataFrame, out: str, checkpoint: str, ingested_at: str |
 
     def both(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        normalized = cdc.normalize(batch, ingested_at, guess_keys)
+        keep = [c for c in batch.columns if c == "source_file"]
+        normalized = cdc.normalize(batch, ingested_at, guess_keys, keep)
         # One parse per batch: the file is the hand-over to the two outputs.
         staged = f"{out}/normalized/batch={number}"
         normalized.write.mode("overwrite").parquet(staged)
         saved = spark.read.schema(normalized.schema).parquet(staged)
+        seen = saved.groupBy(*keep).agg(F.count(F.lit(1)).alias("processed"), F.count("error").alias("invalid"))
+        seen.write.mode("overwrite").parquet(f"{out}/counters/batch={number}")
+        saved = saved.drop(*keep)
         events = cdc.latest_events(cdc.valid(saved))
         events.write.mode("overwrite").parquet(f"{out}/events/batch={number}")
         cdc.invalid(saved).write.mode("overwrite").parquet(f"{out}/errors/batch={number}")
@@ -45,6 +51,22 @@ def events(spark: SparkSession, out: str) -> DataFrame:
     return cdc.latest_events(stored)
 
 
+def counters(spark: SparkSession, source: str, out: str) -> DataFrame:
+    """What the change stream has done so far: records, invalid ones, files announced,
+    read, and found unreadable (they hold bytes, but no record came from them)."""
+    seen = spark.read.schema("source_file string, processed bigint, invalid bigint").parquet(f"{out}/counters")
+    plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")  # noqa: E731  file:/x and file:///x are one file
+    per_file = seen.groupBy(plain("source_file").alias("_file")).agg(F.sum("processed").alias("processed"), F.sum("invalid").alias("invalid"))
+    landed = files.listing(spark, source).filter("bytes > 0").select(plain("path").alias("_file"))
+    return landed.join(per_file, "_file", "left").agg(
+        F.count(F.lit(1)).alias("notifications"),
+        F.count("processed").alias("files_read"),
+        F.count_if(F.col("processed").isNull()).alias("read_errors"),
+        F.coalesce(F.sum("processed"), F.lit(0)).cast("bigint").alias("processed"),
+        F.coalesce(F.sum("invalid"), F.lit(0)).cast("bigint").alias("invalid"),
+    )
+
+
 def errors(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(schemas.CHANGE_ERROR).parquet(f"{out}/errors").drop("batch")
 
@@ -62,26 +84,46 @@ FEEDS = {
 }
 
 
-def entity_feed(stream: DataFrame, entity: str, delay: str) -> DataFrame:
-    """An entity's feed with its own watermark, repeated deliveries dropped. A row
-    counts as repeated when both its identity and its event time repeat."""
+def entity_feed(stream: DataFrame, entity: str, out: str, checkpoint: str):
+    """Store an entity's feed, repeated deliveries dropped. A row counts as repeated
+    when both its identity and its event time repeat."""
     moment, key = FEEDS[entity]
-    timed = stream.withColumn(moment, F.col(moment).cast("timestamp"))
-    return deduplicated(timed, [key, moment], moment, delay)
+    return append_once(stream, out, checkpoint, [key], moment)
 
 
-def deduplicated(stream: DataFrame, keys: list[str], moment: str, delay: str) -> DataFrame:
-    """Repeated deliveries dropped with bounded state: a repeat is recognized while
-    it is within ``delay`` of the first."""
-    return stream.withWatermark(moment, delay).dropDuplicatesWithinWatermark(keys)
+def append_once(stream: DataFrame, out: str, checkpoint: str, keys: list[str], moment: str):
+    """Append rows whose keys and moment are not stored yet.
 
+    What is stored is what decides, not a watermark: files need not come in time
+    order, and a row is neither lost nor kept twice however late it comes. A batch
+    is compared with the stored rows of the days it touches only. Rows that lack a
+    key cannot be recognized and are all kept. A retried batch replaces itself.
+    """
+    identity = [*keys, moment]
 
-def counted(stream: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Attach processed / invalid counters; they appear in the query's progress."""
-    return (
-        stream.observe(name, F.count(F.lit(1)).alias("processed"), F.count("error").alias("invalid")),
-        name,
-    )
+    def load(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in identity])
+        dated = batch.withColumn("_day", F.col(moment).cast("date"))
+        rows = session.materialize(dated.filter(known).dropDuplicates(identity), "batch")
+        fresh = rows
+        if session.exists(spark, out):
+            stored = spark.read.schema(rows.schema).option("basePath", out).parquet(f"{out}/batch=*")
+            stored = stored.join(rows.select("_day").distinct(), "_day", "left_semi")
+            fresh = rows.join(stored.filter(~F.col("_metadata.file_path").contains(f"/batch={number}/")).select(*identity), identity, "left_anti")
+        (
+            session.materialize(fresh.unionByName(dated.filter(~known)), "fresh")
+            .write.mode("overwrite")
+            .partitionBy("_day")
+            .parquet(f"{out}/batch={number}")
+        )
+
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stored_feed(spark: SparkSession, out: str) -> DataFrame:
+    """All rows that ``append_once`` stored."""
+    return spark.read.option("basePath", out).parquet(out).drop("batch", "_day")
 
 
 def batch_counters(normalized: DataFrame) -> tuple[DataFrame, Observation]:

@@ -172,15 +172,10 @@ def test_counters_are_observed(spark, tmp_path):
 def test_stream_counters(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text("x\n" + json.dumps({"customer_id": "1", "_metadata": META}) + "\n")
-    raw = changes.change_line_stream(spark, str(tmp_path / "in"))
-    watched, name = stream.counted(cdc.normalize(raw, ARRIVED), "counters")
-    query = (
-        watched.writeStream.format("parquet").option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    rows = [p.observedMetrics[name] for p in query.recentProgress if name in p.observedMetrics]
-    assert sum(r["processed"] for r in rows) == 2 and sum(r["invalid"] for r in rows) == 1
+    out = str(tmp_path / "out")
+    stream.run_split(spark, str(tmp_path / "in"), out, str(tmp_path / "check"), ARRIVED)
+    seen = stream.counters(spark, str(tmp_path / "in"), out).first()
+    assert (seen["processed"], seen["invalid"], seen["files_read"], seen["read_errors"]) == (2, 1, 1, 0)
 
 
 def test_lag(spark):

@@ -168,14 +168,21 @@ def test_raw_chunks_hold_a_bounded_number_of_rows_and_skip_rows_without_meter(sp
     assert size["files"] == 3 and size["bytes"] == sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.endswith(".json"))
 
 
-def test_partition_writes_replace_only_their_days(spark, tmp_path):
+def test_partition_writes_append_and_replace_only_their_run(spark, tmp_path):
     path = str(tmp_path / "fact")
     shape = "source_household_id string, reading_timestamp timestamp_ntz, consumption_kwh double"
     rows = [(f"h{i % 7}", dt.datetime(2024, 1, 1 + i % 2), float(i)) for i in range(50)]
-    sink.write_reading_fact(spark.createDataFrame(rows, shape), path)
-    sink.write_reading_fact(spark.createDataFrame([("h", dt.datetime(2024, 1, 2), 1.0)], shape), path)
-    counts = {str(r["reading_date"]): r["count"] for r in spark.read.parquet(path).groupBy("reading_date").count().collect()}
-    assert counts == {"2024-01-01": 25, "2024-01-02": 1}
+    one = spark.createDataFrame([("h", dt.datetime(2024, 1, 2), 1.0)], shape)
+
+    def counts():
+        return {str(r["reading_date"]): r["count"] for r in spark.read.parquet(path).groupBy("reading_date").count().collect()}
+
+    for run, df in (("r1", spark.createDataFrame(rows, shape)), ("r2", one), ("r2", one)):
+        sink.write_reading_fact(df, path, run)
+    assert counts() == {"2024-01-01": 25, "2024-01-02": 26}
+    # the repeated first run has rows of one day only; its other day goes
+    sink.write_reading_fact(one, path, "r1")
+    assert counts() == {"2024-01-02": 2}
 
 
 def test_file_drop_reads_only_new_files(spark, tmp_path):

@@ -47,7 +47,7 @@ def test_partition_filter_prunes_files(spark, tmp_path):
     from gridtally.sinks import files as sink
 
     df = spark.range(40).selectExpr("cast(id as string) as account_id", "date_add(date'2024-01-01', cast(id * 5 as int)) as bill_date")
-    sink.write_monthly_fact(df, str(tmp_path / "f"), "bill_date", ["account_id"])
+    sink.write_monthly_fact(df, str(tmp_path / "f"), "bill_date", ["account_id"], "r1")
     text = plan(spark.read.parquet(str(tmp_path / "f")).filter("month = date'2024-02-01'"))
     assert re.search(r"PartitionFilters: \[.*month.*2024-02-01|PartitionFilters: \[.*month", text)
 
@@ -125,9 +125,9 @@ def test_hot_partition_is_written_by_several_tasks(spark, hot, tmp_path):
     wide = fact.withColumn("note", F.sha2(F.col("n").cast("string"), 512))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256KB")
     try:
-        sink.write_reading_fact(wide, str(tmp_path / "fact"))
+        sink.write_reading_fact(wide, str(tmp_path / "fact"), "r1")
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
-    files = os.listdir(tmp_path / "fact" / "reading_date=2024-01-01")
+    files = os.listdir(tmp_path / "fact" / "reading_date=2024-01-01" / "load_run=r1")
     assert len([f for f in files if f.endswith(".parquet")]) > 1
     assert spark.read.parquet(str(tmp_path / "fact")).count() == N // 3
