@@ -246,7 +246,7 @@ def _(spark, folder):
 @query(
     "volume_alert",
     """WITH d AS (SELECT event_type AS pipeline_name, CAST(ts AS DATE) AS run_date, count(*) AS records FROM events GROUP BY 1, 2),
-       t AS (SELECT *, avg(records) OVER (PARTITION BY pipeline_name ORDER BY run_date ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS trailing_average FROM d)
+       t AS (SELECT *, avg(records) OVER (PARTITION BY pipeline_name ORDER BY run_date RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING) AS trailing_average FROM d)
        SELECT pipeline_name, run_date, records, trailing_average FROM t WHERE records < 0.8 * trailing_average""",
 )
 def _(spark, folder):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from gridtally import session
 from gridtally.operators.ordered import ROWS_PER_BUCKET, time_groups, with_neighbours
 
 # Attributes whose change starts a new version.
@@ -33,6 +34,7 @@ def versions(
         .agg(latest.alias("_v"))
         .select(key, F.col(moment).alias("valid_from"), "_v.state", "_v.closed")
     )
+    points = session.materialize(points, "points")  # looked at several times below
     timed = time_groups(points, [key], "valid_from", limit=limit)
     seen = with_neighbours(timed, [key], ["valid_from"], ["state", "closed"], "_group", previous="_was")
     starts = seen.filter(

@@ -38,7 +38,7 @@ def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key
 
 def without_match(source: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows whose key is not in ``existing`` yet."""
-    return source.join(existing.select(*keys).distinct(), keys, "left_anti")
+    return source.join(existing.select(*keys), keys, "left_anti")
 
 
 def mismatches(left: DataFrame, right: DataFrame, key: str, left_value: str, right_value: str) -> DataFrame:

@@ -11,28 +11,35 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from gridtally import session
+
 ROWS_PER_BUCKET = 1_000_000
 
 
 def time_groups(df: DataFrame, keys: list[str], moment: str, name: str = "_group", limit: int = ROWS_PER_BUCKET) -> DataFrame:
     """Add a group of keys and bucket: the month, or slices of it where a key is crowded.
 
-    The time a (key, month) with more than ``limit`` rows really spans is cut into
-    count / limit equal slices. At most (rows / limit) such groups exist, which
-    bounds what is broadcast.
+    A (key, month) with more than ``limit`` rows is cut at quantiles of its rows, so
+    slices hold about equally many rows however these are spread over the month; only
+    rows of one instant stay together. Usually one cheap count finds no crowded group
+    and nothing more is done.
     """
     month = F.trunc(F.col(moment).cast("date"), "MM")
-    span = F.timestamp_diff("MICROSECOND", F.col("_from"), F.col("_to")) + 1
-    crowded = (
-        df.groupBy(*keys, month.alias("_m"))
-        .agg(F.count("*").alias("_rows"), F.min(moment).alias("_from"), F.max(moment).alias("_to"))
-        .filter(F.col("_rows") > limit)
-        .select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_m", "_from", (span / F.ceil(F.col("_rows") / limit)).alias("_width"))
+    sizes = df.groupBy(*keys, month.alias("_m")).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > limit)
+    most = sizes.agg(F.max("_rows")).first()[0]
+    if most is None:
+        return df.select("*", F.struct(*keys, month.alias("month"), F.lit(0).cast("bigint").alias("slice")).alias(name))
+    slices = min(1000, -(-most // limit))
+    at = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(moment).cast("timestamp_ntz"))
+    same = [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys]
+    crowded = sizes.select(*[F.col(k).alias(f"_c_{k}") for k in keys], "_m")
+    inside = df.join(crowded, reduce(lambda a, b: a & b, same, month.eqNullSafe(F.col("_m"))), "left_semi")
+    cuts = inside.groupBy(*[F.col(k).alias(f"_c_{k}") for k in keys], month.alias("_m")).agg(
+        F.percentile_approx(at, [i / slices for i in range(1, slices)] or [0.5], F.lit(10 * slices)).alias("_cuts")
     )
-    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_c_{k}")) for k in keys], month.eqNullSafe(F.col("_m")))
-    joined = df.join(F.broadcast(crowded), same, "left")
-    offset = F.timestamp_diff("MICROSECOND", F.col("_from"), F.col(moment))
-    slice_no = F.coalesce(F.floor(offset / F.col("_width")), F.lit(0))
+    joined = df.join(cuts, reduce(lambda a, b: a & b, same, month.eqNullSafe(F.col("_m"))), "left")
+    slice_no = F.coalesce(F.size(F.filter("_cuts", lambda c: c <= at)).cast("bigint"), F.lit(0))
+    slice_no = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(slice_no).cast("bigint")
     return joined.select(*df.columns, F.struct(*keys, month.alias("month"), slice_no.alias("slice")).alias(name))
 
 
@@ -87,16 +94,15 @@ def carry_forward(df: DataFrame, keys: list[str], order: list[str], value: str,
     return out.select(*df.columns, F.coalesce("_here", "_carried").alias(name))
 
 
-def sequence_gaps(df: DataFrame, number: str, blocks: int = 10_000) -> DataFrame:
+def sequence_gaps(df: DataFrame, number: str) -> DataFrame:
     """Runs of missing numbers: first missing, last missing, how many.
 
-    The span of the numbers is cut into a fixed count of blocks, so the one
-    sequence that spans everything is compared over that many summary rows only.
+    The numbers are dealt out by sampled ranges, which hold about equally many of them
+    even if a few stray far off, and a stored copy fixes that placement. The one
+    sequence that spans everything is compared over one summary row per range.
     """
     distinct = df.filter(F.col(number).isNotNull()).select(F.col(number).alias("_n")).distinct()
-    low = df.agg(F.min(number)).scalar()
-    width = df.agg(F.greatest(F.ceil((F.max(number) - F.min(number) + 1) / blocks), F.lit(1))).scalar()
-    placed = distinct.withColumn("_block", F.floor((F.col("_n") - low) / width))
+    placed = session.materialize(distinct.repartitionByRange("_n").withColumn("_block", F.spark_partition_id()), "numbers")
     pairs = with_neighbours(placed, [], ["_n"], ["_n"], "_block", following="_then")
     return pairs.filter(F.col("_then._n") > F.col("_n") + 1).select(
         (F.col("_n") + 1).alias("gap_start"),

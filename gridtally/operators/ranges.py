@@ -16,25 +16,23 @@ def valid_at(
     ``end`` is exclusive and NULL means still valid; versions of one key do not
     overlap. Events and versions are put on one time line per key and the latest
     version is carried forward, so the work is linear in both even for a key that
-    has very many of them.
+    has very many of them. Only the distinct (key, moment) pairs go onto the line, so
+    an instant at which very many events happen is one point there; the events then
+    look their point up, a join that adaptive execution splits where it is crowded.
+    A NULL key, moment or start matches nothing.
     """
     attributes = [c for c in versions.columns if c != key]
-    known = versions.select(
-        key, F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.struct(*attributes).alias("_version"),
-        F.lit(None).cast(events.schema).alias("_event"),
-    )
-    asked = events.select(
-        key, F.col(moment).alias("_t"), F.lit(1).alias("_kind"), F.lit(None).cast(known.schema["_version"].dataType).alias("_version"),
-        F.struct(*events.columns).alias("_event"),
+    known = versions.filter(F.col(key).isNotNull() & F.col(start).isNotNull()).select(
+        key, F.col(start).alias("_t"), F.lit(0).alias("_kind"), F.struct(*attributes).alias("_version")
     )
+    points = events.filter(F.col(key).isNotNull() & F.col(moment).isNotNull()).select(key, F.col(moment).alias("_t")).distinct()
+    asked = points.select(key, "_t", F.lit(1).alias("_kind"), F.lit(None).cast(known.schema["_version"].dataType).alias("_version"))
     line = ordered.time_groups(known.unionByName(asked), [key], "_t", limit=limit)
     seen = ordered.carry_forward(line, [key], ["_t", "_kind"], "_version", "_group", "_found").filter("_kind = 1")
     open_or_later = F.col(f"_found.{end}").isNull() | (F.col("_t") < F.col(f"_found.{end}"))
-    hit = F.when(F.col("_found").isNotNull() & open_or_later, F.col("_found"))
-    out = seen.withColumn("_hit", hit)
-    if how == "inner":
-        out = out.filter(F.col("_hit").isNotNull())
-    return out.select("_event.*", *[F.col(f"_hit.{c}").alias(c) for c in attributes])
+    hits = seen.filter(F.col("_found").isNotNull() & open_or_later).select(F.col(key).alias("_k"), "_t", F.col("_found").alias("_hit"))
+    out = events.join(hits, (F.col(key) == F.col("_k")) & (F.col(moment) == F.col("_t")), "inner" if how == "inner" else "left")
+    return out.select(*[events[c] for c in events.columns], *[F.col(f"_hit.{c}").alias(c) for c in attributes])
 
 
 def period_months(periods: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:

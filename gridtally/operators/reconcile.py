@@ -46,10 +46,16 @@ def billed_variance(bills: DataFrame, daily_usage: DataFrame, site: str, start:
 
 
 def fingerprint(df: DataFrame, key: str, bucket) -> DataFrame:
-    """Row count and order-free hash of the keys per bucket."""
+    """Row count and order-free digest of the keys per bucket.
+
+    Equal keys cancel in an exclusive or, so the sum of the hashes stands beside it.
+    """
+    hashed = F.xxhash64(F.col(key).cast("string"))
     return df.groupBy(bucket.alias("bucket")).agg(
-        F.count("*").alias("rows"), F.bit_xor(F.xxhash64(F.col(key).cast("string"))).alias("digest")
-    )
+        F.count("*").alias("rows"),
+        F.bit_xor(hashed).alias("_xor"),
+        F.sum(hashed.cast("decimal(20,0)")).alias("_sum"),
+    ).select("bucket", "rows", F.struct("_xor", "_sum").alias("digest"))
 
 
 def compare(source: DataFrame, target: DataFrame, key: str, source_bucket, target_bucket) -> DataFrame:

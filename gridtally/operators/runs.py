@@ -86,11 +86,13 @@ def stage_summary(ingested: DataFrame, standardized: DataFrame, gold: DataFrame,
 
 
 def volume_alerts(runs: DataFrame, pipeline: str, day: str, rows: str, drop: float = 0.20, days: int = 7) -> DataFrame:
-    """Days whose volume is more than ``drop`` below the trailing average.
+    """Days whose volume is more than ``drop`` below the average of the ``days`` before.
 
-    The window runs over one row per pipeline and day, not over records.
+    The window runs over one row per pipeline and day, not over records, and counts
+    days of the calendar: a day without a run is no day of the average.
     """
     daily = runs.groupBy(pipeline, day).agg(F.sum(rows).alias("records"))
-    trailing = Window.partitionBy(pipeline).orderBy(day).rowsBetween(-days, -1)
+    number = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
+    trailing = Window.partitionBy(pipeline).orderBy(number).rangeBetween(-days, -1)
     known = daily.withColumn("trailing_average", F.avg("records").over(trailing))
     return known.filter(F.col("records") < (1 - drop) * F.col("trailing_average"))

@@ -8,7 +8,7 @@ are read and replaced.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -48,8 +48,23 @@ def differs(column: str) -> Guard:
     return lambda t, s: ~t(column).eqNullSafe(s(column))
 
 
+def keyed(keys: list[str]) -> Column:
+    """Whether a row has all of its keys."""
+    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+
+
+def unkeyed(source: DataFrame, keys: list[str]) -> DataFrame:
+    """Source rows that no merge can place, as a key is missing; they belong to the dead letters."""
+    return source.filter(~keyed(keys))
+
+
 def merge(target: DataFrame, source: DataFrame, how: Merge) -> DataFrame:
-    """Next snapshot of ``target``. ``source`` must hold one row per key."""
+    """Next snapshot of ``target``. ``source`` must hold one row per key.
+
+    A source row without its key could never be matched again and would be inserted
+    by every run, so it is left to ``unkeyed``.
+    """
+    source = source.filter(keyed(how.keys))
     t = target.select(*[F.col(c).alias(f"_t_{c}") for c in target.columns], F.lit(True).alias("_in_target"))
     s = source.select(*[F.col(c).alias(f"_s_{c}") for c in source.columns], F.lit(True).alias("_in_source"))
     on = reduce(lambda a, b: a & b, [F.col(f"_t_{k}") == F.col(f"_s_{k}") for k in how.keys])
@@ -82,6 +97,7 @@ def merge_latest(
     per key, then merge."""
     if operations is not None:
         changes = changes.filter(F.col("operation").isin(operations))
+    changes = changes.filter(keyed(how.keys))
     return merge(target, dedup.latest_per_key(changes, how.keys, time, *ties), how)
 
 
@@ -91,18 +107,19 @@ def insert_new(target: DataFrame, source: DataFrame, keys: list[str], *order: st
     return target.unionByName(fresh.select(*target.columns))
 
 
-def touched(target: DataFrame, source: DataFrame, partition: str) -> DataFrame:
-    """The part of a partitioned target that a merge has to read.
-
-    The distinct partition values of the batch prune the target scan.
-    """
-    return target.join(source.select(partition).distinct(), partition, "left_semi")
+def touched(target: DataFrame, source: DataFrame, keys: list[str], partition: str) -> DataFrame:
+    """Partitions that a merge has to read and replace: those the batch names, and those
+    in which its keys are now. Looking the keys up reads two columns of the target."""
+    now = target.select(*keys, partition).join(source.select(*keys), keys, "left_semi").select(partition)
+    return source.filter(keyed(keys)).select(partition).union(now).distinct()
 
 
 def merge_partitions(target: DataFrame, source: DataFrame, how: Merge, partition: str) -> DataFrame:
-    """Replacement rows for the touched partitions only; write them with dynamic
-    partition overwrite to a new or the same table."""
-    return merge(touched(target, source, partition), source, how)
+    """Replacement rows for the touched partitions only; ``sinks.files.replace_partitions``
+    puts them in place. A row whose partition value changed moves."""
+    parts = touched(target, source, how.keys, partition)
+    moving = replace(how, update=list(dict.fromkeys([*how.update, partition])))
+    return merge(target.join(parts, partition, "left_semi"), source, moving)
 
 
 # Key and overwritable columns of each dimension and mutable fact.

@@ -1,8 +1,10 @@
 import pytest
 from pyspark.sql import functions as F
 
+from gridtally import session
 from gridtally.functions import times
 from gridtally.operators import upsert
+from gridtally.sinks import files as sink
 
 NOW = "2026-01-01 00:00:00"
 TARGET = "k string, v string, stamp int, created int"
@@ -46,7 +48,7 @@ def test_guard_on_null_does_not_change(spark):
 
 def test_null_keys_never_match(spark, target):
     out = merge(target, spark.createDataFrame([(None, "other", 9)], SOURCE))
-    assert (None, "nokey", 5, 1) in out and (None, "other", 9, 9) in out
+    assert (None, "nokey", 5, 1) in out and (None, "other", 9, 9) not in out
 
 
 def test_feed_is_filtered_and_reduced_before_merging(spark, target):
@@ -76,6 +78,27 @@ def test_only_touched_partitions_are_rebuilt(spark, rows):
     assert rows(out) == [("a", 7, "d1"), ("b", 1, "d1"), ("n", 8, "d3")]
 
 
+def test_a_row_that_moves_to_another_day_is_stored_once(spark, rows, tmp_path):
+    path = str(tmp_path / "fact")
+    t = spark.createDataFrame([("a", 1, "d1"), ("b", 1, "d2"), ("c", 1, "d3")], "k string, v int, day string")
+    t.write.partitionBy("day").parquet(path)
+    s = spark.createDataFrame([("a", 7, "d2"), (None, 5, "d1")], "k string, v int, day string")
+    for _ in range(2):
+        target = spark.read.parquet(path).select("k", "v", "day")
+        parts = upsert.touched(target, s, ["k"], "day")
+        out = upsert.merge_partitions(target, s, upsert.Merge(["k"], ["v"]), "day")
+        sink.replace_partitions(out, session.materialize(parts, "parts"), path, "day")
+        assert rows(spark.read.parquet(path), "k", "v", "day") == [("a", 7, "d2"), ("b", 1, "d2"), ("c", 1, "d3")]
+
+
+def test_rows_without_a_key_are_left_to_the_dead_letters(spark, rows):
+    t = spark.createDataFrame([("a", 1)], "k string, v int")
+    s = spark.createDataFrame([("a", 2), (None, 3), (None, 4)], "k string, v int")
+    once = upsert.merge(t, s, upsert.Merge(["k"], ["v"]))
+    assert rows(once) == rows(upsert.merge(once, s, upsert.Merge(["k"], ["v"]))) == [("a", 2)]
+    assert rows(upsert.unkeyed(s, ["k"])) == [(None, 3), (None, 4)]
+
+
 def test_every_entity_has_a_merge(spark):
     assert set(upsert.ENTITIES) == {"customer", "account", "location", "contract", "meter", "billing", "payment"}
     for entity, (keys, update) in upsert.ENTITIES.items():
