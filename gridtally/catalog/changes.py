@@ -126,6 +126,11 @@ def _observed_sql(condition: str) -> str:
         CASE WHEN value = floor(value) THEN 'int' ELSE 'float' END FROM events WHERE event_type IN ('view', 'purchase') AND {condition}"""
 
 
+def _one_type_sql(condition: str) -> str:
+    return f"""SELECT table_name, field, CASE WHEN string_agg(dtype, ',' ORDER BY dtype) = 'float,int' THEN 'float'
+        ELSE string_agg(dtype, '|' ORDER BY dtype) END AS dtype FROM ({_observed_sql(condition)}) GROUP BY ALL"""
+
+
 @query("observed_schema", _observed_sql("true"))
 def _(spark, folder):
     return evolve.observed(valid_events(spark, folder))
@@ -133,8 +138,8 @@ def _(spark, folder):
 
 @query(
     "schema_diff",
-    f"""WITH old AS (SELECT * FROM ({_observed_sql("value < 5")}) WHERE field NOT IN ('status', 'amount', 'reading_value')),
-         new AS (SELECT * FROM ({_observed_sql("value >= 5")}) WHERE field NOT IN ('unit_of_measure', 'amount', 'reading_value'))
+    f"""WITH old AS (SELECT * FROM ({_one_type_sql("value < 5")}) WHERE field <> 'status'),
+         new AS (SELECT * FROM ({_one_type_sql("value >= 5")}) WHERE field <> 'unit_of_measure')
        SELECT coalesce(o.table_name, n.table_name) AS table_name, coalesce(o.field, n.field) AS field, o.dtype AS old_type, n.dtype AS new_type,
          CASE WHEN o.dtype IS NULL THEN 'ADDED' WHEN n.dtype IS NULL THEN 'REMOVED' WHEN o.dtype <> n.dtype THEN 'RETYPED' ELSE 'SAME' END AS change,
          NOT (n.dtype IS NULL OR coalesce(o.dtype <> n.dtype, false)) AS compatible
@@ -144,12 +149,25 @@ def _(spark, folder):
     """Schema of the first inserts against that of later changes; one field is left
     out on either side, so that an addition and a removal show."""
     events = valid_events(spark, folder)
-    numeric = ["amount", "reading_value"]
-    first = evolve.observed(events.filter("operation = 'INSERT'")).filter(~F.col("field").isin("status", *numeric))
-    later = evolve.observed(events.filter("operation <> 'INSERT'")).filter(~F.col("field").isin("unit_of_measure", *numeric))
+    first = evolve.observed(events.filter("operation = 'INSERT'")).filter("field <> 'status'")
+    later = evolve.observed(events.filter("operation <> 'INSERT'")).filter("field <> 'unit_of_measure'")
     return evolve.diff(first, later)
 
 
+@query(
+    "registry_evolution",
+    f"""WITH seen AS ({_one_type_sql("true")}), old AS (SELECT * FROM seen WHERE field <> 'status')
+       SELECT table_name, CAST(0 AS INTEGER) AS version, field, dtype FROM old
+       UNION ALL SELECT table_name, CAST(1 AS INTEGER), field, dtype FROM seen
+       WHERE table_name IN (SELECT table_name FROM seen EXCEPT ALL SELECT table_name FROM old)""",
+)
+def _(spark, folder):
+    """A registry that does not know the status field yet grows by one version where it occurs."""
+    seen = evolve.one_type(evolve.observed(valid_events(spark, folder)))
+    registry = seen.filter("field <> 'status'").select("table_name", F.lit(0).alias("version"), "field", "dtype")
+    return evolve.evolve(registry, seen)[0]
+
+
 @query(
     "payload_type_errors",
     """SELECT CASE event_type WHEN 'view' THEN CAST(event_id AS VARCHAR) ELSE 'P' || event_id END AS source_primary_key,

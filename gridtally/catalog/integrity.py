@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from gridtally.catalog.base_sql import (
     ACCOUNTS, BILLS, CONTRACTS, CUSTOMERS, METERS, OPS_READINGS, OWNED_PAYMENTS, PAYMENTS, READINGS, SERVICE_POINTS,
 )
+from gridtally.catalog.quality import ODD_BILLS, odd_bills
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.operators import dedup, integrity, ordered, rules
 from gridtally.sources import adapters
@@ -183,10 +184,13 @@ def _(spark, folder):
 
 @query(
     "surplus_copies",
-    "SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicates FROM lineitem",
+    """WITH twice AS (SELECT * FROM events UNION ALL SELECT * FROM events WHERE event_type = 'error')
+       SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM twice)) AS duplicates FROM twice""",
 )
 def _(spark, folder):
-    return dedup.surplus_copies(adapters.table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
+    """Whole rows; the error events were delivered twice."""
+    events = adapters.table(spark, folder, "events")
+    return dedup.surplus_copies(events.unionByName(events.filter("event_type = 'error'")))
 
 
 @query(
@@ -298,18 +302,22 @@ def _(spark, folder):
 @query(
     "sequence_gaps",
     """SELECT n + 1 AS gap_start, nxt - 1 AS gap_end, nxt - n - 1 AS missing FROM (
-         SELECT n, lead(n) OVER (ORDER BY n) AS nxt FROM (SELECT DISTINCT event_id AS n FROM events WHERE event_type <> 'error'))
+         SELECT n, lead(n) OVER (ORDER BY n) AS nxt FROM (SELECT DISTINCT event_id + CASE WHEN event_type = 'error' THEN 1000000000000 ELSE 0 END AS n FROM events))
        WHERE nxt > n + 1""",
 )
 def _(spark, folder):
-    events = adapters.table(spark, folder, "events").filter("event_type <> 'error'")
+    """Error events get numbers far off, which leaves gaps and strays."""
+    stray = F.when(F.col("event_type") == "error", 1_000_000_000_000).otherwise(0)
+    events = adapters.table(spark, folder, "events").select((F.col("event_id") + stray).alias("event_id"))
     return ordered.sequence_gaps(events, "event_id")
 
 
 @query(
     "rules_bills",
-    with_ctes([BILLS], "SELECT bill_id, total_amount::DOUBLE AS total_amount, '' AS errors FROM bills"),
+    with_ctes([BILLS, ODD_BILLS], """SELECT bill_id, total_amount::DOUBLE AS total_amount, concat_ws('; ',
+      CASE WHEN trim(account_id) = '' THEN 'account_id is required' END,
+      CASE WHEN total_amount < 0 THEN 'Bill amount cannot be negative' END) AS errors FROM odd_bills"""),
 )
 def _(spark, folder):
-    checked = rules.check(adapters.bills(spark, folder), rules.bill_rules())
+    checked = rules.check(odd_bills(spark, folder), rules.bill_rules())
     return checked.select("bill_id", F.col("total_amount").cast("double").alias("total_amount"), "errors")

@@ -21,7 +21,7 @@ def flagged(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def gold(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.split(flagged(spark, folder))[0].select(*GOLD_COLUMNS)
+    return quality.accepted(adapters.readings(spark, folder), ["reading_no"]).select(*GOLD_COLUMNS)
 
 
 SOURCE_SQL = """source_rows AS (

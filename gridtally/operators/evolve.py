@@ -22,10 +22,19 @@ def latest(registry: DataFrame) -> DataFrame:
     return registry.join(top, ["table_name", "version"])
 
 
+def one_type(observed: DataFrame) -> DataFrame:
+    """One row per table and field: whole and fractional numbers together are ``float``,
+    other mixtures are named with all their types."""
+    kinds = F.array_sort(F.collect_set("dtype"))  # a handful of type names
+    return observed.groupBy("table_name", "field").agg(kinds.alias("_k")).select(
+        "table_name", "field", F.when(F.array_join("_k", ",") == "float,int", "float").otherwise(F.array_join("_k", "|")).alias("dtype")
+    )
+
+
 def diff(registered: DataFrame, proposed: DataFrame) -> DataFrame:
     """Field by field: ADDED, REMOVED, RETYPED or SAME, and whether it is safe."""
-    old = registered.select("table_name", "field", F.col("dtype").alias("old_type"))
-    new = proposed.select("table_name", "field", F.col("dtype").alias("new_type"))
+    old = one_type(registered).withColumnRenamed("dtype", "old_type")
+    new = one_type(proposed).withColumnRenamed("dtype", "new_type")
     known = registered.select("table_name").distinct().withColumn("_known", F.lit(True))
     joined = old.join(new, ["table_name", "field"], "full_outer").join(known, "table_name", "left")
     change = (
@@ -51,7 +60,7 @@ def evolve(registry: DataFrame, proposed: DataFrame) -> tuple[DataFrame, list[st
     so looking at the differences on the driver is bounded by the schemas.
     """
     current = latest(registry)
-    changes = diff(current, proposed.join(proposed.select("table_name").distinct(), "table_name"))
+    changes = diff(current, proposed)
     tables = [r[0] for r in proposed.select("table_name").distinct().collect()]
     changes = changes.filter(F.col("table_name").isin(tables))
     broken = changes.filter(~F.col("compatible")).orderBy("table_name", "field").limit(1).collect()
@@ -65,7 +74,7 @@ def evolve(registry: DataFrame, proposed: DataFrame) -> tuple[DataFrame, list[st
     grown = [r[0] for r in changes.filter(F.col("change") == "ADDED").select("table_name").distinct().collect()]
     versions = current.groupBy("table_name").agg(F.max("version").alias("_v"))
     added = (
-        proposed.filter(F.col("table_name").isin(grown))
+        one_type(proposed).filter(F.col("table_name").isin(grown))
         .join(versions, "table_name", "left")
         .select("table_name", F.coalesce(F.col("_v") + 1, F.lit(0)).cast("int").alias("version"), "field", "dtype")
     )

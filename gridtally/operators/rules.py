@@ -28,7 +28,8 @@ def required(column: str) -> Rule:
 
 def minimum(column: str, low: float, message: str, strict: bool = False) -> Rule:
     op = ">" if strict else ">="
-    return Rule(f"{column}_min", f"{column} {op} {low}", message)
+    # text that is no number is the numeric rule's matter
+    return Rule(f"{column}_min", f"try_cast({column} as double) {op} {low}", message)
 
 
 def allowed(column: str, values: list[str], message: str | None = None) -> Rule:
@@ -109,6 +110,7 @@ def reading_rules(as_of: str) -> list[Rule]:
         required("meter_id"),
         required("reading_value"),
         required("reading_timestamp"),
+        numeric("reading_value"),
         minimum("reading_value", 0, "Impossible meter reading: Consumption cannot be negative"),
         not_after("reading_timestamp", as_of, "Invalid timestamp: Reading cannot be in the future"),
         flagged_when("consumption_threshold", f"reading_value > {LEAK_THRESHOLD}", "Unusually high reading"),
@@ -120,6 +122,7 @@ def payment_rules() -> list[Rule]:
         required("account_id"),
         required("amount"),
         required("payment_method"),
+        numeric("amount"),
         minimum("amount", 0.01, "Negative quantities not allowed for standard payments"),
         allowed("payment_method", BATCH_PAYMENT_METHODS, "Invalid payment method"),
     ]
@@ -130,6 +133,7 @@ def bill_rules() -> list[Rule]:
         required("bill_id"),
         required("account_id"),
         required("total_amount"),
+        numeric("total_amount"),
         minimum("total_amount", 0, "Bill amount cannot be negative"),
     ]
 

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from gridtally import schemas, session
 from gridtally.functions import times
@@ -27,31 +28,31 @@ class Dataset:
     incremental_field: str | None = None
 
 
-def _manifests(spark: SparkSession, base: str) -> DataFrame | None:
-    path = f"{base}/_manifests"
-    if not session.exists(spark, path):
-        return None
-    # run and dataset also appear as folder names; the columns inside win.
-    return spark.read.schema(schemas.RUN_MANIFEST).option("recursiveFileLookup", "true").json(path)
+def _now() -> str:
+    return datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+
+
+def _time(text: str) -> datetime:
+    return datetime.fromisoformat(text)
 
 
 def already_done(spark: SparkSession, base: str, run_id: str, dataset: str) -> bool:
     """True when this run finished this dataset; a failed attempt may be repeated."""
-    seen = _manifests(spark, base)
-    if seen is None:
+    path = f"{base}/_manifests/run={run_id}/dataset={dataset}"
+    if not session.exists(spark, path):
         return False
-    wanted = (F.col("run_id") == run_id) & (F.col("dataset") == dataset) & (F.col("status") == "SUCCESS")
-    return not seen.filter(wanted).isEmpty()
+    return not spark.read.schema(schemas.RUN_MANIFEST).json(path).filter("status = 'SUCCESS'").isEmpty()
 
 
 def extract(
     spark: SparkSession, base: str, run_id: str, datasets: list[Dataset], started_at: str,
-    watermarks: dict[str, str] | None = None, inclusive: bool = False,
+    watermarks: dict[str, str] | None = None, inclusive: bool = False, clock: Callable[[], str] = _now,
 ) -> dict[str, dict]:
     """Land every dataset's new rows and write one manifest per dataset.
 
     The landed copy is what gets counted, so the source is read once. A failure is
     recorded and raised; rerunning the same run id skips what already succeeded.
+    ``clock`` tells when a dataset begins and ends.
     """
     watermarks = watermarks or {}
     done: dict[str, dict] = {}
@@ -64,6 +65,7 @@ def extract(
             "run_id": run_id,
             "dataset": ds.name,
             "status": "SUCCESS",
+            "start_time": _time(clock()),
             "watermark_start": mark,
             "watermark_end": mark,
             "rows_extracted": 0,
@@ -79,8 +81,9 @@ def extract(
             count, newest = landed.agg(F.count("*"), top).first()
             row.update(rows_extracted=count, batches_written=1 if count else 0, watermark_end=newest or mark)
         except Exception as problem:
-            sink.write_manifest(spark, base, {**row, "status": "FAILED", "error": str(problem)[:2000]})
+            sink.write_manifest(spark, base, {**row, "status": "FAILED", "end_time": _time(clock()), "error": str(problem)})
             raise RuntimeError(f"extract of {ds.name} failed") from problem
+        row["end_time"] = _time(clock())
         sink.write_manifest(spark, base, row)
         done[ds.name] = row
     return done
@@ -88,26 +91,29 @@ def extract(
 
 def backfill(
     spark: SparkSession, base: str, run_id: str, table: str, source: Callable[[str, str], DataFrame], day: str,
-    start: str, end: str, write: Callable[[DataFrame], None],
+    start: str, end: str, write: Callable[[DataFrame], None], clock: Callable[[], str] = _now,
 ) -> dict:
     """Reload a date range once: tag the rows, write them, record the run.
 
     The range filter is applied here, whatever the source returns. ``write`` must
     replace its own output (a folder of the run, or the partitions it touches), so
-    that a run lost between writing and recording can be repeated.
+    that a run lost between writing and recording can be repeated. Rows are counted
+    while they are written, so the source is read once.
     """
     name = f"{table}_backfill"
     if already_done(spark, base, run_id, name):
         return {"status": "SKIPPED", "reason": "Already processed successfully."}
     row = {"run_id": run_id, "dataset": name, "watermark_start": start, "watermark_end": end, "rows_extracted": 0}
+    row["start_time"] = _time(clock())
     try:
+        written = Observation("backfill")
         tagged = tag_backfill(source(start, end), run_id, day, start, end)
-        write(tagged)
-        row["rows_extracted"] = tagged.count()
+        write(tagged.observe(written, F.count(F.lit(1)).alias("rows")))
+        row["rows_extracted"] = written.get["rows"]
     except Exception as problem:
-        sink.write_manifest(spark, base, {**row, "status": "FAILED", "error": str(problem)[:2000]})
+        sink.write_manifest(spark, base, {**row, "status": "FAILED", "end_time": _time(clock()), "error": str(problem)})
         raise RuntimeError(f"Backfill failed: {problem}") from problem
-    sink.write_manifest(spark, base, {**row, "status": "SUCCESS"})
+    sink.write_manifest(spark, base, {**row, "status": "SUCCESS", "end_time": _time(clock())})
     return {"status": "SUCCESS", "records_processed": row["rows_extracted"]}
 
 

@@ -10,11 +10,19 @@ from gridtally import schemas, session
 def source_csv(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """Half-hourly CSV, every column as text, header names trimmed.
 
-    ``enforceSchema`` is off so that a file whose header differs is an error
+    Files may differ in blanks around their header names. Header lines are known by
+    their content: a line that holds the trimmed names in place is left out, and one
+    that starts with a header name, but holds others or another order, is an error
     instead of a silent shift of columns.
     """
-    raw = spark.read.option("header", "true").option("enforceSchema", "false").csv(paths)
-    return raw.toDF(*[name.strip() for name in raw.columns])
+    names = [name.strip() for name in spark.read.option("header", "true").csv(paths).columns]
+    raw = spark.read.schema(", ".join(f"_c{i} string" for i in range(len(names)))).csv(paths)
+    cells = F.array(*[F.trim(c) for c in raw.columns])
+    header = F.array(*[F.lit(n) for n in names])
+    begins = F.coalesce(F.array_contains(header, F.trim(raw.columns[0])), F.lit(False))
+    odd = F.raise_error(F.concat(F.lit("a file's header differs: "), F.array_join(cells, ",", "")))
+    data = raw.filter(F.when(~begins, True).when(cells == header, False).otherwise(odd.cast("boolean")))
+    return data.toDF(*names)
 
 
 def sample(df: DataFrame, rows: int, *order) -> DataFrame:
