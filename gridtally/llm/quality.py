@@ -142,7 +142,7 @@ class Model:
             numbers = np.array(numbers)
             for buckets, bounds in features(parts):
                 values = np.append(self.buckets[buckets], np.float32(0))
-                sums = np.add.reduceat(values, bounds.ravel())[::2]
+                sums = np.add.reduceat(values, np.minimum(bounds.ravel(), len(values) - 1))[::2]
                 size = bounds[:, 1] - bounds[:, 0]
                 # reduceat gives one value where a range is empty
                 np.add.at(total, numbers, np.where(size > 0, sums, 0))
