@@ -190,8 +190,9 @@ def _(spark, folder):
         .join(adapters.contracts(spark, folder).select("contract_id", "account_id"), "contract_id")
         .select("meter_id", "account_id")
     )
-    readings = adapters.ops_readings(spark, folder).select("meter_id", "reading_timestamp", "reading_value").join(site, "meter_id")
-    return marts.unbilled_readings(readings, adapters.bills(spark, folder), "account_id", "reading_timestamp", "reading_value")
+    readings = adapters.ops_readings(spark, folder).select("meter_id", "reading_timestamp", "reading_value")
+    bills = adapters.bills(spark, folder)
+    return marts.unbilled_readings(readings, bills, "account_id", "reading_timestamp", "reading_value", owners=site, key="meter_id")
 
 
 @query(

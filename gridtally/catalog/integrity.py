@@ -12,51 +12,52 @@ from gridtally.catalog.registry import query, with_ctes
 from gridtally.operators import dedup, integrity, ordered, rules
 from gridtally.sources import adapters
 
-# Parents that are complete by construction are narrowed to their active rows, so
-# that the checks have something to find.
+# The sample's references are complete by construction. Some are broken here by value, so
+# that checks against whole parents have something to find.
 
 
-def active_accounts(spark, folder):
-    return adapters.accounts(spark, folder).filter("account_status = 'ACTIVE'")
+def broken_bills(spark, folder):
+    """Cancelled bills name an unknown account, disputed ones none."""
+    status = F.col("bill_status")
+    account = F.when(status == "CANCELLED", "ACC-unknown").when(status != "DISPUTED", F.col("account_id"))
+    return adapters.bills(spark, folder).select("bill_id", account.alias("account_id"))
 
 
-def active_meters(spark, folder):
-    return adapters.meters(spark, folder).filter("status = 'ACTIVE'")
-
-
-ACTIVE_ACCOUNTS = "active_accounts AS (SELECT * FROM accounts WHERE account_status = 'ACTIVE')"
-ACTIVE_METERS = "active_meters AS (SELECT * FROM meters WHERE status = 'ACTIVE')"
+BROKEN_BILLS = """broken_bills AS (SELECT bill_id, CASE bill_status WHEN 'CANCELLED' THEN 'ACC-unknown' WHEN 'DISPUTED' THEN NULL ELSE account_id END AS account_id
+  FROM bills)"""
 
 
 @query(
     "fk_orphan_bills",
-    with_ctes([ACCOUNTS, BILLS, ACTIVE_ACCOUNTS], """SELECT b.bill_id, b.account_id FROM bills b
-      LEFT JOIN active_accounts a ON a.account_id = b.account_id WHERE a.account_id IS NULL"""),
+    with_ctes([ACCOUNTS, BILLS, BROKEN_BILLS], """SELECT b.bill_id, b.account_id FROM broken_bills b
+      LEFT JOIN accounts a ON a.account_id = b.account_id WHERE a.account_id IS NULL"""),
 )
 def _(spark, folder):
-    bills = adapters.bills(spark, folder).select("bill_id", "account_id")
-    return integrity.orphans(bills, active_accounts(spark, folder), "account_id", "account_id")
+    return integrity.orphans(broken_bills(spark, folder), adapters.accounts(spark, folder), "account_id", "account_id")
 
 
 @query(
     "fk_orphan_accounts",
-    with_ctes([ACCOUNTS, CUSTOMERS], """SELECT a.account_id, a.customer_id FROM accounts a
-      WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = a.customer_id AND c.status = 'ACTIVE')"""),
+    with_ctes([ACCOUNTS, CUSTOMERS], """SELECT account_id, customer_id FROM (
+        SELECT account_id, CASE WHEN account_status = 'SUSPENDED' THEN '0' ELSE customer_id END AS customer_id FROM accounts) a
+      WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = a.customer_id)"""),
 )
 def _(spark, folder):
-    accounts = adapters.accounts(spark, folder).select("account_id", "customer_id")
-    customers = adapters.customers(spark, folder).filter("status = 'ACTIVE'")
-    return integrity.orphans(accounts, customers, "customer_id", "customer_id")
+    customer = F.when(F.col("account_status") == "SUSPENDED", "0").otherwise(F.col("customer_id"))
+    accounts = adapters.accounts(spark, folder).select("account_id", customer.alias("customer_id"))
+    return integrity.orphans(accounts, adapters.customers(spark, folder), "customer_id", "customer_id")
 
 
 @query(
     "fk_orphan_readings",
-    with_ctes([OPS_READINGS, METERS, ACTIVE_METERS], """SELECT r.reading_id, r.meter_id FROM ops_readings r
-      LEFT JOIN active_meters m ON m.meter_id = r.meter_id WHERE m.meter_id IS NULL"""),
+    with_ctes([OPS_READINGS, METERS], """SELECT r.reading_id, r.meter_id FROM (
+        SELECT reading_id, CASE WHEN reading_type = 'INTERVAL' THEN meter_id ELSE 'unknown' END AS meter_id FROM ops_readings) r
+      LEFT JOIN meters m ON m.meter_id = r.meter_id WHERE m.meter_id IS NULL"""),
 )
 def _(spark, folder):
-    rows = adapters.ops_readings(spark, folder).select("reading_id", "meter_id")
-    return integrity.orphans(rows, active_meters(spark, folder), "meter_id", "meter_id")
+    meter = F.when(F.col("reading_type") == "INTERVAL", F.col("meter_id")).otherwise("unknown")
+    rows = adapters.ops_readings(spark, folder).select("reading_id", meter.alias("meter_id"))
+    return integrity.orphans(rows, adapters.meters(spark, folder), "meter_id", "meter_id")
 
 
 # The foreign keys of the operational tables (child, key, parent).
@@ -74,14 +75,14 @@ FOREIGN_KEYS = [
     ("contracts", "premise_id", "premises"),
     ("service_points", "premise_id", "premises"),
 ]
-PREMISES = """premises AS (SELECT 'PR-' || c_custkey AS premise_id, 'ACC-' || c_custkey AS account_id FROM customer WHERE c_acctbal < 9000)"""
-PREMISED_CONTRACTS = "contracts_p AS (SELECT *, replace(contract_id, 'CTR', 'PR') AS premise_id FROM contracts)"
+PREMISES = """premises AS (SELECT 'PR-' || c_custkey AS premise_id, 'ACC-' || c_custkey AS account_id FROM customer)"""
+PREMISED_CONTRACTS = "contracts_p AS (SELECT *, CASE WHEN contract_status = 'EXPIRED' THEN 'PR-unknown' ELSE replace(contract_id, 'CTR', 'PR') END AS premise_id FROM contracts)"
 PREMISED_POINTS = "service_points_p AS (SELECT *, replace(contract_id, 'CTR', 'PR') AS premise_id FROM service_points)"
 _SQL_NAME = {"meter_readings": "ops_readings", "payments": "owned_payments", "contracts": "contracts_p", "service_points": "service_points_p"}
 
 
 def operational_tables(spark, folder):
-    premises = adapters.table(spark, folder, "customer").filter("c_acctbal < 9000").select(
+    premises = adapters.table(spark, folder, "customer").select(
         F.concat(F.lit("PR-"), F.col("c_custkey").cast("string")).alias("premise_id"),
         F.concat(F.lit("ACC-"), F.col("c_custkey").cast("string")).alias("account_id"),
     )
@@ -90,7 +91,9 @@ def operational_tables(spark, folder):
         "customers": adapters.customers(spark, folder),
         "accounts": adapters.accounts(spark, folder),
         "premises": premises,
-        "contracts": adapters.contracts(spark, folder).withColumn("premise_id", at_premise),
+        "contracts": adapters.contracts(spark, folder).withColumn(
+            "premise_id", F.when(F.col("contract_status") == "EXPIRED", "PR-unknown").otherwise(at_premise)
+        ),
         "service_points": adapters.service_points(spark, folder).withColumn("premise_id", at_premise),
         "meters": adapters.meters(spark, folder),
         "meter_readings": adapters.ops_readings(spark, folder),
@@ -128,13 +131,12 @@ def _(spark, folder):
 
 @query(
     "cross_reference_rule",
-    with_ctes([BILLS, ACCOUNTS, ACTIVE_ACCOUNTS], """SELECT bill_id, account_id,
-      'Invalid foreign-key relationship: Account does not exist in warehouse' AS errors FROM bills
-      WHERE account_id NOT IN (SELECT account_id FROM active_accounts)"""),
+    with_ctes([BILLS, ACCOUNTS, BROKEN_BILLS], """SELECT bill_id, account_id,
+      'Invalid foreign-key relationship: Account does not exist in warehouse' AS errors FROM broken_bills b
+      WHERE NOT EXISTS (SELECT 1 FROM accounts a WHERE a.account_id = b.account_id)"""),
 )
 def _(spark, folder):
-    bills = adapters.bills(spark, folder).select("bill_id", "account_id")
-    bad = integrity.orphans(bills, active_accounts(spark, folder), "account_id", "account_id")
+    bad = integrity.orphans(broken_bills(spark, folder), adapters.accounts(spark, folder), "account_id", "account_id")
     message = "Invalid foreign-key relationship: Account does not exist in warehouse"
     return bad.withColumn("errors", F.lit(message))
 

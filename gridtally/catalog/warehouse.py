@@ -9,6 +9,7 @@ from gridtally.catalog.base_sql import (
     ACCOUNTS, BILLS, CUSTOMERS, CUSTOMER_CHANGES, KEY60, METERS, OPS_READINGS, READINGS,
 )
 from gridtally.catalog.readings import AS_OF
+from gridtally.catalog.integrity import BROKEN_BILLS, broken_bills
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.functions import keys, text, times
 from gridtally.operators import dedup, history, privacy, ranges
@@ -125,13 +126,10 @@ def _(spark, folder):
     return warehouse.dim_date(adapters.table(spark, folder, "orders"), "o_orderdate")
 
 
-CURRENT_ACCOUNTS = "known AS (SELECT account_id FROM accounts WHERE account_status <> 'CLOSED')"
-
-
 @query(
     "resolve_fact_keys",
-    with_ctes([ACCOUNTS, BILLS, CURRENT_ACCOUNTS], f"""SELECT bill_id, account_id, {KEY60.format('account_id')} AS account_sk
-      FROM bills WHERE account_id IN (SELECT account_id FROM known)"""),
+    with_ctes([ACCOUNTS, BILLS, BROKEN_BILLS], f"""SELECT bill_id, account_id, {KEY60.format('account_id')} AS account_sk
+      FROM broken_bills WHERE account_id IN (SELECT account_id FROM accounts)"""),
 )
 def _(spark, folder):
     return _resolved(spark, folder)[0]
@@ -139,17 +137,18 @@ def _(spark, folder):
 
 @query(
     "unresolved_fact_keys",
-    with_ctes([ACCOUNTS, BILLS, CURRENT_ACCOUNTS], "SELECT bill_id, account_id FROM bills WHERE account_id NOT IN (SELECT account_id FROM known)"),
+    with_ctes([ACCOUNTS, BILLS, BROKEN_BILLS], """SELECT bill_id, account_id FROM broken_bills b
+      WHERE NOT EXISTS (SELECT 1 FROM accounts a WHERE a.account_id = b.account_id)"""),
 )
 def _(spark, folder):
     return _resolved(spark, folder)[1]
 
 
 def _resolved(spark, folder):
-    known = adapters.accounts(spark, folder).filter("account_status <> 'CLOSED'").select(
+    known = adapters.accounts(spark, folder).select(
         "account_id", keys.surrogate_key(F.col("account_id")).alias("account_sk")
     )
-    return warehouse.resolve_keys(adapters.bills(spark, folder).select("bill_id", "account_id"), known, "account_id", "account_sk")
+    return warehouse.resolve_keys(broken_bills(spark, folder), known, "account_id", "account_sk")
 
 
 # --- history ---------------------------------------------------------------------------

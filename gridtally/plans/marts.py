@@ -68,11 +68,23 @@ def payment_lag(bills: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def unbilled_readings(readings: DataFrame, bills: DataFrame, site: str, moment: str, value: str) -> DataFrame:
-    """Readings per site and day, and whether some bill covers the day."""
-    daily = readings.groupBy(site, F.col(moment).cast("date").alias("day")).agg(
-        F.count("*").alias("reading_count"), numbers.exact_sum(F.col(value)).alias("total_kwh")
+def unbilled_readings(
+    readings: DataFrame, bills: DataFrame, site: str, moment: str, value: str, owners: DataFrame | None = None, key: str | None = None
+) -> DataFrame:
+    """Readings per site and day, and whether some bill covers the day.
+
+    Readings that do not know their site are summed per ``key`` and day first, and only
+    these sums meet ``owners``, which leads from the key to the site.
+    """
+    by = site if owners is None else key
+    daily = readings.groupBy(by, F.col(moment).cast("date").alias("day")).agg(
+        F.count("*").alias("reading_count"), F.sum(numbers.exact(F.col(value))).alias("total_kwh")
     )
+    if owners is not None:
+        daily = daily.join(owners.select(key, site), key).groupBy(site, "day").agg(
+            F.sum("reading_count").alias("reading_count"), F.sum("total_kwh").alias("total_kwh")
+        )
+    daily = daily.withColumn("total_kwh", F.col("total_kwh").cast("double"))
     covered = ranges.covered_days(daily, bills, [site], "period_start", "period_end", "is_billed")
     return covered.select(site, F.col("day").alias("read_date"), "reading_count", "total_kwh", "is_billed")
 

@@ -46,7 +46,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/gridtally/{label}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _own_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/gridtally/{spark.sparkContext.applicationId}"
+
+
+def clean(spark: SparkSession) -> None:
+    """Delete what this application stored in the shared folder. Call it when no result
+    is needed any more: frames read their stored parts when they are evaluated."""
+    remove(spark, _own_dir(spark))
 
 
 def _file_system(spark: SparkSession, path: str):

@@ -18,6 +18,7 @@ def spark():
     if spark.conf.get("spark.checkpoint.dir", None) is None:
         spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gridtally-test-"))
     yield session.configure(spark)
+    session.clean(spark)
     spark.stop()
 
 
