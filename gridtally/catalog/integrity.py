@@ -39,11 +39,11 @@ def _(spark, folder):
 @query(
     "fk_orphan_accounts",
     with_ctes([ACCOUNTS, CUSTOMERS], """SELECT account_id, customer_id FROM (
-        SELECT account_id, CASE WHEN account_status = 'SUSPENDED' THEN '0' ELSE customer_id END AS customer_id FROM accounts) a
+        SELECT account_id, CASE WHEN account_status = 'SUSPENDED' THEN 'unknown' ELSE customer_id END AS customer_id FROM accounts) a
       WHERE NOT EXISTS (SELECT 1 FROM customers c WHERE c.customer_id = a.customer_id)"""),
 )
 def _(spark, folder):
-    customer = F.when(F.col("account_status") == "SUSPENDED", "0").otherwise(F.col("customer_id"))
+    customer = F.when(F.col("account_status") == "SUSPENDED", "unknown").otherwise(F.col("customer_id"))
     accounts = adapters.accounts(spark, folder).select("account_id", customer.alias("customer_id"))
     return integrity.orphans(accounts, adapters.customers(spark, folder), "customer_id", "customer_id")
 
