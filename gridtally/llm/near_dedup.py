@@ -157,30 +157,52 @@ def _sketched(copy: DataFrame) -> DataFrame:
     return over_batches(chosen, StructType(chosen.schema.fields[:2] + more.fields), work)
 
 
-def _candidates(texts: DataFrame) -> DataFrame:
-    """Pairs (a < b) of text ids that share a bucket and whose lengths allow a link."""
+def _shared(active: DataFrame) -> DataFrame:
+    """Rows (id, n_words, band, key) of buckets with more than one text, with the bucket's size n and first text x."""
+    sizes = active.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "n_words")).alias("x")).where("n > 1")
+    # stored, so that the join is between two plain shuffles and a large bucket can be split
+    sizes = session.materialize(sizes, "sizes")
+    return session.materialize(active.join(sizes, ["band", "key"]), "buckets")
+
+
+def _pairs(shared: DataFrame) -> DataFrame:
+    """Pairs (a < b) to compare: all of a small bucket, those with the first text of a large one."""
     alike = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
+    few = shared.where(F.col("n") <= ALL_PAIRS).groupBy("band", "key").agg(F.sort_array(F.collect_list(F.struct("id", "n_words"))).alias("m"))
+    every = F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x, y))))")
+    small = few.select(F.explode(every).alias("p")).select("p.x", "p.y")
+    star = shared.where((F.col("n") > ALL_PAIRS) & (F.col("x.id") != F.col("id"))).select("x", F.struct("id", "n_words").alias("y"))
+    return small.union(star).where(alike).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+
+
+def _links(copy: DataFrame, texts: DataFrame) -> DataFrame:
+    """Verified links (a, b, similarity) between text ids.
+
+    A large bucket is done when all its texts are linked to its first one, as they are
+    one class then; the texts of the others go on to finer buckets.
+    """
     active = texts.where("n_words > 0").select("id", "n_words", F.posexplode("sketch").alias("band", "key"))
-    pairs, depth = [], 1
+    shared = _shared(active)
+    met = shared.select("id").distinct()
+    words = session.materialize(_words_of(copy, session.materialize(met.withColumn("_row", F.col("id")), "wanted")), "words")
+    links, tested, depth = None, None, 1
     while True:
-        sizes = active.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "n_words")).alias("x")).where("n > 1")
-        shared = session.materialize(active.join(sizes, ["band", "key"]), "buckets")
-        few = shared.where(F.col("n") <= ALL_PAIRS).groupBy("band", "key").agg(F.sort_array(F.collect_list(F.struct("id", "n_words"))).alias("m"))
-        every = F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x, y))))")
-        pairs.append(few.select(F.explode(every).alias("p")).select("p.x", "p.y").where(alike).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
-        many = shared.where(F.col("n") > ALL_PAIRS)
-        star = many.select("x", F.struct("id", "n_words").alias("y")).where("x.id != y.id").where(alike)
-        pairs.append(star.select(F.col("x.id").alias("a"), F.col("y.id").alias("b")))
+        pairs = _pairs(shared)
+        pairs = session.materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        found = session.materialize(_verified(pairs, words), "links")
+        links = found if links is None else links.union(found)
+        tested = pairs if tested is None else tested.union(pairs)
         depth *= 2
-        if depth > SKETCHES or many.isEmpty():
-            break
-        finer = many.select("id", "band").join(texts.select("id", "n_words", "sketch"), "id")
+        if depth > SKETCHES:
+            return links
+        many = shared.where(F.col("n") > ALL_PAIRS).withColumn("a", F.col("x.id"))
+        apart = many.where("id != a").join(links.select("a", F.col("b").alias("id")), ["a", "id"], "left_anti")
+        undone = session.materialize(apart.select("band", "key").distinct(), "undone")
+        if undone.isEmpty():
+            return links
+        finer = many.join(undone, ["band", "key"], "left_semi").select("id", "band").join(texts.select("id", "n_words", "sketch"), "id")
         key = F.xxhash64(*[F.element_at("sketch", F.pmod(F.col("band") + i, F.lit(SKETCHES)).cast("int") + 1) for i in range(depth)])
-        active = finer.select("id", "n_words", "band", key.alias("key"))
-    found = pairs[0]
-    for more in pairs[1:]:
-        found = found.union(more)
-    return session.materialize(found.distinct(), "pairs")
+        shared = _shared(finer.select("id", "n_words", "band", key.alias("key")))
 
 
 def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -234,11 +256,7 @@ def classes(docs: DataFrame) -> Classes:
     rows = session.materialize(_sketched(copy), "sketches")
     texts = rows.groupBy("h1", "h2").agg(F.min("_row").alias("_row"), F.min("n_words").alias("n_words"), F.min("sketch").alias("sketch"))
     texts = session.materialize(texts.withColumn("id", F.col("_row")), "texts")
-    pairs = _candidates(texts)
-    ids = pairs.select(F.col("a").alias("_row")).union(pairs.select("b")).distinct()
-    wanted = session.materialize(ids.withColumn("id", F.col("_row")), "wanted")
-    words = session.materialize(_words_of(copy, wanted), "words")
-    links = session.materialize(_verified(pairs, words), "links")
+    links = session.materialize(_links(copy, texts), "all-links")
     roots = session.materialize(components(links), "roots").withColumnRenamed("node", "id")
     rooted = texts.select("h1", "h2", "id").join(roots, "id", "left").select("h1", "h2", "id", F.coalesce("root", "id").alias("root"))
     members = rows.select("_row", "doc_id", "h1", "h2", "n_words").join(rooted, ["h1", "h2"]).drop("h1", "h2")
