@@ -92,8 +92,8 @@ def over_batches(
     return df.mapInArrow(run, schema)
 
 
-#: Rows up to which the smaller side of a join with texts is broadcast.
-BROADCAST_ROWS = 2_000_000
+#: Rows up to which the smaller side of a join with texts is broadcast, some 100 MB at most.
+BROADCAST_ROWS = 300_000
 
 
 def looked_up(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:

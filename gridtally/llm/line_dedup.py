@@ -96,7 +96,9 @@ def later_copies(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     ids = docs.select("_row", "doc_id")
     place = F.struct("doc_id", "_row", "start")
     members = session.materialize(covered.join(ids, "_row").select("n", "_a", "_b", "_row", "start", place.alias("_place")), "members")
-    firsts = members.groupBy("n", "_a", "_b").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    firsts = members.groupBy("n", "_a", "_b").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    # stored, so that the join is between two plain shuffles and a very common run can be split
+    firsts = session.materialize(firsts, "firsts")
     later = members.join(firsts, ["n", "_a", "_b"]).where("_place != _first")
     spans = later.groupBy("_row").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
     return session.materialize(spans, "spans")
