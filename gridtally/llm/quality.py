@@ -9,6 +9,8 @@ bucket once, and a document's score is the sigmoid of a mean over its features.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -162,7 +164,7 @@ def train(rows: list[tuple[int, bytes, bytes]], epochs: int = 6, rate: float = 0
         share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(share / (1 - share))))
     weight = (0.5 / np.array([np.mean(y == 0), np.mean(y == 1)]))[y]
-    at = [np.frombuffer(r[1], np.uint16).astype(np.int32) for r in rows]
+    at = [np.frombuffer(r[1], np.uint16) for r in rows]
     share = [np.frombuffer(r[2], np.float32) for r in rows]
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
@@ -206,8 +208,8 @@ def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality",
     chosen = sample(docs, labels, label, use, rows)
     schema = StructType(chosen.schema.fields[:2] + StructType.fromDDL("at binary, share binary").fields)
     found = over_batches(chosen, schema, work).collect()
-    found.sort(key=lambda r: (str(r["doc_id"]), bytes(r["at"])))
-    return train([(r["label"], bytes(r["at"]), bytes(r["share"])) for r in found])
+    found.sort(key=lambda r: (str(r["doc_id"]), zlib.crc32(r["at"])))
+    return train([(r["label"], r["at"], r["share"]) for r in found])
 
 
 def score(docs: DataFrame, model: Model, keep: tuple = ("doc_id",), threshold: float = 0.3) -> DataFrame:
