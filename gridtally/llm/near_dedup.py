@@ -269,7 +269,8 @@ def class_of(docs: DataFrame) -> DataFrame:
     n_links counts the verified links of the row's text to different texts.
     """
     found = classes(docs.select("doc_id", "text"))
-    names = found.members.groupBy("root").agg(F.min("doc_id").alias("class_id"))
+    # stored, so that the join is between two plain shuffles and a large class can be split
+    names = session.materialize(found.members.groupBy("root").agg(F.min("doc_id").alias("class_id")), "names")
     ends = found.links.select(F.col("a").alias("id")).union(found.links.select("b"))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("_links"))
     named = found.members.join(names, "root").join(degree, "id", "left")
@@ -280,6 +281,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one of each class, that with the smallest doc_id (nulls last)."""
     found = classes(docs)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
-    first = found.members.groupBy("root").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    first = found.members.groupBy("root").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    first = session.materialize(first, "firsts")
     others = found.members.join(first, "root").where("_row != _first._row").select("_row")
     return looked_up(found.copy, session.materialize(others, "others"), "_row", "left_anti").drop("_row")
