@@ -8,10 +8,9 @@ the word edit distance, computed in a band around the diagonal, is at most
 (1 - similarity) of the longer text. Classes are the components of the links.
 
 Texts with equal words are one text from the start. A bucket of few texts yields all
-its pairs; in a larger one each text is paired with the bucket's first text, and the
-texts go on to finer buckets, of two, four ... sketches together, which again yield
-all pairs where they are small. Texts of a class meet in many buckets with different
-first texts, so links are found without all pairs of a large group.
+its pairs; in a larger one each text is paired with the bucket's first text, another one
+in each band. Where that leaves a large bucket in several components, its texts are
+compared exactly: any two that can be linked share one of their rarest pairs of words.
 """
 
 from __future__ import annotations
@@ -32,6 +31,11 @@ SIMILARITY = 0.8
 SKETCHES, TAKE = 16, 2
 #: Texts of a bucket up to which all its pairs are compared.
 ALL_PAIRS = 10
+#: Shorter texts are linked to none; texts up to ``SHORT`` words have too few k-mers for sketches and are compared exactly.
+SHORTEST, SHORT = 5, 50
+#: Slots in which pairs of words are counted, as a power of two, and texts of a block in the exact comparison.
+SLOT_BITS, BLOCK = 17, 32
+_ALIKE = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
 _BASE = 0x9E3779B97F4A7C15
 
 
@@ -158,51 +162,112 @@ def _sketched(copy: DataFrame) -> DataFrame:
 
 
 def _shared(active: DataFrame) -> DataFrame:
-    """Rows (id, n_words, band, key) of buckets with more than one text, with the bucket's size n and first text x."""
-    sizes = active.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "n_words")).alias("x")).where("n > 1")
+    """Rows (id, n_words, band, key) of buckets with more than one text, with the bucket's size n and first text x.
+
+    Which text is first differs by band, so that no text is the only one others are compared with.
+    """
+    first = F.min(F.struct(F.xxhash64("id", "band").alias("salt"), "id", "n_words"))
+    sizes = active.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), first.alias("x")).where("n > 1")
     # stored, so that the join is between two plain shuffles and a large bucket can be split
-    sizes = session.materialize(sizes, "sizes")
+    sizes = session.materialize(sizes.withColumn("x", F.struct("x.id", "x.n_words")), "sizes")
     return session.materialize(active.join(sizes, ["band", "key"]), "buckets")
 
 
 def _pairs(shared: DataFrame) -> DataFrame:
     """Pairs (a < b) to compare: all of a small bucket, those with the first text of a large one."""
-    alike = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
     few = shared.where(F.col("n") <= ALL_PAIRS).groupBy("band", "key").agg(F.sort_array(F.collect_list(F.struct("id", "n_words"))).alias("m"))
     every = F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x, y))))")
     small = few.select(F.explode(every).alias("p")).select("p.x", "p.y")
     star = shared.where((F.col("n") > ALL_PAIRS) & (F.col("x.id") != F.col("id"))).select("x", F.struct("id", "n_words").alias("y"))
-    return small.union(star).where(alike).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    return small.union(star).where(_ALIKE).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
 def _links(copy: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links (a, b, similarity) between text ids.
+    """Verified links (a, b, similarity) between text ids; their components are the classes.
 
-    A large bucket is done when all its texts are linked to its first one, as they are
-    one class then; the texts of the others go on to finer buckets.
+    A large bucket is done when all its texts are in one component. The texts of the
+    others, and all short texts, are compared exactly (``_rest``).
+    """
+    texts = texts.where(f"n_words >= {SHORTEST}")
+    shared = _shared(texts.select("id", "n_words", F.posexplode("sketch").alias("band", "key")))
+    pairs = session.materialize(_pairs(shared), "pairs")
+    short = texts.where(f"n_words <= {SHORT}").select("id", "n_words")
+    met = session.materialize(shared.select("id").union(short.select("id")).distinct().withColumn("_row", F.col("id")), "wanted")
+    words = session.materialize(_words_of(copy, met), "words")
+    links = session.materialize(_verified(pairs, words), "links")
+    more = session.materialize(_rest(words, _undone(shared, short, links)).join(pairs, ["a", "b"], "left_anti"), "pairs")
+    return links.union(session.materialize(_verified(more, words), "links"))
+
+
+def _undone(shared: DataFrame, short: DataFrame, links: DataFrame) -> DataFrame:
+    """Texts (id, n_words, root) of large buckets that hold several components, and all short ones."""
+    roots = session.materialize(components(links), "roots").withColumnRenamed("node", "id")
+    root = F.coalesce("root", "id").alias("root")
+    many = shared.where(F.col("n") > ALL_PAIRS).select("id", "n_words", "band", "key")
+    many = session.materialize(many.join(roots, "id", "left").select("id", "n_words", "band", "key", root), "many")
+    apart = many.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    apart = session.materialize(apart.select("band", "key"), "apart")
+    undone = many.join(apart, ["band", "key"], "left_semi").select("id", "n_words", "root")
+    return session.materialize(undone.union(short.join(roots, "id", "left").select("id", "n_words", root)).distinct(), "undone")
+
+
+def _pair_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all neighbouring two words, told apart by how often they occurred before: hash, owner, words of each text."""
+    texts = [np.frombuffer(w, np.uint32) for w in batch.column("words").to_pylist()]
+    sizes = np.array([len(w) for w in texts])
+    owner = np.repeat(np.arange(len(sizes)), sizes - 1)
+    at = np.arange(len(owner)) + owner  # one word more than pairs in each text before
+    flat = np.concatenate(texts).astype(np.uint64)
+    two = mix(flat[at] << np.uint64(32) | flat[at + 1])
+    return mix(two + mix(_first_seen(mix(two ^ mix(owner.astype(np.uint64)))).astype(np.uint64))), owner, sizes
+
+
+def _rest(words: DataFrame, undone: DataFrame) -> DataFrame:
+    """All pairs (a < b) of ``undone`` texts of different roots that can be linked, and some more.
+
+    One edit changes two pairs of neighbouring words, so linked texts of at most m words
+    share 0.6 m - 1 of them. Each text offers its rarest 0.4 n + 1 pairs of words, rare
+    among ``undone``: two linked texts have at least one of these in common, and a
+    passage that very many texts share is not among them where the texts differ enough.
     """
-    active = texts.where("n_words > 0").select("id", "n_words", F.posexplode("sketch").alias("band", "key"))
-    shared = _shared(active)
-    met = shared.select("id").distinct()
-    words = session.materialize(_words_of(copy, session.materialize(met.withColumn("_row", F.col("id")), "wanted")), "words")
-    links, tested, depth = None, None, 1
-    while True:
-        pairs = _pairs(shared)
-        pairs = session.materialize(pairs if tested is None else pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        found = session.materialize(_verified(pairs, words), "links")
-        links = found if links is None else links.union(found)
-        tested = pairs if tested is None else tested.union(pairs)
-        depth *= 2
-        if depth > SKETCHES:
-            return links
-        many = shared.where(F.col("n") > ALL_PAIRS).withColumn("a", F.col("x.id"))
-        apart = many.where("id != a").join(links.select("a", F.col("b").alias("id")), ["a", "id"], "left_anti")
-        undone = session.materialize(apart.select("band", "key").distinct(), "undone")
-        if undone.isEmpty():
-            return links
-        finer = many.join(undone, ["band", "key"], "left_semi").select("id", "band").join(texts.select("id", "n_words", "sketch"), "id")
-        key = F.xxhash64(*[F.element_at("sketch", F.pmod(F.col("band") + i, F.lit(SKETCHES)).cast("int") + 1) for i in range(depth)])
-        shared = _shared(finer.select("id", "n_words", "band", key.alias("key")))
+    shift = np.uint64(64 - SLOT_BITS)
+    texts = looked_up(words, undone, "id")
+
+    def count(batches):
+        seen = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                seen += np.bincount((_pair_hashes(batch)[0] >> shift).astype(np.int64), minlength=len(seen))
+        at = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["slot", "n"])
+
+    counted = texts.select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    often = np.zeros(1 << SLOT_BITS, np.int64)
+    often[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
+    shared = words.sparkSession.sparkContext.broadcast(often)
+
+    def rare(batch: pa.RecordBatch):
+        for low, high in slices([len(w) for w in batch.column("words").to_pylist()], 1 << 20):
+            some = batch.slice(low, high - low)
+            hashes, owner, sizes = _pair_hashes(some)
+            order = np.lexsort((hashes, shared.value[(hashes >> shift).astype(np.int64)], owner))
+            rank = np.arange(len(owner)) - (np.cumsum(sizes - 1) - (sizes - 1))[owner]
+            kept = rank < (2 * (1 - SIMILARITY) * sizes + 1e-9).astype(np.int64)[owner] + 1
+            columns = [pa.array(hashes[order[kept]].view(np.int64))] + [some.column(c).take(pa.array(owner[kept])) for c in ("id", "n_words", "root")]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "n_words", "root"])
+
+    offered = session.materialize(over_batches(texts.select("id", "n_words", "root", "words"), "token long, id long, n_words int, root long", rare), "offered")
+    sizes = offered.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    met = offered.join(session.materialize(sizes.where("low != high").select("token", "n"), "sizes"), "token")
+    # a large group is dealt into blocks, and every two blocks of it meet in a group of their own
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    met = session.materialize(met.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int")), "met")
+    dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    member = F.struct("id", "n_words", "root", "own")
+    groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(member).alias("m"))
+    fits = f"x.root != y.root AND (i = j OR x.own != y.own) AND {_ALIKE}"
+    every = f"flatten(transform(m, (x, k) -> transform(filter(slice(m, k + 2, size(m)), y -> {fits}), y -> struct(least(x.id, y.id) a, greatest(x.id, y.id) b))))"
+    return groups.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b").distinct()
 
 
 def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -264,9 +329,10 @@ def classes(docs: DataFrame) -> Classes:
 
 
 def class_of(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs``: doc_id, class_id (the class's smallest doc_id), n_words, n_links.
+    """One row per row of ``docs``: doc_id, class_id (the class's smallest doc_id), n_words, n_found_links.
 
-    n_links counts the verified links of the row's text to different texts.
+    n_found_links counts the links of the row's text that were needed to find its class;
+    two texts that are in one class already are not always compared.
     """
     found = classes(docs.select("doc_id", "text"))
     # stored, so that the join is between two plain shuffles and a large class can be split
@@ -274,7 +340,7 @@ def class_of(docs: DataFrame) -> DataFrame:
     ends = found.links.select(F.col("a").alias("id")).union(found.links.select("b"))
     degree = ends.groupBy("id").agg(F.count(F.lit(1)).alias("_links"))
     named = found.members.join(names, "root").join(degree, "id", "left")
-    return named.select("doc_id", "class_id", "n_words", F.coalesce("_links", F.lit(0)).cast("long").alias("n_links"))
+    return named.select("doc_id", "class_id", "n_words", F.coalesce("_links", F.lit(0)).cast("long").alias("n_found_links"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:

@@ -124,3 +124,23 @@ def test_components(spark, shape):
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     linked = {x for a, b in links if a != b for x in (a, b)}
     assert got == {x: root[x] for x in linked}
+
+
+def swapped(rng, text, share):
+    """``text`` with a share of its words replaced."""
+    out = list(text)
+    for k in rng.sample(range(len(out)), int(share * len(out))):
+        out[k] = "new%d" % rng.randrange(99999)
+    return out
+
+
+def test_near_pairs_behind_one_passage(docs):
+    rng = random.Random(5)
+    passage = [f"p{i}" for i in range(160)]
+    texts, group = [], {}
+    for k in range(400):
+        pair = k % 2 and k < 200  # every second of the first 200 is a near copy of the one before
+        own = swapped(rng, own, 0.25) if pair else [f"q{rng.randrange(5000)}" for _ in range(100)]
+        texts.append((k, " ".join(passage + own)))
+        group[k] = k - 1 if pair else k
+    assert {r["doc_id"]: r["class_id"] for r in near_dedup.class_of(docs(texts)).collect()} == group
