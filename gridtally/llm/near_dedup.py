@@ -25,10 +25,10 @@ from gridtally import session
 from gridtally.llm.common import looked_up, mix, numbered_copy, over_batches, run_hashes, slices, spans_of
 from gridtally.llm.components import components
 
-SHINGLE = 5
+SHINGLE = 3
 SIMILARITY = 0.8
-#: Sketches of a text, and k-mers a sketch takes.
-SKETCHES, TAKE = 16, 2
+#: Sketches of a text, and k-mers a sketch takes: texts of similarity 0.8 share one with probability 0.99 or more.
+SKETCHES, TAKE = 48, 2
 #: Texts of a bucket up to which all its pairs are compared.
 ALL_PAIRS = 10
 #: Shorter texts are linked to none; texts up to ``SHORT`` words have too few k-mers for sketches and are compared exactly.

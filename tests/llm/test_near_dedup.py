@@ -144,3 +144,12 @@ def test_near_pairs_behind_one_passage(docs):
         texts.append((k, " ".join(passage + own)))
         group[k] = k - 1 if pair else k
     assert {r["doc_id"]: r["class_id"] for r in near_dedup.class_of(docs(texts)).collect()} == group
+
+
+@pytest.mark.parametrize("similarity", [0.8, 0.85, 0.9])
+def test_sketches_of_near_pairs(similarity):
+    rng = random.Random(6)
+    pairs = [[f"w{rng.randrange(10**6)}" for _ in range(rng.choice([60, 120, 300]))] for _ in range(400)]
+    texts = [" ".join(t) for a in pairs for t in (a, swapped(rng, a, 1 - similarity + 1e-9))]
+    made = near_dedup.sketches(*near_dedup.word_runs(texts))
+    assert (made[::2] == made[1::2]).any(axis=1).mean() >= 0.99
