@@ -23,8 +23,6 @@ from gridtally.llm.quality import sample
 
 #: Labelled rows of either label to learn from, at most.
 SAMPLE_ROWS = 3000
-#: Terms of the lexicon, at most, and keys that are looked at for it, at most.
-MOST_TERMS, MOST_KEYS = 200, 20_000
 #: How surely a key must tell the labels apart: log likelihood against chance.
 SURE = 10.0
 #: Stems are tried from the first length to the last.
@@ -33,8 +31,10 @@ STEM_LENGTHS = range(4, 9)
 AROUND, CONTEXT_BUCKETS = 6, 4096
 #: Characters to either side of a hit in which quotation marks are looked for.
 QUOTE_REACH = 80
-#: Most states of the automaton; with more, fewer errors are allowed.
+#: Most states of one automaton; a lexicon that needs more is split into several.
 MOST_STATES = 50_000
+#: States that a letter of a term adds, about, by the errors allowed.
+_STATES = (1, 10, 75)
 QUOTES = "\"“”„«»‘’"
 
 _KNOWN = 0x250
@@ -79,13 +79,13 @@ class Automaton:
     character the best term and its errors as 4 * term + errors, or -1.
     """
 
-    def __init__(self, terms: list[tuple[str, bool]], less: int = 0):
+    def __init__(self, terms: list[tuple[str, bool]], most: int | None = None):
         children: list[dict[str, int]] = [{}]
         whole: dict[int, int] = {}
         stem: dict[int, int] = {}
         budget = [0]
         for k, (term, is_stem) in enumerate(terms):
-            node, allowed = 0, max(0, errors_allowed(term) - less)
+            node, allowed = 0, errors_allowed(term)
             budget[0] = max(budget[0], allowed)
             for c in term:
                 if c not in children[node]:
@@ -95,7 +95,7 @@ class Automaton:
                 node = children[node][c]
                 budget[node] = max(budget[node], allowed)
             (stem if is_stem else whole)[node] = k
-        limit = [max(0, errors_allowed(t) - less) for t, _ in terms]
+        limit = [errors_allowed(t) for t, _ in terms]
         alphabet = sorted({c for t, _ in terms for c in t})
         self.classes = np.full(_KNOWN + 1, len(alphabet) + 1, np.int32)
         self.other = {c: i + 1 for i, c in enumerate(alphabet) if ord(c) >= _KNOWN}
@@ -141,9 +141,8 @@ class Automaton:
                     queue.append(reached)
                 row.append(numbers[reached])
             rows.append(row)
-            if len(numbers) > MOST_STATES and less < 2:
-                self.__init__(terms, less + 1)
-                return
+            if most and len(numbers) > most:
+                raise OverflowError(f"more than {most} states")
         self.next = np.array(rows, np.int32)
         self.match = np.full(len(rows), -1, np.int32)
         for state, n in numbers.items():
@@ -175,6 +174,47 @@ class Automaton:
         return word[order], what[order]
 
 
+class Automata:
+    """The whole lexicon, as one automaton or as several that are read one after another.
+
+    Every term keeps its errors, however many terms there are.
+    """
+
+    def __init__(self, terms: list[tuple[str, bool]]):
+        self.length = np.array([len(t) for t, _ in terms], np.int64)
+        self.parts: list[tuple[np.ndarray, Automaton]] = []
+        cost = [len(t) * _STATES[errors_allowed(t)] for t, _ in terms]
+        order = sorted(range(len(terms)), key=lambda k: terms[k])  # terms that begin alike share states
+        if sum(cost) <= MOST_STATES:
+            self._add(terms, order)
+        else:
+            for low, high in slices([cost[k] for k in order], MOST_STATES):
+                self._add(terms, order[low:high])
+
+    def _add(self, terms: list[tuple[str, bool]], chosen: list[int]) -> None:
+        chosen = sorted(chosen)
+        try:
+            made = Automaton([terms[k] for k in chosen], MOST_STATES if len(chosen) > 1 else None)
+        except OverflowError:
+            order = sorted(chosen, key=lambda k: terms[k])
+            self._add(terms, order[: len(order) // 2])
+            self._add(terms, order[len(order) // 2 :])
+        else:
+            self.parts.append((np.array(chosen, np.int64), made))
+
+    def read(self, code: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words that match, and the best that they match, as 4 * term + errors."""
+        found = []
+        for chosen, part in self.parts:
+            word, what = part.read(code, begin, end)
+            found.append((word, 4 * chosen[what >> 2] + (what & 3) if len(what) else what.astype(np.int64)))
+        word, what = (np.concatenate(x) for x in zip(*found))
+        order = np.lexsort((what >> 2, -self.length[what >> 2], what & 3, word)) if len(word) else np.zeros(0, np.int64)
+        word, what = word[order], what[order]
+        first = np.diff(word, prepend=-1) != 0
+        return word[first], what[first]
+
+
 def _quoted(text: str, begin: int, end: int) -> bool:
     """Whether a mark opens before and one closes after, on the same line."""
     before = text[max(0, begin - QUOTE_REACH) : begin].rpartition("\n")[2]
@@ -246,8 +286,7 @@ def choose_terms(toxic: dict[str, int]) -> list[tuple[str, bool]]:
         elif len(cover) == STEM_LENGTHS[-1] and toxic[k] >= 0.9 * toxic.get(cover + "*", 1):
             terms.pop(cover)
             terms[k[:-1]] = False
-    ranked = sorted(terms.items(), key=lambda x: (-max(toxic.get(x[0] + "$", 0), toxic.get(x[0] + "*", 0)), x[0]))
-    return ranked[:MOST_TERMS]
+    return sorted(terms.items(), key=lambda x: (-max(toxic.get(x[0] + "$", 0), toxic.get(x[0] + "*", 0)), x[0]))
 
 
 class Model:
@@ -258,7 +297,7 @@ class Model:
     PRIOR = np.array([3.0, 1.0, 2.0, 0.5, 1.0, 1.0, -3.0])
 
     def __init__(self, terms: list[tuple[str, bool]]):
-        self.terms, self.automaton = terms, Automaton(terms)
+        self.terms, self.automaton = terms, Automata(terms)
         self.evidence = np.ones((len(terms), 3))
         self.context = np.zeros(CONTEXT_BUCKETS)
         self.layer = self.PRIOR.copy()
@@ -343,7 +382,11 @@ def _telling_keys(chosen: DataFrame) -> dict[str, int]:
 
     found = over_batches(chosen.select("label", "text"), "key string, toxic long, clean long", count)
     summed = found.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    best = summed.where((F.col("toxic") > 1) & (F.col("clean") <= 0.02 * F.col("toxic"))).orderBy(F.desc("toxic"), "key").limit(MOST_KEYS)
+    if not all_toxic or not all_clean:
+        return {}  # nothing to tell apart
+    # what no key below it can reach, so that the driver gets few keys that do not tell
+    chance = float(np.log((all_toxic + all_clean) / all_toxic))
+    best = summed.where((F.col("toxic") * chance >= SURE - 1e-6) & (F.col("clean") <= 0.02 * F.col("toxic")))
     clean = {r["key"]: r["clean"] for r in best.collect() if tells(r["toxic"], r["clean"], all_toxic, all_clean)}
     wanted = chosen.sparkSession.sparkContext.broadcast(set(clean))
 
@@ -367,7 +410,7 @@ def _telling_keys(chosen: DataFrame) -> dict[str, int]:
 def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Model:
     """Learn lexicon and weights from at most ``rows`` documents of either label for which ``use`` holds.
 
-    The driver gets keys of the lexicon search (bounded) and the hits of the sample.
+    The driver gets the telling keys and the hits of the sample, which bounds both.
     Without telling terms the model scores every document by its bias.
     """
     parts = [sample(docs, labels, label, use & (F.col(label) == y), rows) for y in (1, 0)]

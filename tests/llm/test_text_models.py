@@ -137,3 +137,19 @@ def test_empty_tables(spark, docs):
         model = fit(some, none, F.lit(True))
         assert all(0 <= r["score"] <= 1 for r in score(some, model).collect())
         assert score(docs([]), model).collect() == []
+
+
+def test_long_lexicon_keeps_its_errors():
+    rng = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    terms = sorted({("".join(rng.choice(letters) for _ in range(rng.randrange(9, 12))), rng.random() < 0.2) for _ in range(200)})
+    made = toxicity.Automata(terms)
+    assert all(len(part.next) <= toxicity.MOST_STATES + 100 for _, part in made.parts)
+    missed = []
+    for k, (term, _) in enumerate(terms):
+        wrong = term[:2] + "é" + term[3:-2] + term[-1]  # one character replaced, one left out
+        found = toxicity.find(made, [f"{term} {wrong}"])[0][1]
+        missed += [term] * ([(h[2], h[3]) for h in found] != [(k, 0), (k, 2)])
+    assert not missed
+    many = {f"word{i}$": 20 for i in range(300)}
+    assert len(toxicity.choose_terms(many)) == 300
