@@ -2,7 +2,7 @@
 
 Texts are lowered (A to Z) and cut into words of ``[0-9a-z]`` and characters from
 U+0080 on. Windows of ``width`` consecutive words of the benchmark items (the whole
-item where it is shorter) become the patterns; each document is scanned once and
+item where it is shorter) become the patterns, as word numbers; each document is scanned once and
 every word inside an occurrence is a hit. Offsets lead back to the original text.
 """
 
@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +26,9 @@ _FOLD = bytes(
 )
 _WORD = re.compile(rb"[^ ]+")
 
+#: Nodes of one automaton over word numbers, at most, some 80 bytes each with their windows.
+MOST_NODES = 4_000_000
+
 NAMES = ("n_words", "n_hit", "item_ids", "spans", "contaminated")
 RESULT = (
     "n_words long, n_hit long, item_ids array<string>, "
@@ -45,65 +47,91 @@ def words(text: bytes) -> list[bytes]:
     return text.translate(_FOLD).split()
 
 
-def windows(text: bytes, width: int) -> list[bytes]:
-    """The distinct windows of an item, words joined by one space."""
-    found = words(text)
+def windows(found: list, width: int) -> list[tuple]:
+    """The distinct windows of an item's words; all of them where there are fewer than ``width``."""
     if len(found) < width:
-        return [b" ".join(found)] if found else []
-    return list(dict.fromkeys(b" ".join(found[i : i + width]) for i in range(len(found) - width + 1)))
+        return [tuple(found)] if found else []
+    return list(dict.fromkeys(tuple(found[i : i + width]) for i in range(len(found) - width + 1)))
 
 
-def _automaton(items: list[tuple[str, bytes]], width: int):
+def _automaton(items: list[tuple[str, list[bytes]]], width: int):
+    """Numbers of the words of a group, and the automaton over windows of these numbers."""
     import ahocorasick
 
-    owners: dict[str, list[str]] = {}
-    for item, text in items:
-        for w in windows(text, width):
-            ids = owners.setdefault(f" {w.decode('latin-1')} ", [])
+    numbers: dict[bytes, int] = {}
+    owners: dict[tuple, list[str]] = {}
+    for item, found in items:
+        for w in windows([numbers.setdefault(x, len(numbers) + 1) for x in found], width):
+            ids = owners.setdefault(w, [])
             if item not in ids:
                 ids.append(item)
-    made = ahocorasick.Automaton()
+    made = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
     for pattern, ids in owners.items():
-        made.add_word(pattern, (pattern.count(" ") - 1, ids))
+        made.add_word(pattern, (len(pattern), ids))
     if owners:
         made.make_automaton()
-    return made
+    return numbers, made
+
 
+_HELD: dict = {}
 
-@lru_cache(maxsize=1)
-def _held(key, width: int):
-    """The automaton of a broadcast group, built once in a worker."""
-    return _automaton(_GROUPS[key].value, width)
 
+def _held(key, group, width: int):
+    """The automaton of a broadcast group; a worker keeps one."""
+    if (key, width) not in _HELD:
+        _HELD.clear()
+        _HELD[key, width] = _automaton(group.value, width)
+    return _HELD[key, width]
 
-_GROUPS: dict = {}
 
+def _groups(rows, width: int, group_bytes: int):
+    """Parts of the benchmark for one automaton each, as (item, words) pieces.
 
-def _scan(text: bytes, groups, width: int) -> tuple:
-    found = words(text)
-    joined = b" " + b" ".join(found) + b" "
-    flat, hits = joined.decode("latin-1"), []
+    A part has at most ``group_bytes`` of text and MOST_NODES nodes, or one piece. An
+    item too long for one piece is cut; pieces overlap, so that no window is lost.
+    """
+    longest = max(width, MOST_NODES // width)
+    group, size, nodes = [], 0, 0
+    for item, text in rows:
+        found = words(bytes(text))
+        for at in range(0, max(1, len(found) - width + 1), longest):
+            piece = found[at : at + longest + width - 1]
+            n = sum(map(len, piece)) + len(piece)
+            more = max(len(piece), (len(piece) - width + 1) * width)
+            if group and (size + n > group_bytes or nodes + more > MOST_NODES):
+                yield group
+                group, size, nodes = [], 0, 0
+            group.append((item, piece))
+            size, nodes = size + n, nodes + more
+    if group:
+        yield group
+
+
+def _hits(texts: list[bytes], groups, width: int) -> list[list[tuple]]:
+    """Per text, the windows in it: (last word, words, items). Each group is taken through all texts."""
+    hits: list[list[tuple]] = [[] for _ in texts]
     for key, group in groups:
-        _GROUPS.setdefault(key, group)
-        automaton = _held(key, width)
+        numbers, automaton = _held(key, group, width)
         if len(automaton):
-            hits += [(end, *value) for end, value in automaton.iter(flat)]
+            for of, text in zip(hits, texts):
+                of += [(end, *value) for end, value in automaton.iter(tuple(numbers.get(w, 0) for w in words(text)))]
+    return hits
+
+
+def _judged(text: bytes, hits: list[tuple]) -> tuple:
+    n_words = len(words(text))
     if not hits:
-        return len(found), 0, [], [], False
-    before = np.cumsum(np.frombuffer(joined, np.uint8) == 0x20)
-    covered, spans = np.zeros(len(found), bool), set()
-    places = None
+        return n_words, 0, [], [], False
+    covered, spans = np.zeros(n_words, bool), set()
+    places = [m.span() for m in _WORD.finditer(text.translate(_FOLD))]
     for end, n, ids in hits:
-        last = int(before[end]) - 1
-        covered[last - n : last] = True
-        if places is None:
-            places = [m.span() for m in _WORD.finditer(text.translate(_FOLD))]
-        spans.update((item, places[last - n][0], places[last - 1][1]) for item in ids)
+        covered[end + 1 - n : end + 1] = True
+        spans.update((item, places[end + 1 - n][0], places[end][1]) for item in ids)
     # byte offsets to character offsets: bytes that begin a character, counted
     chars = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
     spans = sorted((item, int(chars[s]), int(chars[e])) for item, s, e in spans)
     items, n_hit = sorted({item for item, _, _ in spans}), int(covered.sum())
-    return len(found), n_hit, items, spans, 20 * n_hit >= len(found)
+    return n_words, n_hit, items, spans, 20 * n_hit >= n_words
 
 
 def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple = ("doc_id",), width: int = 13, group_bytes: int = 32 << 20) -> DataFrame:
@@ -113,28 +141,25 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple = ("doc_id",), width
     columns are ignored. ``benchmark`` has ``item_id`` and ``text``; rows that lack
     either take no part. A null or empty text has no words and is clean. Repeated
     item ids count as one item. Benchmark texts go to the tasks in groups of at most
-    ``group_bytes``, each group one automaton; a usual benchmark is one group, and
-    with more of them an automaton is built for each group and batch in turn, so
-    memory stays bounded and every window counts. ``spans`` holds one entry per item
+    ``group_bytes`` and MOST_NODES automaton nodes, each group one automaton. A worker
+    holds one automaton at a time, kept from batch to batch where there is one group;
+    with more of them each is built once for each batch of rows, so memory stays bounded
+    by the texts of the benchmark and every window counts. ``spans`` holds one entry per item
     and window occurrence, as character offsets of the original text.
     """
     spark = docs.sparkSession
     items = benchmark.where("item_id is not null and text is not null").select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")
     )
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    n = max(1, -(-size // group_bytes))
-    part = F.pmod(F.xxhash64("item_id"), F.lit(n))
     groups = []
-    for g in range(n):
-        rows = sorted((r[0], bytes(r[1])) for r in items.where(part == g).collect())
-        shared = spark.sparkContext.broadcast(rows)
-        groups.append((hashlib.sha256(repr(rows).encode()).hexdigest(), shared))
+    for rows in _groups(items.toLocalIterator(), width, group_bytes):
+        groups.append((hashlib.sha256(repr(rows).encode()).hexdigest(), spark.sparkContext.broadcast(rows)))
 
     chosen, text = beside_text(docs, keep)
 
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n_words, n_hit, items, spans, bad = zip(*(_scan(t, groups, width) for t in text_bytes(batch.column(text))))
+    def work(batch: pa.RecordBatch):
+        texts = text_bytes(batch.column(text))
+        n_words, n_hit, items, spans, bad = zip(*(_judged(t, h) for t, h in zip(texts, _hits(texts, groups, width))))
         spans = [[dict(zip(("item_id", "start", "end"), s)) for s in of] for of in spans]
         made = [pa.array(v, k) for v, k in zip((n_words, n_hit, items, spans, bad), KINDS)]
         return pa.RecordBatch.from_arrays([batch.column(c) for c in keep] + made, names=[*keep, *NAMES])

@@ -113,3 +113,21 @@ def test_queries_against_sql(spark, name):
 def test_digest_of_no_items(spark):
     rows = queries.QUERIES["op9_benchmark_decontamination"](spark, SAMPLE).where("n_items = 0").collect()
     assert {r["items_sha256"] for r in rows} <= {hashlib.sha256(b"").hexdigest()}
+
+
+def test_benchmark_groups_are_bounded_and_built_once_a_batch(monkeypatch):
+    class Shared:
+        def __init__(self, value):
+            self.value = value
+
+    text = " ".join(f"word{i}" for i in range(3000)).encode()
+    items = [("long", text), ("other", b"a b c d")]
+    monkeypatch.setattr(decontaminate, "MOST_NODES", 2000)
+    groups = [(f"bounded-{k}", Shared(rows)) for k, rows in enumerate(decontaminate._groups(items, 13, 32 << 20))]
+    built = []
+    make = decontaminate._automaton
+    monkeypatch.setattr(decontaminate, "_automaton", lambda rows, width: built.append(make(rows, width)) or built[-1])
+    hits = decontaminate._hits([text, b"x a b c d", b"none"], groups, 13)
+    assert len(built) == len(groups) > 10  # not once for each text
+    assert all(made.get_stats()["nodes_count"] <= 2001 for _, made in built)
+    assert {end for end, _, _ in hits[0]} == set(range(12, 3000)) and hits[1] == [(4, 4, ["other"])] and hits[2] == []
