@@ -2,32 +2,66 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from gridtally.sources import files
 
 
-def change_lines(spark: SparkSession, path: str) -> DataFrame:
+def _text(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Lines of exactly these files; a file that cannot be read to its end is an error."""
+    plain = [re.sub(r"([\\*?\[\]{}])", r"\\\1", p) for p in paths]  # names are no patterns
+    return spark.read.option("ignoreCorruptFiles", "false").schema("value string").text(plain)
+
+
+def change_lines(spark: SparkSession, path: str, without: list[str] | None = None) -> DataFrame:
     """One row per non-blank line of the change files (gzip is read as is).
 
-    An unreadable file gives no lines and stops nothing; ``unreadable`` finds it.
+    A file that cannot be read to its end is an error; ``unreadable`` finds such files,
+    and ``without`` leaves out the paths it gave.
     """
-    return spark.read.option("ignoreCorruptFiles", "true").text(path).filter(F.trim("value") != "")
+    if without:
+        whole = files.listing(spark, path).select("path").collect()
+        lines = _text(spark, [r["path"] for r in whole if r["path"] not in set(without)])
+    else:
+        lines = spark.read.option("ignoreCorruptFiles", "false").text(path)
+    return lines.filter(F.trim("value") != "")
+
+
+def broken(spark: SparkSession, paths: list[str]) -> list[str]:
+    """Those of some files that cannot be read to their end, found by halving."""
+    if not paths:
+        return []
+    try:
+        _text(spark, paths).agg(F.sum(F.length("value"))).collect()
+        return []
+    except Exception:
+        if len(paths) == 1:
+            return paths
+        half = len(paths) // 2
+        return broken(spark, paths[:half]) + broken(spark, paths[half:])
 
 
 def unreadable(spark: SparkSession, path: str) -> DataFrame:
-    """Change files that hold bytes, but from which no record could be read: path, bytes."""
-    lines = spark.read.option("ignoreCorruptFiles", "true").text(path).filter(F.trim("value") != "")
-    plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")  # noqa: E731  file:/x and file:///x are one file
-    read = lines.select(plain("_metadata.file_path").alias("_file")).distinct()
-    landed = files.listing(spark, path).filter("bytes > 0").withColumn("_file", plain("path"))
-    return landed.join(read, "_file", "left_anti").select("path", "bytes")
-
-
-def change_line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """The same lines, each with its file, as an unbounded source that picks up new files."""
-    lines = spark.readStream.option("maxFilesPerTrigger", files_per_batch).option("ignoreCorruptFiles", "true").text(path)
-    return lines.select("value", F.col("_metadata.file_path").alias("source_file")).filter(F.trim("value") != "")
+    """Change files that hold bytes, but cannot be read to their end: path, bytes."""
+    landed = files.listing(spark, path).filter("bytes > 0").select("path", "bytes").collect()
+    bad = set(broken(spark, [r["path"] for r in landed]))
+    return spark.createDataFrame([tuple(r) for r in landed if r["path"] in bad], "path string, bytes long")
+
+
+def change_file_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """Paths of change files as an unbounded source that picks up new files; no content is read."""
+    shape = "path string, modificationTime timestamp, length long, content binary"
+    return spark.readStream.format("binaryFile").schema(shape).option("maxFilesPerTrigger", files_per_batch).load(path).select("path")
+
+
+def lines_of(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Non-blank lines of some change files, each with its file."""
+    lines = _text(spark, paths) if paths else spark.createDataFrame([], "value string").withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+    # _metadata names files as URIs, a listing as they are
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return lines.select("value", file.alias("source_file")).filter(F.trim("value") != "")
 
 
 def notified_paths(messages: DataFrame, body: str = "value") -> DataFrame:

@@ -13,20 +13,40 @@ from gridtally.sources import changes, files
 STATE_KEYS = ["source_table", "source_primary_key", "operation"]
 
 
-def write_split(lines: DataFrame, out: str, checkpoint: str, ingested_at: str | Column, guess_keys: bool = False):
+def write_split(arrived: DataFrame, out: str, checkpoint: str, ingested_at: str | Column, guess_keys: bool = False):
     """Start the stream that appends good events and bad records to two tables.
 
-    A batch is written under its own number, so a batch that is retried after a
+    ``arrived`` holds lines (``value``), or the ``path`` of change files. A file that
+    cannot be read to its end gives no lines; its path goes to a third table (``unread``),
+    from where it can be replayed when it has landed whole. An error that passes does no
+    harm: a file is only given up if it fails again by itself. A batch is written under its own number, so a batch that is retried after a
     lost executor replaces its earlier attempt instead of adding to it.
     """
 
     def both(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        keep = [c for c in batch.columns if c == "source_file"]
-        normalized = cdc.normalize(batch, ingested_at, guess_keys, keep)
         # One parse per batch: the file is the hand-over to the two outputs.
         staged = f"{out}/normalized/batch={number}"
-        normalized.write.mode("overwrite").parquet(staged)
+
+        def stage(lines: DataFrame) -> tuple[list[str], DataFrame]:
+            keep = [c for c in lines.columns if c == "source_file"]
+            normalized = cdc.normalize(lines, ingested_at, guess_keys, keep)
+            normalized.write.mode("overwrite").parquet(staged)
+            return keep, normalized
+
+        if "path" in batch.columns:
+            # at most the files of a batch; the source may name one twice
+            paths = sorted({r["path"] for r in batch.collect()})
+            unread: list[str] = []
+            try:
+                keep, normalized = stage(changes.lines_of(spark, paths))
+            except Exception:
+                unread = changes.broken(spark, paths)
+                whole = [p for p in paths if p not in set(unread)]
+                keep, normalized = stage(changes.lines_of(spark, whole))
+            spark.createDataFrame([(p,) for p in unread], "path string").write.mode("overwrite").parquet(f"{out}/unread/batch={number}")
+        else:
+            keep, normalized = stage(batch)
         saved = spark.read.schema(normalized.schema).parquet(staged)
         seen = saved.groupBy(*keep).agg(F.count(F.lit(1)).alias("processed"), F.count("error").alias("invalid"))
         seen.write.mode("overwrite").parquet(f"{out}/counters/batch={number}")
@@ -36,13 +56,13 @@ def write_split(lines: DataFrame, out: str, checkpoint: str, ingested_at: str |
         cdc.invalid(saved).write.mode("overwrite").parquet(f"{out}/errors/batch={number}")
 
     return (
-        lines.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        arrived.writeStream.foreachBatch(both).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
 def run_split(spark: SparkSession, source: str, out: str, checkpoint: str, ingested_at: str, files_per_batch: int = 1000) -> None:
     """Process everything that has arrived, then stop."""
-    write_split(changes.change_line_stream(spark, source, files_per_batch), out, checkpoint, ingested_at).awaitTermination()
+    write_split(changes.change_file_stream(spark, source, files_per_batch), out, checkpoint, ingested_at).awaitTermination()
 
 
 def events(spark: SparkSession, out: str) -> DataFrame:
@@ -53,7 +73,8 @@ def events(spark: SparkSession, out: str) -> DataFrame:
 
 def counters(spark: SparkSession, source: str, out: str) -> DataFrame:
     """What the change stream has done so far: records, invalid ones, files announced,
-    read, and found unreadable (they hold bytes, but no record came from them)."""
+    read, and not read (they hold bytes, but could not be read to their end, so that
+    no record of them was taken)."""
     seen = spark.read.schema("source_file string, processed bigint, invalid bigint").parquet(f"{out}/counters")
     plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")  # noqa: E731  file:/x and file:///x are one file
     per_file = seen.groupBy(plain("source_file").alias("_file")).agg(F.sum("processed").alias("processed"), F.sum("invalid").alias("invalid"))
@@ -67,6 +88,11 @@ def counters(spark: SparkSession, source: str, out: str) -> DataFrame:
     )
 
 
+def unread(spark: SparkSession, out: str) -> DataFrame:
+    """Paths of the files that could not be read to their end."""
+    return spark.read.schema("path string").parquet(f"{out}/unread").drop("batch")
+
+
 def errors(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.schema(schemas.CHANGE_ERROR).parquet(f"{out}/errors").drop("batch")
 

@@ -1,6 +1,7 @@
 """Results that must not depend on how the input is spread over files, and edge rows."""
 
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -167,3 +168,27 @@ def test_the_whole_error_is_recorded(spark, tmp_path):
         pipelines.backfill(spark, base, "r1", "t", broken, "day", "2024-01-01", "2024-01-31", lambda df: None)
     row = spark.read.schema(schemas.RUN_MANIFEST).option("recursiveFileLookup", "true").json(f"{base}/_manifests").first()
     assert row["status"] == "FAILED" and row["error"] == "x" * 5000
+
+
+def test_a_truncated_change_file_is_not_half_read(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    record = '{"customer_id":"C%d","note":"%s","_metadata":{"change_type":"UPDATE","table":"customers"}}'
+    many = "\n".join(record % (i, os.urandom(40).hex()) for i in range(5000)).encode()
+    whole = gzip.compress(many)
+    (folder / "half.txt.gz").write_bytes(whole[: len(whole) // 2])
+    (folder / "whole.txt.gz").write_bytes(gzip.compress((record % (7, "")).encode()))
+    (folder / "odd [1].txt").write_text(record % (8, ""))
+    bad = [r["path"] for r in change_files.unreadable(spark, str(folder)).collect()]
+    assert [p.rsplit("/")[-1] for p in bad] == ["half.txt.gz"]
+    with pytest.raises(Exception):
+        change_files.change_lines(spark, str(folder)).count()
+    assert change_files.change_lines(spark, str(folder), without=bad).count() == 2
+    out = str(tmp_path / "out")
+    changes.run_split(spark, str(folder), out, str(tmp_path / "at"), "2026-01-01 00:00:00")
+    assert changes.counters(spark, str(folder), out).first().asDict() == {
+        "notifications": 3, "files_read": 2, "read_errors": 1, "processed": 2, "invalid": 0,
+    }
+    assert [r["path"].rsplit("/")[-1] for r in changes.unread(spark, out).collect()] == ["half.txt.gz"]
