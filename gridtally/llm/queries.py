@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import session
-from gridtally.llm import binary_ids, decontaminate, line_dedup, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
+from gridtally.llm import binary_ids, decontaminate, line_dedup, merkle, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
 from gridtally.llm.common import prepare, remainder, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
@@ -139,3 +139,65 @@ def benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 def block_anchors(spark: SparkSession, folder: str) -> DataFrame:
     made = substring_dedup.dedup(table(prepare(spark), folder, "documents"))
     return made.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def _crc32_sql(text: str) -> str:
+    """SQL for the crc32 of a text of code points up to 255, bit by bit (reflected polynomial EDB88320)."""
+    octets = f"""flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN c = '' THEN CAST([] AS BIGINT[])
+        WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)] ELSE [CAST(192 + (ord(c) >> 6) AS BIGINT), CAST(128 + (ord(c) & 63) AS BIGINT)] END))"""
+    shifted = "list_reduce(CAST(range(8) AS BIGINT[]), lambda x, o: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b))"
+    return f"xor(list_reduce({octets}, lambda a, b: {shifted}, CAST(4294967295 AS BIGINT)), CAST(4294967295 AS BIGINT))"
+
+
+def _field_sql(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _leaf_sql(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field_sql, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+# One tree over the leaves of each language, one over the languages' roots; a node's sibling has its place with the last bit flipped.
+_MERKLE_SQL = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang AS g, leaf, t, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p, count(*) OVER (PARTITION BY lang) AS n
+    FROM (SELECT doc_id, lang, {_leaf_sql("n_chars")} AS leaf, CASE WHEN {_crc32_sql("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_leaf_sql("(n_chars + 1)")} END AS t FROM documents)),
+low AS (
+    SELECT g, 0 AS l, p, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT g, l + 1, p >> 1, (n + 1) >> 1, sha256(string_agg(h, '' ORDER BY p)) FROM low WHERE n > 1 GROUP BY g, l, p >> 1, n),
+subroots AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS p, count(*) OVER () AS n FROM low WHERE n = 1),
+high AS (
+    SELECT 0 AS l, p, n, subroot AS h FROM subroots
+    UNION ALL
+    SELECT l + 1, p >> 1, (n + 1) >> 1, sha256(string_agg(h, '' ORDER BY p)) FROM high WHERE n > 1 GROUP BY l, p >> 1, n),
+place AS (SELECT leaves.*, subroot, s.p AS gp, s.n AS gn, row_number() OVER () AS r FROM leaves JOIN subroots s ON leaves.g IS NOT DISTINCT FROM s.g),
+beside AS (
+    SELECT r, 0 AS tree, l, h FROM place JOIN low ON place.g IS NOT DISTINCT FROM low.g AND low.p = xor(place.p >> low.l, 1)
+    UNION ALL
+    SELECT r, 1, l, h FROM place JOIN high ON high.p = xor(place.gp >> high.l, 1)),
+proofs AS (SELECT r, string_agg(h, '' ORDER BY tree, l) AS proof FROM beside GROUP BY r),
+climb AS (
+    SELECT r, 0 AS tree, 0 AS l, p, n, coalesce(t, leaf) AS h FROM place
+    UNION ALL
+    SELECT c.r, CASE WHEN n > 1 THEN tree ELSE tree + 1 END, CASE WHEN n > 1 THEN c.l + 1 ELSE 0 END,
+        CASE WHEN n > 1 THEN p >> 1 ELSE (SELECT gp FROM place WHERE place.r = c.r) END,
+        CASE WHEN n > 1 THEN (n + 1) >> 1 ELSE (SELECT gn FROM place WHERE place.r = c.r) END,
+        CASE WHEN n = 1 THEN c.h WHEN p % 2 = 1 THEN sha256(b.h || c.h) ELSE sha256(c.h || coalesce(b.h, '')) END
+    FROM climb c LEFT JOIN beside b USING (r, tree, l) WHERE tree = 0 OR n > 1)
+SELECT doc_id, leaf, subroot, (SELECT h FROM high WHERE n = 1) AS root, sha256(coalesce(proof, '')) AS proof_sha256,
+    c.h AS folded_root, c.h = (SELECT h FROM high WHERE n = 1) AS verified
+FROM place LEFT JOIN proofs USING (r) JOIN climb c ON c.r = place.r AND c.tree = 1 AND c.n = 1
+"""
+
+
+@query("op11_merkle_manifest", _MERKLE_SQL)
+def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(prepare(spark), folder, "documents")
+    changed = [F.col("n_chars") + 1 if f == "n_chars" else F.col(f) for f in merkle.FIELDS]
+    claim = F.when(remainder("doc_id", 7) == 0, merkle.leaf(changed))
+    made = merkle.manifest(docs, claims={"tampered": claim})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), "proof", merkle.PLACES)
+    return made.withColumn("folded_root", folded).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
