@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridtally import session
-from gridtally.llm import binary_ids, decontaminate, line_dedup, merkle, near_dedup, packing, quality, sharding, substring_dedup, topk, toxicity
+from gridtally.llm import binary_ids, decontaminate, line_dedup, merkle, near_dedup, packing, quality, sharding, simhash, substring_dedup, topk, toxicity, variants
 from gridtally.llm.common import prepare, remainder, table
 from gridtally.llm.registry import ORACLES, QUERIES, query
 
@@ -201,3 +201,40 @@ def merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return made.withColumn("folded_root", folded).select(
         "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
     )
+
+
+# Words that agree but for the letter at one place, or but for one letter that the longer one has more.
+_VARIANTS_SQL = rf"""
+WITH RECURSIVE runs AS (
+    SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]{{6,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+hashed AS (SELECT run, {_crc32_sql("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM runs),
+made AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed),
+vocabulary AS (SELECT word, count(*) AS n FROM made WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+less AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM vocabulary)),
+near AS (
+    SELECT a.word, b.word AS other, b.n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+    UNION
+    SELECT a.word, b.word, b.n FROM less a JOIN vocabulary b ON a.rest = b.word
+    UNION
+    SELECT b.word, a.word, a.n FROM less a JOIN vocabulary b ON a.rest = b.word),
+best AS (SELECT word, count(*) AS n_near, max(n) AS n, min(struct_pack(less := -n, other := other)).other AS form FROM near GROUP BY word),
+forms AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN b.n >= 5 * v.n THEN form END AS form, CASE WHEN b.n >= 5 * v.n THEN b.n END AS form_n
+    FROM vocabulary v LEFT JOIN best b USING (word)),
+chain AS (
+    SELECT word, word AS root, form AS further FROM forms
+    UNION ALL
+    SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON c.further = f.word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM chain WHERE further IS NULL) USING (word)
+"""
+
+
+@query("op12_spelling_variants", _VARIANTS_SQL)
+def spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return variants.groups(table(prepare(spark), folder, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query("op13_covering_simhash")
+def covering_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    made = simhash.groups(table(prepare(spark), folder, "documents"))
+    return made.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
