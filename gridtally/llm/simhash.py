@@ -133,8 +133,11 @@ def _tables(rows: DataFrame, radius: int) -> DataFrame:
     spark = rows.sparkSession
     masks = [r[0] for r in rows.select("used").distinct().collect()]
     finer = [(m, [_signed(x) for x in covering_masks(m % (1 << BITS), radius)]) for m in masks]
-    finer = spark.createDataFrame(finer, "used long, masks array<long>")
-    dealt = rows.join(F.broadcast(finer), "used").select("fingerprint", F.explode("masks").alias("used"))
+    if len(finer) == 1:
+        rows = rows.withColumn("masks", F.array(*[F.lit(x).cast("long") for x in finer[0][1]]))
+    else:
+        rows = rows.join(F.broadcast(spark.createDataFrame(finer, "used long, masks array<long>")), "used")
+    dealt = rows.select("fingerprint", F.explode("masks").alias("used"))
     return dealt.withColumn("key", F.col("fingerprint").bitwiseAND(F.col("used")))
 
 
