@@ -21,10 +21,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     state = None
     while True:
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # smallest neighbours are stored, so that the joins are between plain shuffles and a hot node can be split
+        least = session.materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u != v").distinct()
         # small star: links point from larger to smaller nodes here
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = session.materialize(large, "links")
+        least = session.materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         hung = large.join(least, "u")
         small = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).union(hung.select("u", F.col("m").alias("v")))
         edges = session.materialize(small.where("u != v").distinct(), "links")

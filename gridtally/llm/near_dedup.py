@@ -10,11 +10,16 @@ the word edit distance, computed in a band around the diagonal, is at most
 Texts with equal words are one text from the start. A bucket of few texts yields all
 its pairs; in a larger one each text is paired with the bucket's first text, another one
 in each band. Where that leaves a large bucket in several components, its texts are
-compared exactly: any two that can be linked share one of their rarest pairs of words.
+compared exactly: any two that can be linked share one of their rarest words. In a large
+group of texts with such a word, a task counts how many of the rarest half of their words
+each two share, which must be many; of what is left between two components the best pairs
+are aligned first, and further ones only as long as they stay apart.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,8 +38,14 @@ SKETCHES, TAKE = 48, 2
 ALL_PAIRS = 10
 #: Shorter texts are linked to none; texts up to ``SHORT`` words have too few k-mers for sketches and are compared exactly.
 SHORTEST, SHORT = 5, 50
-#: Slots in which pairs of words are counted, as a power of two, and texts of a block in the exact comparison.
-SLOT_BITS, BLOCK = 17, 32
+#: Slots in which words are counted, as a power of two.
+SLOT_BITS = 17
+#: Texts of a group up to which the exact comparison makes all its pairs, and texts that one task compares with as many others.
+FEW, BLOCK = 8, 512
+#: Words of a text up to which its rarest half goes along into a large group.
+COMPARED = 2000
+#: Pairs between two classes of one large group that are aligned first, and how many times more in each next turn.
+FIRST_PAIRS, MORE_PAIRS = 4, 8
 _ALIKE = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
 _BASE = 0x9E3779B97F4A7C15
 
@@ -195,79 +206,178 @@ def _links(copy: DataFrame, texts: DataFrame) -> DataFrame:
     met = session.materialize(shared.select("id").union(short.select("id")).distinct().withColumn("_row", F.col("id")), "wanted")
     words = session.materialize(_words_of(copy, met), "words")
     links = session.materialize(_verified(pairs, words), "links")
-    more = session.materialize(_rest(words, _undone(shared, short, links)).join(pairs, ["a", "b"], "left_anti"), "pairs")
-    return links.union(session.materialize(_verified(more, words), "links"))
+    return links.union(_rest(words, _undone(shared, short, links), links, pairs))
+
+
+def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with the ``root`` of their ``id``, the id itself where no link has it."""
+    roots = session.materialize(components(links), "roots").withColumnRenamed("node", "id")
+    return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
 def _undone(shared: DataFrame, short: DataFrame, links: DataFrame) -> DataFrame:
     """Texts (id, n_words, root) of large buckets that hold several components, and all short ones."""
-    roots = session.materialize(components(links), "roots").withColumnRenamed("node", "id")
-    root = F.coalesce("root", "id").alias("root")
     many = shared.where(F.col("n") > ALL_PAIRS).select("id", "n_words", "band", "key")
-    many = session.materialize(many.join(roots, "id", "left").select("id", "n_words", "band", "key", root), "many")
+    short = short.select("id", "n_words", F.lit(-1).alias("band"), F.lit(0).cast("long").alias("key"))
+    many = session.materialize(_rooted(many.union(short), links), "many")
     apart = many.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
     apart = session.materialize(apart.select("band", "key"), "apart")
-    undone = many.join(apart, ["band", "key"], "left_semi").select("id", "n_words", "root")
-    return session.materialize(undone.union(short.join(roots, "id", "left").select("id", "n_words", root)).distinct(), "undone")
+    columns = ["id", "n_words", "root"]
+    undone = many.where("band >= 0").join(apart, ["band", "key"], "left_semi").select(*columns).union(many.where("band < 0").select(*columns))
+    return session.materialize(undone.distinct(), "undone")
 
 
-def _pair_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of all neighbouring two words, told apart by how often they occurred before: hash, owner, words of each text."""
+def _word_tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All words, told apart by how often they occurred before: hash, owner, words of each text."""
     texts = [np.frombuffer(w, np.uint32) for w in batch.column("words").to_pylist()]
     sizes = np.array([len(w) for w in texts])
-    owner = np.repeat(np.arange(len(sizes)), sizes - 1)
-    at = np.arange(len(owner)) + owner  # one word more than pairs in each text before
-    flat = np.concatenate(texts).astype(np.uint64)
-    two = mix(flat[at] << np.uint64(32) | flat[at + 1])
-    return mix(two + mix(_first_seen(mix(two ^ mix(owner.astype(np.uint64)))).astype(np.uint64))), owner, sizes
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    word = mix(np.concatenate(texts).astype(np.uint64))
+    return mix(word + mix(_first_seen(mix(word ^ mix(owner.astype(np.uint64)))).astype(np.uint64))), owner, sizes
+
+
+def _edits(sizes: np.ndarray) -> np.ndarray:
+    """Edits that a link allows where the longer text has so many words."""
+    return (sizes * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+
+
+def _shared_at_least(sizes: np.ndarray) -> np.ndarray:
+    """Words that linked texts of at least this length share among the rarest ones that go along (``_rest``)."""
+    return (0.3 * sizes).astype(np.int64) + 1
 
 
-def _rest(words: DataFrame, undone: DataFrame) -> DataFrame:
-    """All pairs (a < b) of ``undone`` texts of different roots that can be linked, and some more.
+def _rarest(texts: DataFrame) -> DataFrame:
+    """Of texts (id, n_words, root, words): ``tokens``, the words of which linked texts share one, and ``rarest``, those that go along.
 
-    One edit changes two pairs of neighbouring words, so linked texts of at most m words
-    share 0.6 m - 1 of them. Each text offers its rarest 0.4 n + 1 pairs of words, rare
-    among ``undone``: two linked texts have at least one of these in common, and a
-    passage that very many texts share is not among them where the texts differ enough.
+    An edit takes at most one word away, so linked texts of at most n words share n - e
+    words, where e = 0.2 n. Of these the k-th rarest is among the rarest e + k words of
+    both: one of the e + 1 rarest is common, and k of the e + k rarest. Words are ordered
+    by how many there are in ``texts``, counted in slots of their hashes, then by hash.
     """
     shift = np.uint64(64 - SLOT_BITS)
-    texts = looked_up(words, undone, "id")
 
     def count(batches):
         seen = np.zeros(1 << SLOT_BITS, np.int64)
         for batch in batches:
             if batch.num_rows:
-                seen += np.bincount((_pair_hashes(batch)[0] >> shift).astype(np.int64), minlength=len(seen))
+                seen += np.bincount((_word_tokens(batch)[0] >> shift).astype(np.int64), minlength=len(seen))
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["slot", "n"])
 
     counted = texts.select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     often = np.zeros(1 << SLOT_BITS, np.int64)
     often[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
-    shared = words.sparkSession.sparkContext.broadcast(often)
+    shared = texts.sparkSession.sparkContext.broadcast(often)
 
     def rare(batch: pa.RecordBatch):
         for low, high in slices([len(w) for w in batch.column("words").to_pylist()], 1 << 20):
             some = batch.slice(low, high - low)
-            hashes, owner, sizes = _pair_hashes(some)
+            hashes, owner, sizes = _word_tokens(some)
             order = np.lexsort((hashes, shared.value[(hashes >> shift).astype(np.int64)], owner))
-            rank = np.arange(len(owner)) - (np.cumsum(sizes - 1) - (sizes - 1))[owner]
-            kept = rank < (2 * (1 - SIMILARITY) * sizes + 1e-9).astype(np.int64)[owner] + 1
-            columns = [pa.array(hashes[order[kept]].view(np.int64))] + [some.column(c).take(pa.array(owner[kept])) for c in ("id", "n_words", "root")]
-            yield pa.RecordBatch.from_arrays(columns, names=["token", "id", "n_words", "root"])
-
-    offered = session.materialize(over_batches(texts.select("id", "n_words", "root", "words"), "token long, id long, n_words int, root long", rare), "offered")
-    sizes = offered.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    met = offered.join(session.materialize(sizes.where("low != high").select("token", "n"), "sizes"), "token")
-    # a large group is dealt into blocks, and every two blocks of it meet in a group of their own
+            rank = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
+            ordered, edits = hashes[order].view(np.int64), _edits(sizes)
+            along = np.where(sizes <= COMPARED, edits + _shared_at_least(sizes), 0)
+            columns = [some.column(c) for c in ("id", "n_words", "root")]
+            for kept in (rank < (edits + 1)[owner], rank < along[owner]):
+                ends = np.concatenate(([0], np.cumsum(np.bincount(owner[kept], minlength=len(sizes)))))
+                columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ordered[kept])))
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "root", "tokens", "rarest"])
+
+    return over_batches(texts.select("id", "n_words", "root", "words"), "id long, n_words int, root long, tokens array<long>, rarest array<long>", rare)
+
+
+def _close(table: pa.Table, pairs: int) -> pa.Table:
+    """Pairs of one large group's texts (or of two blocks of it) that may be linked: a, b and whether more were left out.
+
+    Texts of different roots pair up if they share enough of their rarest words; between
+    two roots only the first ``pairs`` pairs of those that share most are returned.
+    """
+    block = np.asarray(table.column("own"))
+    ids, sizes, roots = (np.asarray(table.column(c)).astype(np.int64) for c in ("id", "n_words", "root"))
+    lists = table.column("rarest").combine_chunks()
+    lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
+    counts, tokens = np.diff(np.asarray(lists.offsets)), np.asarray(lists.flatten())
+    owner = np.repeat(np.arange(len(ids)), counts)
+    _, token, seen = np.unique(tokens, return_inverse=True, return_counts=True)
+    several = seen[token] > 1
+    token, owner = np.unique(token[several], return_inverse=True)[1], owner[several]
+    common = np.zeros((len(ids), len(ids)), np.float32)
+    order = np.argsort(token, kind="stable")
+    token, owner = token[order], owner[order]
+    step = 2048
+    for first in range(0, int(token[-1]) + 1 if len(token) else 0, step):
+        low, high = np.searchsorted(token, (first, first + step))
+        there = np.zeros((len(ids), step), np.float32)
+        there[owner[low:high], token[low:high] - first] = 1
+        common += there @ there.T
+    least = _shared_at_least(sizes)
+    enough = common >= np.minimum(least[:, None], least[None, :])
+    unknown = counts == 0
+    enough |= unknown[:, None] | unknown[None, :]
+    alike = np.minimum(sizes[:, None], sizes[None, :]) >= SIMILARITY * np.maximum(sizes[:, None], sizes[None, :])
+    fits = enough & alike & (roots[:, None] != roots[None, :])
+    if block.min() != block.max():
+        fits &= block[:, None] < block[None, :]
+        x, y = np.nonzero(fits)
+    else:
+        x, y = np.nonzero(np.triu(fits, 1))
+    low, high = np.minimum(roots[x], roots[y]), np.maximum(roots[x], roots[y])
+    order = np.lexsort((ids[y], ids[x], -common[x, y], high, low))
+    x, y, low, high = x[order], y[order], low[order], high[order]
+    new = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1]))) if len(x) else np.zeros(0, bool)
+    rank = np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0)) if len(x) else np.zeros(0, np.int64)
+    kept = rank < pairs
+    more = np.zeros(len(x), bool)
+    more[np.flatnonzero(~kept & (rank == pairs)) - 1] = True  # the last one kept stands for those left out
+    a, b = np.minimum(ids[x], ids[y])[kept], np.maximum(ids[x], ids[y])[kept]
+    return pa.Table.from_arrays([pa.array(a), pa.array(b), pa.array(more[kept])], names=["a", "b", "more"])
+
+
+def _closer(pairs: int) -> Callable[[pa.Table], pa.Table]:
+    return lambda table: _close(table, pairs)
+
+
+def _rest(words: DataFrame, undone: DataFrame, links: DataFrame, tested: DataFrame) -> DataFrame:
+    """Links between ``undone`` texts of different roots that no candidate pair had yet.
+
+    Each text offers its rarest words, such that linked texts have one in common. Small
+    groups of texts that offer the same word yield all pairs. A large one is dealt into
+    blocks of ``BLOCK``, and every two blocks meet in one task, which passes on few pairs;
+    roots are computed anew and the turn repeated until nothing that may be linked was
+    left out between texts of different roots. No pair is aligned twice.
+    """
+    offered = session.materialize(_rarest(looked_up(words, undone, "id")), "rarest")
+    slim = offered.select("id", "n_words", "root", F.explode("tokens").alias("token"))
+    sizes = slim.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = session.materialize(sizes.where("low != high").select("token", "n"), "sizes")
+    met = session.materialize(slim.join(sizes, "token"), "met")
+    few = met.where(F.col("n") <= FEW).groupBy("token").agg(F.collect_list(F.struct("id", "n_words", "root")).alias("m"))
+    every = f"flatten(transform(m, (x, k) -> transform(filter(slice(m, k + 2, size(m)), y -> x.root != y.root AND {_ALIKE}), y -> struct(least(x.id, y.id) a, greatest(x.id, y.id) b))))"
+    few = few.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b").distinct()
+    fresh = session.materialize(few.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+    made = session.materialize(_verified(fresh, words), "links")
+    tested = tested.select("a", "b").union(fresh.select("a", "b"))
+
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    met = session.materialize(met.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int")), "met")
-    dealt = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    member = F.struct("id", "n_words", "root", "own")
-    groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")).agg(F.collect_list(member).alias("m"))
-    fits = f"x.root != y.root AND (i = j OR x.own != y.own) AND {_ALIKE}"
-    every = f"flatten(transform(m, (x, k) -> transform(filter(slice(m, k + 2, size(m)), y -> {fits}), y -> struct(least(x.id, y.id) a, greatest(x.id, y.id) b))))"
-    return groups.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b").distinct()
+    large = met.where(F.col("n") > FEW).select("token", "id", "n_words", blocks.alias("blocks"))
+    large = large.withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int"))
+    large = session.materialize(large.join(offered.select("id", "rarest"), "id"), "large")
+    pairs = FIRST_PAIRS
+    while not large.isEmpty():
+        rooted = session.materialize(_rooted(large, links.union(made)), "large")
+        apart = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
+        rooted = rooted.join(session.materialize(apart, "apart"), "token", "left_semi")
+        dealt = rooted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        found = groups.applyInArrow(_closer(pairs), "a long, b long, more boolean")
+        found = session.materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")), "close")
+        fresh = session.materialize(found.join(tested, ["a", "b"], "left_anti"), "pairs")
+        made = made.union(session.materialize(_verified(fresh.select("a", "b"), words), "links"))
+        if found.where("more").isEmpty():
+            break
+        tested = tested.union(fresh.select("a", "b"))
+        pairs *= MORE_PAIRS
+    return made
 
 
 def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:
