@@ -13,7 +13,7 @@ from gridtally.catalog.integrity import BROKEN_BILLS, broken_bills
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.functions import keys, text, times
 from gridtally.operators import dedup, history, privacy, ranges
-from gridtally.plans import warehouse
+from gridtally.plans import stored_history, warehouse
 from gridtally.sources import adapters, staging
 
 
@@ -178,6 +178,19 @@ def _(spark, folder):
     return customer_versions(spark, folder)
 
 
+@query("scd2_incremental", with_ctes(VERSION_CHAIN, "SELECT * FROM versions"))
+def _(spark, folder):
+    """The stored history after three batches that come in no order of time, the second one twice."""
+    changes = session.materialize(adapters.customer_changes(spark, folder), "changes")
+    kept = stored_history.History.at(
+        spark, session.fresh_path(spark, "history"), changes.schema, "customer_id", "event_timestamp", history.TRACKED["customer"], "change_no"
+    )
+    of_batch = F.pmod(F.xxhash64("change_no", "customer_id"), F.lit(3))
+    for batch in (0, 1, 1, 2):
+        kept.apply(changes.filter(of_batch == batch), F.col("operation") == "DELETE", f"batch-{batch}")
+    return kept.rows()
+
+
 @query(
     "scd2_contract_versions",
     """WITH c AS (SELECT 'CTR-' || o_custkey AS contract_id, o_orderdate AS valid_from, o_orderkey AS n, o_orderpriority AS tariff_code,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that keep plans sound when one key holds a large share of the rows:
@@ -29,19 +30,23 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the cluster names it.
+    """The folder all executors can reach, as the cluster names it in ``spark.checkpoint.dir``.
 
-    A session without the setting may only fall back to a temporary folder when
-    it runs in a single process; on a cluster that would lose data.
+    Only a session that runs in a single process, such as a test's, may do without the
+    setting: it gets a temporary folder. On a cluster that would lose data.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.conf.get("spark.master", "").startswith("local") or "cluster" in spark.conf.get("spark.master", ""):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="gridtally-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    own = spark.sparkContext.applicationId
+    if own not in _OF_SINGLE_PROCESS:
+        _OF_SINGLE_PROCESS[own] = tempfile.mkdtemp(prefix="gridtally-")
+    return _OF_SINGLE_PROCESS[own]
+
+
+_OF_SINGLE_PROCESS: dict[str, str] = {}
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -75,6 +80,48 @@ def is_folder(spark: SparkSession, path: str) -> bool:
     return fs.exists(where) and fs.getFileStatus(where).isDirectory()
 
 
+def names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what is directly in a folder, in order; none if it is not there."""
+    fs, where = _file_system(spark, folder)
+    return sorted(found.getPath().getName() for found in fs.listStatus(where)) if fs.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of one small file."""
+    fs, where = _file_system(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Write one small file unless it is there, and say whether that was done.
+
+    The file is written aside and renamed without overwriting, so nobody sees half of it
+    and of several writers one succeeds.
+    """
+    jvm = spark._jvm
+    fs, target = _file_system(spark, path)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.new")
+    fs.mkdirs(target.getParent())
+    out = fs.create(aside, False)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration())
+    keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(aside), fs.makeQualified(target), keep)
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" not in str(error.java_exception):
+            raise
+        return False
+    finally:
+        fs.delete(aside, False)
+    return True
+
+
 def remove(spark: SparkSession, pattern: str) -> None:
     """Delete the files and folders that a path or glob names, if there are any."""
     fs, where = _file_system(spark, pattern)

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -15,8 +14,6 @@ def spark():
     from gridtally import session
 
     spark = local_session(cores=8, partitions=4)
-    if spark.conf.get("spark.checkpoint.dir", None) is None:
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="gridtally-test-"))
     yield session.configure(spark)
     session.clean(spark)
     spark.stop()
