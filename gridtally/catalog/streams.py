@@ -10,7 +10,7 @@ from gridtally.catalog.changes import ERRORS, INGESTED, LATEST_CHANGES
 from gridtally.catalog.readings import AS_OF
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.functions import numbers
-from gridtally.sources import adapters
+from gridtally.sources import adapters, changes as sources, files
 from gridtally.streaming import changes, readings
 
 
@@ -23,12 +23,23 @@ def _split(spark, folder) -> str:
 
 @query(
     "stream_cdc_counters",
-    """SELECT count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS invalid, true AS all_read, CAST(0 AS BIGINT) AS read_errors FROM events""",
+    """SELECT 2 * count(DISTINCT event_type) + 1 AS notifications, count(DISTINCT event_type) AS files_read, CAST(1 AS BIGINT) AS read_errors,
+         count(*) AS processed, count(*) FILTER (WHERE event_type = 'error') AS invalid FROM events""",
 )
 def _(spark, folder):
-    out = _split(spark, folder)
-    seen = changes.counters(spark, out.removesuffix("/out") + "/in", out)
-    return seen.select("processed", "invalid", (F.col("notifications") == F.col("files_read")).alias("all_read"), "read_errors")
+    """A change file for each kind of event, announced twice, and one that cannot be read, announced once."""
+    base = session.fresh_path(spark, "notified")
+    lines = adapters.change_lines(spark, folder, ["event_type"]).repartition("event_type")
+    lines.write.partitionBy("event_type").option("compression", "gzip").text(f"{base}/in")
+    session.put_if_absent(spark, f"{base}/in/event_type=none/half.txt.gz", "this is no archive")
+    landed = files.listing(spark, f"{base}/in", "*.gz")
+    name = F.regexp_extract("path", "(event_type=.*)$", 1)
+    message = F.to_json(F.struct(F.lit("landing").alias("bucket"), name.alias("name")))
+    times = F.when(name.contains("half"), F.lit(1)).otherwise(F.lit(2))
+    landed.select(F.explode(F.array_repeat(message, times)).alias("value")).write.text(f"{base}/told")
+    stream = sources.notification_stream(spark, f"{base}/told")
+    changes.write_notified(stream, f"{base}/out", f"{base}/checkpoint", INGESTED, {"gs://landing": f"{base}/in"}).awaitTermination()
+    return changes.counters(spark, None, f"{base}/out")
 
 
 @query("stream_cdc_events", with_ctes([CHANGES, LATEST_CHANGES], "SELECT * FROM latest_changes"))

@@ -122,6 +122,12 @@ def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, 0 if it is not there."""
+    fs, where = _file_system(spark, path)
+    return fs.getFileStatus(where).getLen() if fs.exists(where) else 0
+
+
 def remove(spark: SparkSession, pattern: str) -> None:
     """Delete the files and folders that a path or glob names, if there are any."""
     fs, where = _file_system(spark, pattern)

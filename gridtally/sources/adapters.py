@@ -226,8 +226,8 @@ def customer_changes(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def change_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Change records as JSON text, some of them broken."""
+def change_lines(spark: SparkSession, folder: str, keep: tuple = ()) -> DataFrame:
+    """Change records as JSON text (``value``), some of them broken, beside the ``keep`` columns of the events."""
     e = table(spark, folder, "events")
     kind, value = F.col("event_type"), F.col("value")
     operation = F.when(value < 5, "INSERT").when(value < 50, "UPDATE").otherwise("DELETE")
@@ -262,7 +262,7 @@ def change_lines(spark: SparkSession, folder: str) -> DataFrame:
         .when(kind == "purchase", F.to_json(F.struct(F.concat(F.lit("P"), number).alias("payment_id"), account, value.alias("amount"), meta("payments"))))
         .otherwise(broken)
     )
-    return computed_once(e, [], {"value": text})
+    return computed_once(e, list(keep), {"value": text})
 
 
 def run_events(spark: SparkSession, folder: str) -> DataFrame:

@@ -70,3 +70,17 @@ def notified_paths(messages: DataFrame, body: str = "value") -> DataFrame:
     name = F.get_json_object(body, "$.name")
     complete = (F.coalesce(bucket, F.lit("")) != "") & (F.coalesce(name, F.lit("")) != "")
     return messages.filter(complete).withColumn("path", F.concat(F.lit("gs://"), bucket, F.lit("/"), name)).drop(body)
+
+
+def notification_stream(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
+    """Notification messages, one JSON object a line, as an unbounded source."""
+    return spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path)
+
+
+def located(paths: DataFrame, stores: dict[str, str]) -> DataFrame:
+    """Paths whose beginning ``stores`` names are moved to where it says, e.g. a bucket to its mount."""
+    path = F.col("path")
+    moved = path
+    for begin, place in stores.items():
+        moved = F.when(path.startswith(begin), F.concat(F.lit(place), F.substring(path, len(begin) + 1, 1 << 20))).otherwise(moved)
+    return paths.withColumn("path", moved)
