@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gridtally import session
+
 
 def listing(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """One row per file below ``root``: path, modified_at, bytes.
@@ -34,20 +36,18 @@ def choose_files(names: list[str], wanted: list[str]) -> list[str]:
 
 
 def latest_snapshot_path(spark: SparkSession, root: str) -> str | None:
-    """Folder of the newest snapshot below ``root``, or None if there is none.
+    """Folder of the newest whole snapshot below ``root``, or None if there is none.
 
-    A snapshot is one folder of part files; its age is that of its newest file.
-    Only the single winning row reaches the driver.
+    A snapshot is one folder of part files; its age is that of its newest file. It is
+    whole once its writer has put ``_SUCCESS`` beside them. The driver looks at folders,
+    newest first, until one is whole.
     """
     files = listing(spark, root, "*.parquet").withColumn("folder", F.regexp_extract("path", r"^(.*)/[^/]+$", 1))
-    newest = (
-        files.groupBy("folder")
-        .agg(F.max("modified_at").alias("modified_at"))
-        .orderBy(F.desc("modified_at"), F.desc("folder"))
-        .limit(1)
-        .collect()
-    )
-    return newest[0]["folder"] if newest else None
+    newest = files.groupBy("folder").agg(F.max("modified_at").alias("modified_at")).orderBy(F.desc("modified_at"), F.desc("folder"))
+    for row in newest.toLocalIterator():
+        if session.exists(spark, f"{row['folder']}/_SUCCESS"):
+            return row["folder"]
+    return None
 
 
 def latest_snapshot(spark: SparkSession, root: str, schema) -> DataFrame:
