@@ -8,7 +8,7 @@ from gridtally.catalog.base_sql import BILLS, CUSTOMERS, FLAGGED, GOLD_CHAIN, RE
 from gridtally.catalog.quality import DAY_SCORES, FLAG_CHAIN, quality_runs
 from gridtally.catalog.readings import flagged, gold
 from gridtally.catalog.registry import query, with_ctes
-from gridtally.operators import dlq, reconcile, runs
+from gridtally.operators import differences, dlq, reconcile, runs
 from gridtally.plans import pipelines
 from gridtally.sources import adapters, extracts
 
@@ -152,3 +152,18 @@ def _(spark, folder):
     rows = flagged(spark, folder)
     day = F.col("received_at").cast("date")
     return reconcile.compare(rows, rows.filter("is_good"), "reading_no", day, day)
+
+
+@query(
+    "differing_keys",
+    """SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 97 = 0 THEN 'missing' ELSE 'changed' END AS state FROM orders
+         WHERE o_orderkey % 97 = 0 OR (o_orderkey % 89 = 0 AND o_totalprice <> 0)
+       UNION ALL SELECT -1 - o_orderkey, 'surplus' FROM orders WHERE o_orderkey % 83 = 0""",
+)
+def _(spark, folder):
+    """The orders that a copy lacks, has beyond them, or has with another price."""
+    orders = adapters.table(spark, folder, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_totalprice").alias("price"))
+    other = F.when(F.col("order_id") % 89 == 0, F.lit(0.0)).otherwise(F.col("price"))
+    copy = orders.filter("order_id % 97 != 0").select("order_id", other.cast(orders.schema["price"].dataType).alias("price"))
+    beyond = orders.filter("order_id % 83 = 0").select((-1 - F.col("order_id")).alias("order_id"), "price")
+    return differences.between(orders, copy.union(beyond), ["order_id"], ["price"])

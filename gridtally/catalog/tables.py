@@ -13,6 +13,7 @@ from gridtally.catalog.readings import AS_OF, gold
 from gridtally.catalog.registry import ORACLES, query, with_ctes
 from gridtally.functions import times
 from gridtally.operators import cdc, normalize
+from gridtally.plans.distinct_counts import DistinctCounts
 from gridtally.sinks.tables import Conflict, Table
 from gridtally.sources import adapters
 
@@ -110,3 +111,17 @@ def _(spark, folder):
     return table.read()
 
 
+
+
+@query(
+    "distinct_households",
+    with_ctes(GOLD_CHAIN, """SELECT strftime(event_timestamp, '%Y-%m') AS period, count(DISTINCT household_id) AS entities FROM gold
+      WHERE event_timestamp >= TIMESTAMP '2024-01-03' GROUP BY 1"""),
+)
+def _(spark, folder):
+    """Households by month from the sets that three runs stored, not from the readings."""
+    rows = session.materialize(gold(spark, folder).select("event_timestamp", "household_id"), "gold")
+    stored = DistinctCounts.at(spark, session.fresh_path(spark, "distinct"), rows.schema["household_id"].dataType)
+    for run in range(3):
+        stored.add(rows.filter(F.pmod(F.xxhash64("household_id", "event_timestamp"), F.lit(3)) == run), "event_timestamp", "household_id", f"run-{run}")
+    return stored.exact(F.date_format("day", "yyyy-MM"), low="2024-01-03")
