@@ -41,11 +41,11 @@ SHORTEST, SHORT = 5, 50
 #: Slots in which words are counted, as a power of two.
 SLOT_BITS = 17
 #: Texts of a group up to which the exact comparison makes all its pairs, and texts that one task compares with as many others.
-FEW, BLOCK = 8, 512
+FEW, BLOCK = 16, 512
 #: Words of a text up to which its rarest half goes along into a large group.
 COMPARED = 2000
 #: Pairs between two classes of one large group that are aligned first, and how many times more in each next turn.
-FIRST_PAIRS, MORE_PAIRS = 4, 8
+FIRST_PAIRS, MORE_PAIRS = 64, 64
 _ALIKE = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
 _BASE = 0x9E3779B97F4A7C15
 
@@ -287,7 +287,7 @@ def _rarest(texts: DataFrame) -> DataFrame:
 
 
 def _close(table: pa.Table, pairs: int) -> pa.Table:
-    """Pairs of one large group's texts (or of two blocks of it) that may be linked: a, b and whether more were left out.
+    """Pairs of one large group's texts (or of two blocks of it) that may be linked: token, a, b and whether more were left out.
 
     Texts of different roots pair up if they share enough of their rarest words; between
     two roots only the first ``pairs`` pairs of those that share most are returned.
@@ -330,7 +330,8 @@ def _close(table: pa.Table, pairs: int) -> pa.Table:
     more = np.zeros(len(x), bool)
     more[np.flatnonzero(~kept & (rank == pairs)) - 1] = True  # the last one kept stands for those left out
     a, b = np.minimum(ids[x], ids[y])[kept], np.maximum(ids[x], ids[y])[kept]
-    return pa.Table.from_arrays([pa.array(a), pa.array(b), pa.array(more[kept])], names=["a", "b", "more"])
+    token = np.full(len(a), table.column("token")[0].as_py(), np.int64)
+    return pa.Table.from_arrays([pa.array(token), pa.array(a), pa.array(b), pa.array(more[kept])], names=["token", "a", "b", "more"])
 
 
 def _closer(pairs: int) -> Callable[[pa.Table], pa.Table]:
@@ -342,9 +343,10 @@ def _rest(words: DataFrame, undone: DataFrame, links: DataFrame, tested: DataFra
 
     Each text offers its rarest words, such that linked texts have one in common. Small
     groups of texts that offer the same word yield all pairs. A large one is dealt into
-    blocks of ``BLOCK``, and every two blocks meet in one task, which passes on few pairs;
-    roots are computed anew and the turn repeated until nothing that may be linked was
-    left out between texts of different roots. No pair is aligned twice.
+    blocks of ``BLOCK``, and every two blocks meet in one task, which passes on few pairs.
+    Where some were left out, roots are computed anew and the turn is repeated, until
+    nothing that may be linked was left out between texts of different roots. No pair is
+    aligned twice.
     """
     offered = session.materialize(_rarest(looked_up(words, undone, "id")), "rarest")
     slim = offered.select("id", "n_words", "root", F.explode("tokens").alias("token"))
@@ -359,25 +361,21 @@ def _rest(words: DataFrame, undone: DataFrame, links: DataFrame, tested: DataFra
     tested = tested.select("a", "b").union(fresh.select("a", "b"))
 
     blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    large = met.where(F.col("n") > FEW).select("token", "id", "n_words", blocks.alias("blocks"))
+    large = met.where(F.col("n") > FEW).select("token", "id", "n_words", "root", blocks.alias("blocks"))
     large = large.withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int"))
     large = session.materialize(large.join(offered.select("id", "rarest"), "id"), "large")
     pairs = FIRST_PAIRS
-    while not large.isEmpty():
-        rooted = session.materialize(_rooted(large, links.union(made)), "large")
-        apart = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
-        rooted = rooted.join(session.materialize(apart, "apart"), "token", "left_semi")
-        dealt = rooted.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    while True:
+        dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-        found = groups.applyInArrow(_closer(pairs), "a long, b long, more boolean")
-        found = session.materialize(found.groupBy("a", "b").agg(F.max("more").alias("more")), "close")
-        fresh = session.materialize(found.join(tested, ["a", "b"], "left_anti"), "pairs")
-        made = made.union(session.materialize(_verified(fresh.select("a", "b"), words), "links"))
-        if found.where("more").isEmpty():
-            break
-        tested = tested.union(fresh.select("a", "b"))
-        pairs *= MORE_PAIRS
-    return made
+        close = session.materialize(groups.applyInArrow(_closer(pairs), "token long, a long, b long, more boolean"), "close")
+        fresh = session.materialize(close.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        made = made.union(session.materialize(_verified(fresh, words), "links"))
+        cut = close.where("more").select("token").distinct()
+        if cut.isEmpty():
+            return made
+        tested, pairs = tested.union(fresh), pairs * MORE_PAIRS
+        large = session.materialize(_rooted(large.drop("root").join(session.materialize(cut, "cut"), "token", "left_semi"), links.union(made)), "large")
 
 
 def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:
