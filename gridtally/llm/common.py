@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, StringType
 
 import gridtally
 from gridtally import session
@@ -19,6 +20,8 @@ from gridtally import session
 ARROW_ROWS = 500
 #: Bytes of text that one numpy step works on.
 SLICE_BYTES = 4 << 20
+#: Letters up to which the driver keeps a plan's text.
+PLAN_LETTERS = 20_000
 
 
 def _ship(spark: SparkSession) -> None:
@@ -40,6 +43,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings for operators that hand texts to Python tasks."""
     _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    # the driver keeps the text of each plan it ran, and iterative operators run many long ones
+    spark.conf.set("spark.sql.maxPlanStringLength", str(PLAN_LETTERS))
     return session.configure(spark)
 
 
@@ -92,19 +97,46 @@ def over_batches(
     return df.mapInArrow(run, schema)
 
 
-#: Rows up to which the smaller side of a join with texts is broadcast, some 100 MB at most.
-BROADCAST_ROWS = 300_000
+#: Bytes up to which the smaller side of a join with texts is broadcast.
+BROADCAST_BYTES = 64 << 20
+#: Bytes that a row, or an element of an array in it, takes at most besides its letters.
+SLOT_BYTES = 40
+
+
+def _bytes_of(df: DataFrame) -> int:
+    """A bound of the bytes that all rows take: slim columns, arrays of numbers or pairs of them, texts."""
+    size = F.lit(SLOT_BYTES)
+    for field in df.schema.fields:
+        if isinstance(field.dataType, ArrayType):
+            size = size + SLOT_BYTES * F.coalesce(F.size(field.name), F.lit(0))
+        elif isinstance(field.dataType, (StringType, BinaryType)):
+            size = size + F.coalesce(F.octet_length(field.name), F.lit(0))
+        else:
+            size = size + 16
+    return df.agg(F.sum(size.cast("long"))).first()[0] or 0
 
 
 def looked_up(df: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
-    """Join that leaves ``df`` in place when ``small``, a stored table of slim rows, is counted to be small.
+    """Join that leaves ``df`` in place when the bytes of ``small``, a stored table, are counted to be few.
 
     Otherwise both sides are shuffled, and adaptive execution splits hot keys.
     """
-    side = F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+    side = F.broadcast(small) if _bytes_of(small) <= BROADCAST_BYTES else small
     return df.join(side, on, how)
 
 
+def set_aside(df: DataFrame, taken: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns renamed whose names an operator uses itself, and how to name them back."""
+    used = {c.lower() for c in df.columns} | {t.lower() for t in taken}
+    back = {}
+    for column in df.columns:
+        if column.lower() in {t.lower() for t in taken}:
+            n = next(n for n in range(len(used) + 1) if f"aside{n}" not in used)
+            used.add(f"aside{n}")
+            back[f"aside{n}"] = column
+    return df.withColumnsRenamed({old: new for new, old in back.items()}), back
+
+
 def numbered_copy(df: DataFrame, label: str) -> DataFrame:
     """A stored copy of ``df`` with a column ``_row``: numbers that stay with their rows."""
     path = session.fresh_path(df.sparkSession, label)

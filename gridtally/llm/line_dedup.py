@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridtally import session
-from gridtally.llm.common import looked_up, numbered_copy, over_batches
+from gridtally.llm.common import looked_up, numbered_copy, over_batches, set_aside
 
 #: Characters that the lines of a repeated run hold together, at least.
 MIN_CHARS = 30
@@ -114,8 +114,9 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     empty line. Of equal rows one is the first and keeps its lines. A document may
     become empty. Columns named n_lines, n_removed or runs are replaced.
     """
-    columns = [c for c in docs.columns if c not in ("n_lines", "n_removed", "runs")]
-    copy = numbered_copy(docs.select(*columns), "documents")
+    docs, back = set_aside(docs.drop("n_lines", "n_removed", "runs"), ("_row", "_spans"))
+    columns = docs.columns
+    copy = numbered_copy(docs, "documents")
     found = later_copies(copy.select("_row", "doc_id", "text"), min_chars)
     joined = looked_up(copy, found, "_row", "left")
     at = columns.index("text")
@@ -147,4 +148,5 @@ def dedup(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
         return pa.RecordBatch.from_arrays(kept + more, names=[*columns, "n_lines", "n_removed", "runs"])
 
     more = StructType.fromDDL("n_lines long, n_removed long, runs array<struct<start: int, n: int>>")
-    return over_batches(joined.select(*columns, "_spans"), StructType(copy.select(*columns).schema.fields + more.fields), work)
+    made = over_batches(joined.select(*columns, "_spans"), StructType(copy.select(*columns).schema.fields + more.fields), work)
+    return made.withColumnsRenamed(back)

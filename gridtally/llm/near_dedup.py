@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridtally import session
-from gridtally.llm.common import looked_up, mix, numbered_copy, over_batches, run_hashes, slices, spans_of
+from gridtally.llm.common import looked_up, mix, numbered_copy, over_batches, run_hashes, set_aside, slices, spans_of
 from gridtally.llm.components import components
 
 SHINGLE = 3
@@ -453,9 +453,11 @@ def class_of(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one of each class, that with the smallest doc_id (nulls last)."""
+    docs, back = set_aside(docs, ("_row",))
     found = classes(docs)
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_row")
     first = found.members.groupBy("root").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
     first = session.materialize(first, "firsts")
     others = found.members.join(first, "root").where("_row != _first._row").select("_row")
-    return looked_up(found.copy, session.materialize(others, "others"), "_row", "left_anti").drop("_row")
+    left = looked_up(found.copy, session.materialize(others, "others"), "_row", "left_anti")
+    return left.drop("_row").withColumnsRenamed(back)
