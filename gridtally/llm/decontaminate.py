@@ -129,8 +129,9 @@ def _judged(text: bytes, hits: list[tuple]) -> tuple:
         spans.update((item, places[end + 1 - n][0], places[end][1]) for item in ids)
     # byte offsets to character offsets: bytes that begin a character, counted
     chars = np.concatenate(([0], np.cumsum((np.frombuffer(text, np.uint8) & 0xC0) != 0x80)))
-    spans = sorted((item, int(chars[s]), int(chars[e])) for item, s, e in spans)
-    items, n_hit = sorted({item for item, _, _ in spans}), int(covered.sum())
+    ordered = sorted(spans, key=lambda x: (x[0] is not None, x[0] or "", *x[1:]))
+    spans = [(item, int(chars[s]), int(chars[e])) for item, s, e in ordered]
+    items, n_hit = list(dict.fromkeys(item for item, _, _ in spans)), int(covered.sum())
     return n_words, n_hit, items, spans, 20 * n_hit >= n_words
 
 
@@ -138,9 +139,9 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple = ("doc_id",), width
     """Per document, the words that occur in a benchmark window and where.
 
     Reads ``text`` and the columns named in ``keep``, which are returned; other
-    columns are ignored. ``benchmark`` has ``item_id`` and ``text``; rows that lack
-    either take no part. A null or empty text has no words and is clean. Repeated
-    item ids count as one item. Benchmark texts go to the tasks in groups of at most
+    columns are ignored. ``benchmark`` has ``item_id`` and ``text``; rows without text
+    take no part. A null or empty text has no words and is clean. Repeated item ids
+    count as one item, and so do all items without an id, whose null stands first. Benchmark texts go to the tasks in groups of at most
     ``group_bytes`` and MOST_NODES automaton nodes, each group one automaton. A worker
     holds one automaton at a time, kept from batch to batch where there is one group;
     with more of them each is built once for each batch of rows, so memory stays bounded
@@ -148,7 +149,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, keep: tuple = ("doc_id",), width
     and window occurrence, as character offsets of the original text.
     """
     spark = docs.sparkSession
-    items = benchmark.where("item_id is not null and text is not null").select(
+    items = benchmark.where("text is not null").select(
         F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("binary").alias("text")
     )
     groups = []
