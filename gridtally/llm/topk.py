@@ -1,13 +1,14 @@
 """Exact top-k by inner product from an impact-ordered index, score at a time.
 
 Components become integers floor(64 x). The rows are dealt into blocks, and a block's
-index holds its postings (component, row, value) in segments by quantised impact: the
-size of the value, in bands whose edges halve. A query's scores grow segment by
-segment, largest impacts first, for all queries and rows of a block together. After
-each segment a row's final score is known up to what smaller impacts can add, and the
-k-th best lower bound is a proof against every row whose upper bound stays below it.
-When few rows are left per query, these are scored exactly; until then the next
-segment is read. The best of all blocks together are the answer.
+index holds postings: for each component the rows in which it is not zero and its value
+there, in segments by quantised impact, the size of the value. A query's scores grow
+segment by segment, largest impacts first. What a row's smaller values can still add is at
+most the length of that rest times the query's length in the same components, and at most
+the largest value left times the sum of the query's. The k-th best lower bound, or the k-th best score that another
+block found, is a proof against every row whose upper bound stays below it. A query stops
+reading once scoring the rows that may be members exactly costs no more than reading on.
+The best of all blocks together are the answer.
 """
 
 from __future__ import annotations
@@ -74,49 +75,82 @@ def _float(queries: np.ndarray, rows: np.ndarray):
     return np.float32 if top < 1 << 24 else np.float64 if top < 1 << 53 else None
 
 
+#: Edges of neighbouring impact bands differ by this factor.
+FINER = 2**0.25
+#: What bounds are raised by, as they are computed in rounded numbers.
+ROUNDED = 1 + 1e-9
+
+
 class Index:
-    """One block's postings in segments of falling impact."""
+    """One block's postings in bands of falling impact, each by component.
+
+    ``read`` counts the postings that queries took, ``total`` what reading all would have
+    taken, ``scored`` the components of rows that were scored exactly instead.
+    """
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
+        self.read = self.total = self.scored = 0
         size = np.abs(rows)
-        edge, top = [], int(size.max(initial=0))
-        while top > 0:  # halving, as long as a segment holds large impacts
-            edge.append(top // 2 + 1)
-            top //= 2
-        self.segments = []  # (postings of the segment, largest impact of those after it)
-        above = int(size.max(initial=0)) + 1
-        for low in edge:
-            self.segments.append((np.where((size >= low) & (size < above), rows, 0), low - 1))
-            above = low
-
-    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Rows and scores that may be among each query's best ``k``."""
+        row, dim = np.nonzero(rows)
+        edges, top = [], int(size.max(initial=0)) + 1
+        while top > 1:  # least impact of each band
+            top = max(1, min(top - 1, int(np.ceil(top / FINER))))
+            edges.append(top)
+        band = np.searchsorted(-np.array(edges or [1]), -size[row, dim])
+        order = np.lexsort((row, dim, band))
+        self.row, dim, band = row[order], dim[order], band[order]
+        self.value = rows[self.row, dim]
+        cuts = np.flatnonzero(np.concatenate(([True], (dim[1:] != dim[:-1]) | (band[1:] != band[:-1])))) if len(dim) else np.zeros(0, np.int64)
+        ends = np.append(cuts[1:], len(dim))
+        #: per band: its lists (component, first, after the last), the largest impact after it, and the length of each row's rest
+        self.bands = []
+        rest = (size.astype(float) ** 2).sum(axis=1)
+        for n, least in enumerate(edges):
+            lists = [(int(dim[c]), int(c), int(e)) for c, e in zip(cuts, ends) if band[c] == n]
+            at = slice(lists[0][1], lists[-1][2]) if lists else slice(0, 0)
+            rest = rest - np.bincount(self.row[at], self.value[at].astype(float) ** 2, len(ids))
+            if lists:
+                self.bands.append((lists, least - 1, np.sqrt(np.maximum(rest, 0)) * ROUNDED))
+
+    def search(self, query_ids: np.ndarray, queries: np.ndarray, k: int, known: np.ndarray | None = None) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Rows and scores that may be among each query's best ``k``; ``known`` are scores that each query's k-th best is at least."""
         kind = _float(queries, self.rows)
         if kind is None:  # too large for exact float sums
             score = queries.astype(object) @ self.rows.T.astype(object)
             return [self._best(np.arange(len(self.ids)), score[i].astype(np.int64), q, k) for i, q in enumerate(query_ids)]
-        weight = queries.astype(kind)
-        reach = np.abs(queries).sum(axis=1)
-        known = np.zeros((len(queries), len(self.ids)), kind)
-        own = self.ids[None, :] == query_ids[:, None]
-        for postings, below in self.segments:
-            known += weight @ postings.T.astype(kind)
-            slack = (reach * below)[:, None]
-            if below == 0:
-                break
-            if len(self.ids) < k:
-                continue
-            # the k-th best lower bound, of rows other than the query's own
-            lower = np.where(own, -np.inf, known)
-            proof = np.partition(lower, len(self.ids) - k, axis=1)[:, len(self.ids) - k] - slack[:, 0]
-            possible = (known + slack >= proof[:, None]) & ~own
-            if possible.sum() <= 0.02 * possible.size:
-                return [self._scored(np.flatnonzero(p), q, queries[i], k) for i, (p, q) in enumerate(zip(possible, query_ids))]
-        return [self._best(np.flatnonzero(~own[i]), known[i][~own[i]].astype(np.int64), q, k) for i, q in enumerate(query_ids)]
-
-    def _scored(self, at: np.ndarray, query_id: int, query: np.ndarray, k: int):
-        return self._best(at, self.rows[at] @ query, query_id, k)
+        known = np.full(len(queries), -np.inf) if known is None else known
+        weight, reach, squares = queries.T.astype(kind), np.abs(queries).sum(axis=1).astype(float), queries.T.astype(float) ** 2
+        active, found = np.arange(len(queries)), [None] * len(queries)
+        score = np.zeros((len(self.ids), len(queries)), kind)
+        own = self.ids[:, None] == query_ids[None, :]
+        postings, seen = len(self.row), 0
+        self.total += postings * len(queries)
+        for lists, below, rest in self.bands:
+            for dim, low, high in lists:
+                score[self.row[low:high]] += self.value[low:high, None].astype(kind) * weight[dim, active][None, :]
+            seen += lists[-1][2] - lists[0][1]
+            self.read += (lists[-1][2] - lists[0][1]) * len(active)
+            if 2 * seen < postings or below == 0:
+                continue  # too little is known for a proof, or everything is
+            unread = (np.abs(self.rows) <= below).astype(float)  # the components of each row that are left
+            slack = np.minimum(rest[:, None] * np.sqrt(unread @ squares[:, active]), below * reach[active][None, :])
+            proof = known[active]
+            if len(self.ids) > k:
+                lower = np.where(own[:, active], -np.inf, score - slack)
+                proof = np.maximum(proof, np.partition(lower, len(self.ids) - k, axis=0)[len(self.ids) - k])
+            possible = (score + slack >= proof[None, :]) & ~own[:, active]
+            done = possible.sum(axis=0) * self.rows.shape[1] <= postings - seen
+            for n in np.flatnonzero(done):
+                at = np.flatnonzero(possible[:, n])
+                self.scored += len(at) * self.rows.shape[1]
+                found[active[n]] = self._best(at, self.rows[at] @ queries[active[n]], query_ids[active[n]], k)
+            active, score = active[~done], score[:, ~done]
+            if not len(active):
+                return found
+        for n, query in enumerate(active):
+            found[query] = self._best(np.arange(len(self.ids)), score[:, n].astype(np.int64), query_ids[query], k)
+        return found
 
     def _best(self, at: np.ndarray, score: np.ndarray, query_id: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         other = self.ids[at] != query_id
@@ -146,6 +180,30 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     sent = queries.withColumn("turn", F.expr(f"part div {QUERY_BLOCKS}").cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     there = index.withColumn("turn", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))))
 
+    schema = "query_id long, part int, number int, vec_id long, score long"
+
+    def best(blocks: DataFrame, asked: DataFrame) -> DataFrame:
+        pairs = blocks.groupBy("block", "turn").cogroup(asked.groupBy("block", "turn"))
+        found = pairs.applyInArrow(_searcher(k), schema)
+        # number tells apart queries that share an id
+        place = F.row_number().over(Window.partitionBy("query_id", "part", "number").orderBy(F.desc("score"), "vec_id"))
+        return found.withColumn("rank", place).where(F.col("rank") <= k)
+
+    # one block first: what it finds is a bound that every other block starts from
+    first = session.materialize(best(there.where("block = 0"), sent.where("block = 0").withColumn("known", F.lit(None).cast("array<struct<number: int, score: long>>"))), "first")
+    if blocks == 1:
+        return first.select("query_id", "rank", "vec_id", "score")
+    bounds = first.where(F.col("rank") == k).groupBy("part").agg(F.collect_list(F.struct("number", "score")).alias("known"))
+    bounds = session.materialize(bounds, "bounds")  # at most QUERY_ROWS, about, a part
+    others = best(there.where("block > 0"), sent.where("block > 0").join(bounds, "part", "left"))
+    place = F.row_number().over(Window.partitionBy("query_id", "part", "number").orderBy(F.desc("score"), "vec_id"))
+    both = first.unionByName(others).withColumn("rank", place).where(F.col("rank") <= k)
+    return both.select("query_id", "rank", "vec_id", "score")
+
+
+def _searcher(k: int):
+    """Search of one block of rows for the queries of some parts."""
+
     def search(ours: pa.Table, theirs: pa.Table) -> pa.Table:
         made = [[] for _ in range(5)]
         for r in ours.to_pylist():
@@ -153,10 +211,13 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
             held: dict[int, Index] = {}
             for t in theirs.to_pylist():
                 q_ids, q = _matrix(t["q_ids"], t["q_dims"], t["q_vals"])
+                known = np.full(len(q_ids), -np.inf)
+                for bound in t["known"] or []:
+                    known[bound["number"]] = bound["score"]
                 dims = max(q.shape[1], rows.shape[1])
                 if dims not in held:
                     held = {dims: Index(ids, np.pad(rows, ((0, 0), (0, dims - rows.shape[1]))))}
-                found = held[dims].search(q_ids, np.pad(q, ((0, 0), (0, dims - q.shape[1]))), k)
+                found = held[dims].search(q_ids, np.pad(q, ((0, 0), (0, dims - q.shape[1]))), k, known)
                 number = np.repeat(np.arange(len(q_ids)), [len(i) for i, _ in found])
                 best = [np.concatenate(x) for x in zip(*found)]
                 for to, column in zip(made, (q_ids[number], np.full(len(number), t["part"]), number, *best)):
@@ -165,8 +226,4 @@ def top_k(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
         columns = [pa.array(np.concatenate(c) if c else [], kind) for c, kind in zip(made, kinds)]
         return pa.Table.from_arrays(columns, names=["query_id", "part", "number", "vec_id", "score"])
 
-    pairs = there.groupBy("block", "turn").cogroup(sent.groupBy("block", "turn"))
-    found = pairs.applyInArrow(search, "query_id long, part int, number int, vec_id long, score long")
-    # number tells apart queries that share an id
-    place = F.row_number().over(Window.partitionBy("query_id", "part", "number").orderBy(F.desc("score"), "vec_id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return search
