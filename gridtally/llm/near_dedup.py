@@ -10,10 +10,10 @@ the word edit distance, computed in a band around the diagonal, is at most
 Texts with equal words are one text from the start. A bucket of few texts yields all
 its pairs; in a larger one each text is paired with the bucket's first text, another one
 in each band. Where that leaves a large bucket in several components, its texts are
-compared exactly: any two that can be linked share one of their rarest words. In a large
-group of texts with such a word, a task counts how many of the rarest half of their words
-each two share, which must be many; of what is left between two components the best pairs
-are aligned first, and further ones only as long as they stay apart.
+compared exactly: any two that can be linked share one of their rarest words. In a
+group of texts with such a word, a task looks at the words that either of two texts has
+alone, by one bit a word, which must be few; of what is left between two components some
+pairs are aligned first, and further ones only as long as they stay apart.
 """
 
 from __future__ import annotations
@@ -40,12 +40,12 @@ ALL_PAIRS = 10
 SHORTEST, SHORT = 5, 50
 #: Slots in which words are counted, as a power of two.
 SLOT_BITS = 17
-#: Texts of a group up to which the exact comparison makes all its pairs, and texts that one task compares with as many others.
-FEW, BLOCK = 16, 512
-#: Words of a text up to which its rarest half goes along into a large group.
-COMPARED = 2000
-#: Pairs between two classes of one large group that are aligned first, and how many times more in each next turn.
+#: Texts that offer the same word up to which they are compared in one task, texts of a block of the others, and rows of a task.
+CROWD, BLOCK, GROUP_ROWS = 1024, 512, 100_000
+#: Pairs between two classes of one task that are aligned first, and how many times more in each next turn.
 FIRST_PAIRS, MORE_PAIRS = 64, 64
+#: Numbers of 64 bits in which a text's words set a bit each.
+SIGNS = 4
 _ALIKE = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
 _BASE = 0x9E3779B97F4A7C15
 
@@ -241,18 +241,13 @@ def _edits(sizes: np.ndarray) -> np.ndarray:
     return (sizes * (1 - SIMILARITY) + 1e-9).astype(np.int64)
 
 
-def _shared_at_least(sizes: np.ndarray) -> np.ndarray:
-    """Words that linked texts of at least this length share among the rarest ones that go along (``_rest``)."""
-    return (0.3 * sizes).astype(np.int64) + 1
-
-
 def _rarest(texts: DataFrame) -> DataFrame:
-    """Of texts (id, n_words, root, words): ``tokens``, the words of which linked texts share one, and ``rarest``, those that go along.
+    """Of texts (id, n_words, root, words): ``tokens``, the words of which linked texts share one, and ``signs``, a bit for each word.
 
-    An edit takes at most one word away, so linked texts of at most n words share n - e
-    words, where e = 0.2 n. Of these the k-th rarest is among the rarest e + k words of
-    both: one of the e + 1 rarest is common, and k of the e + k rarest. Words are ordered
-    by how many there are in ``texts``, counted in slots of their hashes, then by hash.
+    An edit takes at most one word away, so linked texts of at most n words have all but
+    e = 0.2 n words in common, and the rarest of these is among the e + 1 rarest words of
+    both. Words are ordered by how many there are in ``texts``, counted in slots of their
+    hashes, then by hash. Repeated words are told apart.
     """
     shift = np.uint64(64 - SLOT_BITS)
 
@@ -274,108 +269,149 @@ def _rarest(texts: DataFrame) -> DataFrame:
             some = batch.slice(low, high - low)
             hashes, owner, sizes = _word_tokens(some)
             order = np.lexsort((hashes, shared.value[(hashes >> shift).astype(np.int64)], owner))
-            rank = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner]
-            ordered, edits = hashes[order].view(np.int64), _edits(sizes)
-            along = np.where(sizes <= COMPARED, edits + _shared_at_least(sizes), 0)
-            columns = [some.column(c) for c in ("id", "n_words", "root")]
-            for kept in (rank < (edits + 1)[owner], rank < along[owner]):
-                ends = np.concatenate(([0], np.cumsum(np.bincount(owner[kept], minlength=len(sizes)))))
-                columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ordered[kept])))
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "root", "tokens", "rarest"])
-
-    return over_batches(texts.select("id", "n_words", "root", "words"), "id long, n_words int, root long, tokens array<long>, rarest array<long>", rare)
-
-
-def _close(table: pa.Table, pairs: int) -> pa.Table:
-    """Pairs of one large group's texts (or of two blocks of it) that may be linked: token, a, b and whether more were left out.
-
-    Texts of different roots pair up if they share enough of their rarest words; between
-    two roots only the first ``pairs`` pairs of those that share most are returned.
-    """
-    block = np.asarray(table.column("own"))
-    ids, sizes, roots = (np.asarray(table.column(c)).astype(np.int64) for c in ("id", "n_words", "root"))
-    lists = table.column("rarest").combine_chunks()
-    lists = lists if isinstance(lists, pa.ListArray) else lists.chunk(0)
-    counts, tokens = np.diff(np.asarray(lists.offsets)), np.asarray(lists.flatten())
-    owner = np.repeat(np.arange(len(ids)), counts)
-    _, token, seen = np.unique(tokens, return_inverse=True, return_counts=True)
-    several = seen[token] > 1
-    token, owner = np.unique(token[several], return_inverse=True)[1], owner[several]
-    common = np.zeros((len(ids), len(ids)), np.float32)
-    order = np.argsort(token, kind="stable")
-    token, owner = token[order], owner[order]
-    step = 2048
-    for first in range(0, int(token[-1]) + 1 if len(token) else 0, step):
-        low, high = np.searchsorted(token, (first, first + step))
-        there = np.zeros((len(ids), step), np.float32)
-        there[owner[low:high], token[low:high] - first] = 1
-        common += there @ there.T
-    least = _shared_at_least(sizes)
-    enough = common >= np.minimum(least[:, None], least[None, :])
-    unknown = counts == 0
-    enough |= unknown[:, None] | unknown[None, :]
-    alike = np.minimum(sizes[:, None], sizes[None, :]) >= SIMILARITY * np.maximum(sizes[:, None], sizes[None, :])
-    fits = enough & alike & (roots[:, None] != roots[None, :])
-    if block.min() != block.max():
-        fits &= block[:, None] < block[None, :]
-        x, y = np.nonzero(fits)
-    else:
-        x, y = np.nonzero(np.triu(fits, 1))
-    low, high = np.minimum(roots[x], roots[y]), np.maximum(roots[x], roots[y])
-    order = np.lexsort((ids[y], ids[x], -common[x, y], high, low))
-    x, y, low, high = x[order], y[order], low[order], high[order]
-    new = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1]))) if len(x) else np.zeros(0, bool)
-    rank = np.arange(len(x)) - np.maximum.accumulate(np.where(new, np.arange(len(x)), 0)) if len(x) else np.zeros(0, np.int64)
-    kept = rank < pairs
-    more = np.zeros(len(x), bool)
-    more[np.flatnonzero(~kept & (rank == pairs)) - 1] = True  # the last one kept stands for those left out
-    a, b = np.minimum(ids[x], ids[y])[kept], np.maximum(ids[x], ids[y])[kept]
-    token = np.full(len(a), table.column("token")[0].as_py(), np.int64)
-    return pa.Table.from_arrays([pa.array(token), pa.array(a), pa.array(b), pa.array(more[kept])], names=["token", "a", "b", "more"])
-
-
-def _closer(pairs: int) -> Callable[[pa.Table], pa.Table]:
-    return lambda table: _close(table, pairs)
+            kept = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner] < (_edits(sizes) + 1)[owner]
+            ends = np.concatenate(([0], np.cumsum(np.bincount(owner[kept], minlength=len(sizes)))))
+            tokens = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes[order].view(np.int64)[kept]))
+            bit = mix(np.concatenate([np.frombuffer(w, np.uint32) for w in some.column("words").to_pylist()]).astype(np.uint64)) % np.uint64(64 * SIGNS)
+            signs = np.zeros((len(sizes), SIGNS), np.uint64)
+            np.bitwise_or.at(signs, (owner, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
+            columns = [*(some.column(c) for c in ("id", "n_words", "root")), tokens, *(pa.array(signs[:, k].view(np.int64)) for k in range(SIGNS))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "root", "tokens", *_SIGNS])
+
+    schema = "id long, n_words int, root long, tokens array<long>, " + ", ".join(f"{s} long" for s in _SIGNS)
+    return over_batches(texts.select("id", "n_words", "root", "words"), schema, rare)
+
+
+_SIGNS = [f"s{k}" for k in range(SIGNS)]
+
+
+class _Texts:
+    """Texts of one task that offer words, and which two of them may be linked."""
+
+    def __init__(self, table: pa.Table, order: np.ndarray | None = None):
+        columns = {c: np.asarray(table.column(c)).astype(np.int64) for c in ("token", "id", "n_words", "root", *_SIGNS)}
+        if order is None:
+            order = np.lexsort((columns["id"], columns["token"]))
+        self.token, self.id, self.size, self.root = (columns[c][order] for c in ("token", "id", "n_words", "root"))
+        self.signs = [columns[c][order].view(np.uint64) for c in _SIGNS]
+        self.edits = _edits(self.size)
+
+    def linkable(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the pairs (places x, y) have different roots, and few words that only one of them has."""
+        edits = np.maximum(self.edits[x], self.edits[y])
+        fits = (self.root[x] != self.root[y]) & (np.abs(self.size[x] - self.size[y]) <= edits)
+        at = np.flatnonzero(fits)
+        for one, other in ((x[at], y[at]), (y[at], x[at])):
+            alone = sum(np.bitwise_count(s[one] & ~s[other]).astype(np.int64) for s in self.signs)
+            fits[at] &= alone <= edits[at]
+        return fits
+
+    def picked(self, x: np.ndarray, y: np.ndarray, pairs: int) -> pa.Table:
+        """The first ``pairs`` of the pairs between any two roots: token, a, b, and whether the token's texts have more."""
+        a, b = np.minimum(self.id[x], self.id[y]), np.maximum(self.id[x], self.id[y])
+        order = np.lexsort((self.token[x], b, a))
+        x, y, a, b = x[order], y[order], a[order], b[order]
+        low, high = np.minimum(self.root[x], self.root[y]), np.maximum(self.root[x], self.root[y])
+        # a pair that shares several words counts once; which pairs are first differs from root to root
+        new = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))[: len(a)]
+        x, a, b, low, high = (c[new] for c in (x, a, b, low, high))
+        mixed = mix(a.view(np.uint64) ^ mix(b.view(np.uint64)))
+        order = np.lexsort((mixed, high, low))
+        x, a, b, low, high = (c[order] for c in (x, a, b, low, high))
+        first = np.concatenate(([True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])))[: len(a)]
+        place = np.arange(len(a))
+        rank = place - np.maximum.accumulate(np.where(first, place, 0)) if len(a) else place
+        kept = rank < pairs
+        # a row without a pair for each token whose texts have more
+        cut = np.unique(self.token[x[~kept]])
+        none = np.full(len(cut), -1, np.int64)
+        columns = [np.concatenate(c) for c in ((self.token[x[kept]], cut), (a[kept], none), (b[kept], none))]
+        more = np.concatenate((np.zeros(int(kept.sum()), bool), np.ones(len(cut), bool)))
+        return pa.Table.from_arrays([*(pa.array(c) for c in columns), pa.array(more)], names=["token", "a", "b", "more"])
+
+
+_CLOSE = "token long, a long, b long, more boolean"
+
+
+def _within_tokens(pairs: int) -> Callable[[pa.Table], pa.Table]:
+    """Pairs of texts that offer the same word, of many words that each few texts offer."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        texts = _Texts(table)
+        n = len(texts.token)
+        start = np.flatnonzero(np.concatenate(([True], texts.token[1:] != texts.token[:-1])))
+        left = np.repeat(np.append(start[1:], n), np.diff(np.append(start, n))) - np.arange(n)
+        at, step, found = np.arange(n), 1, []
+        while True:
+            at = at[left[at] > step]
+            if not len(at):
+                break
+            fits = at[texts.linkable(at, at + step)]
+            found.append((fits, fits + step))
+            step += 1
+        x, y = (np.concatenate([f[k] for f in found] or [at]) for k in (0, 1))
+        return texts.picked(x, y, pairs)
+
+    return compare
+
+
+def _across_blocks(pairs: int) -> Callable[[pa.Table], pa.Table]:
+    """Pairs of texts that offer one word, of a block of them or of two."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        own = np.asarray(table.column("own"))
+        order = np.argsort(own, kind="stable")
+        texts, own = _Texts(table, order), own[order]
+        n, found = len(own), []
+        cut = int(np.searchsorted(own, own[-1])) if own[0] != own[-1] else 0
+        for at in range(cut or n):
+            others = np.arange(cut or at + 1, n)
+            these = np.full(len(others), at)
+            fits = texts.linkable(these, others)
+            found.append((these[fits], others[fits]))
+        x, y = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+        return texts.picked(x, y, pairs)
+
+    return compare
 
 
 def _rest(words: DataFrame, undone: DataFrame, links: DataFrame, tested: DataFrame) -> DataFrame:
     """Links between ``undone`` texts of different roots that no candidate pair had yet.
 
-    Each text offers its rarest words, such that linked texts have one in common. Small
-    groups of texts that offer the same word yield all pairs. A large one is dealt into
-    blocks of ``BLOCK``, and every two blocks meet in one task, which passes on few pairs.
-    Where some were left out, roots are computed anew and the turn is repeated, until
-    nothing that may be linked was left out between texts of different roots. No pair is
-    aligned twice.
+    Each text offers its rarest words, such that linked texts have one in common. Words
+    are dealt over tasks, which compare the texts that offer the same one. Those of a word
+    that more than ``CROWD`` texts offer are dealt into blocks, and every two blocks meet
+    in one task. Tasks pass on few pairs; where they left some out, roots are computed anew
+    and the turn is repeated, until nothing that may be linked was left out between texts
+    of different roots. No pair is aligned twice.
     """
-    offered = session.materialize(_rarest(looked_up(words, undone, "id")), "rarest")
-    slim = offered.select("id", "n_words", "root", F.explode("tokens").alias("token"))
-    sizes = slim.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
-    sizes = session.materialize(sizes.where("low != high").select("token", "n"), "sizes")
-    met = session.materialize(slim.join(sizes, "token"), "met")
-    few = met.where(F.col("n") <= FEW).groupBy("token").agg(F.collect_list(F.struct("id", "n_words", "root")).alias("m"))
-    every = f"flatten(transform(m, (x, k) -> transform(filter(slice(m, k + 2, size(m)), y -> x.root != y.root AND {_ALIKE}), y -> struct(least(x.id, y.id) a, greatest(x.id, y.id) b))))"
-    few = few.select(F.explode(F.expr(every)).alias("p")).select("p.a", "p.b").distinct()
-    fresh = session.materialize(few.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-    made = session.materialize(_verified(fresh, words), "links")
-    tested = tested.select("a", "b").union(fresh.select("a", "b"))
-
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    large = met.where(F.col("n") > FEW).select("token", "id", "n_words", "root", blocks.alias("blocks"))
-    large = large.withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int"))
-    large = session.materialize(large.join(offered.select("id", "rarest"), "id"), "large")
-    pairs = FIRST_PAIRS
+    texts = session.materialize(_rarest(looked_up(words, undone, "id")), "rarest")
+    tested, made, pairs, cut = tested.select("a", "b"), None, FIRST_PAIRS, None
     while True:
-        dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-        close = session.materialize(groups.applyInArrow(_closer(pairs), "token long, a long, b long, more boolean"), "close")
-        fresh = session.materialize(close.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        made = made.union(session.materialize(_verified(fresh, words), "links"))
-        cut = close.where("more").select("token").distinct()
+        slim = texts.select(F.explode("tokens").alias("token"), "id", "n_words", "root", *_SIGNS)
+        if cut is not None:
+            slim = slim.join(cut, "token", "left_semi")
+        sizes = slim.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+        crowded = session.materialize(sizes.where(F.col("n") > CROWD), "crowded")
+        few = slim.join(crowded, "token", "left_anti")
+        tasks = max(1, -(-(texts.agg(F.sum(F.size("tokens"))).first()[0] or 0) // GROUP_ROWS))
+        few = few.withColumn("task", F.pmod(F.xxhash64("token"), F.lit(tasks)))
+        close = session.materialize(few.groupBy("task").applyInArrow(_within_tokens(pairs), _CLOSE), "close")
+        if not crowded.isEmpty():
+            large = slim.join(crowded, "token").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+            large = session.materialize(large.withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int")), "large")
+            dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+            close = close.union(session.materialize(groups.applyInArrow(_across_blocks(pairs), _CLOSE), "close"))
+        fresh = close.where("not more").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
+        fresh = session.materialize(fresh, "pairs")
+        found = session.materialize(_verified(fresh, words), "links")
+        made = found if made is None else made.union(found)
+        cut = session.materialize(close.where("more").select("token").distinct(), "cut")
         if cut.isEmpty():
             return made
         tested, pairs = tested.union(fresh), pairs * MORE_PAIRS
-        large = session.materialize(_rooted(large.drop("root").join(session.materialize(cut, "cut"), "token", "left_semi"), links.union(made)), "large")
+        texts = session.materialize(_rooted(texts.drop("root"), links.union(made)).select(*texts.columns), "rarest")
 
 
 def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -78,10 +78,11 @@ def test_pairs_behind_one_passage_stay_few(spark, docs, monkeypatch):
     assert total[1] <= 5 * total[0]
 
 
-def test_pairs_between_large_classes_are_found_in_turns(docs, monkeypatch):
+@pytest.mark.parametrize("crowd", [4, 1024])
+def test_pairs_between_large_classes_are_found_in_turns(docs, monkeypatch, crowd):
     monkeypatch.setattr(near_dedup, "FIRST_PAIRS", 1)
     monkeypatch.setattr(near_dedup, "MORE_PAIRS", 2)
-    monkeypatch.setattr(near_dedup, "FEW", 2)
+    monkeypatch.setattr(near_dedup, "CROWD", crowd)
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
     rng = random.Random(10)
     base = [f"w{i}" for i in range(20)]
