@@ -113,23 +113,32 @@ def _sparse(text: bytes) -> tuple[bytes, bytes]:
     return at.astype(np.uint16).tobytes(), (total[at] / max(1, total.sum())).astype(np.float32).tobytes()
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, rows: int) -> DataFrame:
-    """Labelled documents to learn from, ``rows`` at most: doc_id, label, text.
-
-    Rows are taken in the order of a hash of their id, so the choice does not depend
-    on the layout of the tables.
-    """
-    chosen = (
+def _chosen(labels: DataFrame, label: str, use: Column, rows: int) -> DataFrame:
+    """``rows`` labelled ids at most: doc_id, label. A doc_id with several labels counts with the largest, one without id not at all."""
+    return (
         labels.where(use & F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
+
+
+def _labelled(docs: DataFrame, labels: DataFrame, label: str, use: Column, rows: int) -> DataFrame:
+    """All documents of the chosen ids: doc_id, label, text, and the hash that orders them."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    # the sample is bounded by ``rows``
-    joined = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
-    return joined.orderBy(F.xxhash64("doc_id", "text"), "doc_id").limit(rows)
+    # the ids are bounded by ``rows``
+    joined = texts.join(F.broadcast(_chosen(labels, label, use, rows)), "doc_id")
+    return joined.select("doc_id", "label", "text", F.xxhash64("doc_id", "text").alias("place"))
+
+
+def sample(docs: DataFrame, labels: DataFrame, label: str, use: Column, rows: int) -> DataFrame:
+    """Labelled documents to learn from, ``rows`` at most: doc_id, label, text.
+
+    Rows are taken in the order of a hash of their id, so the choice does not depend
+    on the layout of the tables.
+    """
+    return _labelled(docs, labels, label, use, rows).orderBy("place", "doc_id").limit(rows).drop("place")
 
 
 class Model:
@@ -196,20 +205,26 @@ SCALE = 40.0
 def fit(docs: DataFrame, labels: DataFrame, use: Column, label: str = "quality", rows: int = SAMPLE_ROWS) -> Model:
     """Train on at most ``rows`` labelled documents for which ``use`` holds.
 
-    Features are computed in Spark tasks; the driver gets at most BUCKETS shares for
-    each of the sampled rows.
+    Features are computed where the texts are; one task gets those of the sampled rows, at
+    most BUCKETS shares of six bytes each, and fits the model, which alone reaches the driver.
     """
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = [_sparse(t) for t in text_bytes(batch.column("text"))]
-        columns = [batch.column("doc_id"), batch.column("label"), *(pa.array(c, pa.binary()) for c in zip(*made))]
-        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "at", "share"])
-
-    chosen = sample(docs, labels, label, use, rows)
-    schema = StructType(chosen.schema.fields[:2] + StructType.fromDDL("at binary, share binary").fields)
-    found = over_batches(chosen, schema, work).collect()
-    found.sort(key=lambda r: (str(r["doc_id"]), zlib.crc32(r["at"])))
-    return train([(r["label"], r["at"], r["share"]) for r in found])
+        columns = [*(batch.column(c) for c in ("doc_id", "label", "place")), *(pa.array(c, pa.binary()) for c in zip(*made))]
+        return pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "place", "at", "share"])
+
+    def learn(batches):
+        found = [r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "label", "at", "share")))]
+        found.sort(key=lambda r: (str(r[0]), zlib.crc32(r[2])))
+        model = train([r[1:] for r in found])
+        yield pa.RecordBatch.from_arrays([pa.array([model.buckets.astype(np.float32).tobytes()], pa.binary()), pa.array([model.bias])], names=["buckets", "bias"])
+
+    texts = _labelled(docs, labels, label, use, rows).select("doc_id", "label", "place", "text")
+    schema = StructType(texts.schema.fields[:3] + StructType.fromDDL("at binary, share binary").fields)
+    chosen = over_batches(texts, schema, work).orderBy("place", "doc_id").limit(rows)
+    made = chosen.select("doc_id", "label", "at", "share").coalesce(1).mapInArrow(learn, "buckets binary, bias double").first()
+    return train([]) if made is None else Model(np.frombuffer(made["buckets"], np.float32), made["bias"])
 
 
 def score(docs: DataFrame, model: Model, keep: tuple = ("doc_id",), threshold: float = 0.3) -> DataFrame:
