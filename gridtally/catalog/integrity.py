@@ -121,12 +121,11 @@ ALL_TABLES = [
 @query("fk_orphan_counts", with_ctes(ALL_TABLES, "\nUNION ALL\n".join(_fk_sql(*fk) for fk in FOREIGN_KEYS)))
 def _(spark, folder):
     tables = operational_tables(spark, folder)
-    out = None
-    for child, key, parent in FOREIGN_KEYS:
-        rows = adapters.payments(spark, folder) if (child, key) == ("payments", "bill_id") else tables[child]
-        found = integrity.orphan_count(rows, tables[parent], key, key, f"{child}.{key}")
-        out = found if out is None else out.unionByName(found)
-    return out
+    payments = adapters.payments(spark, folder)
+    child = lambda name, key: payments if (name, key) == ("payments", "bill_id") else tables[name]
+    return integrity.orphan_counts(
+        [integrity.Reference(child(name, key), key, tables[parent], key, f"{name}.{key}") for name, key, parent in FOREIGN_KEYS]
+    )
 
 
 @query(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from gridtally import session
 from gridtally.catalog.base_sql import GOLD_CHAIN, READINGS
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.operators import dedup, normalize, quality, reconcile
@@ -259,7 +260,8 @@ for _entity in MASTER_SQL:
       stdor_to_u AS tariff_code FROM homes"""),
 )
 def _(spark, folder):
-    return warehouse.master_mapping(warehouse.master_data(homes(spark, folder)))
+    # the mapping joins five entities, all made of the households
+    return warehouse.master_mapping(warehouse.master_data(session.materialize(homes(spark, folder), "households")))
 
 
 @query(
@@ -268,7 +270,8 @@ def _(spark, folder):
 )
 def _(spark, folder):
     readings = gold(spark, folder)
-    mapped = warehouse.master_mapping(warehouse.master_data(warehouse.households(readings, "reading_no")))
+    found = session.materialize(warehouse.households(readings, "reading_no"), "households")
+    mapped = warehouse.master_mapping(warehouse.master_data(found))
     return readings.agg(
         F.countDistinct("household_id").alias("households"),
         mapped.agg(F.count("*")).scalar().alias("mapped"),

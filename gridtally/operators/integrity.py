@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,6 +37,43 @@ def orphan_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key
     )
 
 
+@dataclass(frozen=True)
+class Reference:
+    """A child's column that must name a row of a parent."""
+
+    child: DataFrame
+    child_key: str
+    parent: DataFrame
+    parent_key: str
+    label: str
+
+
+def orphan_counts(references: list[Reference]) -> DataFrame:
+    """Child rows without parent, per reference: table_name, orphan_records.
+
+    The references of one table are read in one pass, as rows (reference, key), and all
+    of them meet the parents' keys in one join, after the children were reduced to one
+    row per key. References whose parent is the same column share its pass, too.
+    """
+    spark = references[0].child.sparkSession
+
+    def stacked(side: str) -> DataFrame:
+        # a table by the frame that was given for it
+        tables: dict[int, list[Reference]] = {}
+        for r in references:
+            tables.setdefault(id(getattr(r, side)), []).append(r)
+        parts = []
+        for own in tables.values():
+            pairs = [F.struct(F.lit(r.label).alias("label"), F.col(getattr(r, f"{side}_key")).cast("string").alias("key")) for r in own]
+            parts.append(getattr(own[0], side).select(F.inline(F.array(*pairs))))
+        return reduce(DataFrame.union, parts)
+
+    used = stacked("child").groupBy("label", "key").agg(F.count(F.lit(1)).alias("rows"))
+    missing = used.join(stacked("parent"), ["label", "key"], "left_anti").groupBy("label").agg(F.sum("rows").alias("orphan_records"))
+    labels = spark.createDataFrame([(r.label,) for r in references], "label string")
+    return labels.join(missing, "label", "left").select(F.col("label").alias("table_name"), F.coalesce("orphan_records", F.lit(0)).alias("orphan_records"))
+
+
 def without_match(source: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:
     """Source rows whose key is not in ``existing`` yet."""
     return source.join(existing.select(*keys), keys, "left_anti")

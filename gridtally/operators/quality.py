@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridtally import session
 from gridtally.functions import numbers, text, times
 from gridtally.operators import dedup
 
@@ -87,8 +88,9 @@ def average_scores(quality_runs: DataFrame, default: float | None = 100.0) -> Da
 def gate(flagged: DataFrame, minimum: float = PASS_RATE, flag: str = "is_good") -> DataFrame:
     """Return the good rows, or raise before anything is written.
 
-    Two counts reach the driver; the rows stay where they are.
+    Two counts reach the driver; the rows stay where they are, stored with their flags.
     """
+    flagged = session.materialize(flagged, "flagged")
     total, passed = flagged.agg(F.count("*"), F.count_if(F.col(flag))).first()
     if total and passed / total < minimum:
         raise QualityGateError(f"{passed} of {total} rows passed, below {minimum:.2%}")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridtally import session
 from gridtally.functions import keys, numbers, times
 from gridtally.operators import dedup
 
@@ -177,7 +178,8 @@ def consumption_fact(readings: DataFrame, meter: str, moment: str, value: str) -
 def resolve_keys(facts: DataFrame, dimension: DataFrame, key: str, sk: str) -> tuple[DataFrame, DataFrame]:
     """Facts with the dimension's key, and the facts whose key is unknown."""
     known = dimension.select(F.col(key).alias("_key"), F.col(sk).alias(sk))
-    joined = facts.join(known, F.col(key) == F.col("_key"), "left")
+    # two outputs, one join
+    joined = session.materialize(facts.join(known, F.col(key) == F.col("_key"), "left"), "resolved")
     return (
         joined.filter(F.col("_key").isNotNull()).drop("_key"),
         joined.filter(F.col("_key").isNull()).drop("_key", sk),

@@ -180,3 +180,21 @@ def test_a_cluster_without_a_shared_folder_is_refused():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session())
+
+
+def test_orphans_of_many_references_in_one_pass_a_table(spark, rows):
+    from gridtally.operators.integrity import Reference, orphan_count, orphan_counts
+
+    parents = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b"), (None, None)], "id int, code string")
+    children = spark.createDataFrame([(1, "a"), (1, "x"), (3, "b"), (3, None), (None, "x")] + [(9, "a")] * 50, "parent int, code string")
+    empty = parents.limit(0)
+    references = [
+        Reference(children, "parent", parents, "id", "c.parent"),
+        Reference(children, "code", parents, "code", "c.code"),
+        Reference(parents, "id", children, "parent", "p.id"),
+        Reference(children, "code", empty, "code", "c.none"),
+        Reference(empty, "id", parents, "id", "none.id"),
+    ]
+    want = [rows(orphan_count(r.child, r.parent, r.child_key, r.parent_key, r.label))[0] for r in references]
+    assert rows(orphan_counts(references)) == sorted(want)
+    assert dict(want) == {"c.parent": 53, "c.code": 3, "p.id": 3, "c.none": 55, "none.id": 0}
