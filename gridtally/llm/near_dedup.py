@@ -43,7 +43,7 @@ SLOT_BITS = 17
 #: Texts that offer the same word up to which they are compared in one task, texts of a block of the others, and rows of a task.
 CROWD, BLOCK, GROUP_ROWS = 1024, 512, 100_000
 #: Pairs between two classes of one task that are aligned first, and how many times more in each next turn.
-FIRST_PAIRS, MORE_PAIRS = 64, 64
+FIRST_PAIRS, MORE_PAIRS = 1024, 64
 #: Numbers of 64 bits in which a text's words set a bit each.
 SIGNS = 4
 _ALIKE = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
