@@ -18,9 +18,9 @@ def fold(text):
 def brute_hits(docs, items, width):
     wins = {}
     for i, t in items:
-        w = WORD.findall(fold(t)) if i is not None else []
+        w = WORD.findall(fold(t))
         for k in range(max(1, len(w) - width + 1) if w else 0):
-            wins.setdefault(tuple(w[k : k + width]), set()).add(str(i))
+            wins.setdefault(tuple(w[k : k + width]), set()).add(None if i is None else str(i))
     made = []
     for d, t in docs:
         found = [m.span() for m in WORD.finditer(fold(t))]
@@ -33,10 +33,14 @@ def brute_hits(docs, items, width):
                     hit.update(range(k, k + n))
                     ids |= owners
                     spans |= {(o, found[k][0], found[k + n - 1][1]) for o in owners}
-        made.append((d, len(w), len(hit), sorted(ids), sorted(spans), bool(hit) and 20 * len(hit) >= len(w)))
+        made.append((d, len(w), len(hit), sorted(ids, key=null_first), sorted(spans, key=str), bool(hit) and 20 * len(hit) >= len(w)))
     return made
 
 
+def null_first(item):
+    return item is not None, item or ""
+
+
 DOCS = [
     (1, "Alpha BETA, gamma! delta"), (2, "x alphabeta gamma delta"), (3, None), (4, ""), (5, " ...!? "), (6, "ÉCOLE école 漢字 beta gamma"),
     (7, "beta gamma " * 30), (7, "beta gamma " * 30), (None, "gamma delta"), (8, "one\x00two beta-gamma"), (9, "w " * 100 + "beta gamma"), (10, "gamma beta"),
@@ -48,7 +52,7 @@ ITEMS = [(1, "alpha beta gamma"), (2, "Beta Gamma"), (2, "gamma DELTA"), (3, "")
 def test_hits_against_brute_force(spark, docs, group_bytes):
     items = spark.createDataFrame(ITEMS, "item_id long, text string")
     got = [
-        (r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"], sorted((s["item_id"], s["start"], s["end"]) for s in r["spans"]), r["contaminated"])
+        (r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"], sorted(((s["item_id"], s["start"], s["end"]) for s in r["spans"]), key=str), r["contaminated"])
         for r in decontaminate.scan(docs(DOCS), items, width=2, group_bytes=group_bytes).collect()
     ]
     assert sorted(got, key=str) == sorted(brute_hits(DOCS, ITEMS, 2), key=str)
