@@ -7,11 +7,13 @@ close in edit distance. Texts that share a sketch are candidates, and a link hol
 the word edit distance, computed in a band around the diagonal, is at most
 (1 - similarity) of the longer text. Classes are the components of the links.
 
-Texts with equal words are one text from the start. A bucket of few texts yields all
-its pairs; in a larger one each text is paired with the bucket's first text, another one
-in each band. Where that leaves a large bucket in several components, its texts are
-compared exactly: any two that can be linked share one of their rarest words. In a
-group of texts with such a word, a task looks at the words that either of two texts has
+Texts with equal words are one text from the start. Each text is first paired with the
+first text of its largest and of its smallest bucket. Buckets that are in one component
+then are done. In the others pairs of different components follow: all in a bucket of
+few texts, those with the first text, another one in each band, in a larger one. Where
+that leaves a large bucket in several components, its texts are compared exactly: in one
+task each, or, where a bucket is very large, by the rarest words, of which any two texts
+that can be linked share one. A task looks at the words that either of two texts has
 alone, by one bit a word, which must be few; of what is left between two components some
 pairs are aligned first, and further ones only as long as they stay apart.
 """
@@ -40,8 +42,10 @@ ALL_PAIRS = 10
 SHORTEST, SHORT = 5, 50
 #: Slots in which words are counted, as a power of two.
 SLOT_BITS = 17
-#: Texts that offer the same word up to which they are compared in one task, texts of a block of the others, and rows of a task.
+#: Texts of a bucket, or that offer the same word, up to which they are compared in one task, texts of a block of the others, and rows of a task.
 CROWD, BLOCK, GROUP_ROWS = 1024, 512, 100_000
+#: Pairs that a task looks at, and pairs that it aligns.
+GROUP_PAIRS, ALIGNED_PAIRS = 20_000_000, 2000
 #: Pairs between two classes of one task that are aligned first, and how many times more in each next turn.
 FIRST_PAIRS, MORE_PAIRS = 1024, 64
 #: Numbers of 64 bits in which a text's words set a bit each.
@@ -184,47 +188,83 @@ def _shared(active: DataFrame) -> DataFrame:
     return session.materialize(active.join(sizes, ["band", "key"]), "buckets")
 
 
-def _pairs(shared: DataFrame) -> DataFrame:
-    """Pairs (a < b) to compare: all of a small bucket, those with the first text of a large one."""
-    few = shared.where(F.col("n") <= ALL_PAIRS).groupBy("band", "key").agg(F.sort_array(F.collect_list(F.struct("id", "n_words"))).alias("m"))
-    every = F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x, y))))")
+def _nearest(shared: DataFrame) -> DataFrame:
+    """Pairs (a < b) to compare first: each text and the first one of its largest and of its smallest bucket."""
+    star = shared.where("x.id != id").select("x", F.struct("id", "n_words").alias("y"), "n", "band").where(_ALIKE)
+    ends = star.groupBy("y").agg(*(f(F.struct("n", "band", "x")).alias(c) for f, c in ((F.max, "most"), (F.min, "least"))))
+    return ends.select("y", F.explode(F.array("most.x", "least.x")).alias("x")).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+
+
+def _pairs(open_: DataFrame) -> DataFrame:
+    """Pairs (a < b) of different roots: all of a small bucket, those with the first text of a large one."""
+    few = open_.where(F.col("n") <= ALL_PAIRS).groupBy("band", "key").agg(F.sort_array(F.collect_list(F.struct("id", "n_words", "root"))).alias("m"))
+    every = F.expr("flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), y -> y.root != x.root), y -> struct(x, y))))")
     small = few.select(F.explode(every).alias("p")).select("p.x", "p.y")
-    star = shared.where((F.col("n") > ALL_PAIRS) & (F.col("x.id") != F.col("id"))).select("x", F.struct("id", "n_words").alias("y"))
+    star = open_.where((F.col("n") > ALL_PAIRS) & (F.col("x.root") != F.col("root"))).select("x", F.struct("id", "n_words", "root").alias("y"))
     return small.union(star).where(_ALIKE).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def _links(copy: DataFrame, texts: DataFrame) -> DataFrame:
-    """Verified links (a, b, similarity) between text ids; their components are the classes.
+def _links(copy: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b, similarity) between text ids, and the ``root`` of each linked id: their components are the classes.
 
-    A large bucket is done when all its texts are in one component. The texts of the
-    others, and all short texts, are compared exactly (``_rest``).
+    A bucket is done when all its texts are in one component. The texts of large ones that
+    are not, and all short texts, are compared exactly (``_rest``).
     """
     texts = texts.where(f"n_words >= {SHORTEST}")
     shared = _shared(texts.select("id", "n_words", F.posexplode("sketch").alias("band", "key")))
-    pairs = session.materialize(_pairs(shared), "pairs")
     short = texts.where(f"n_words <= {SHORT}").select("id", "n_words")
     met = session.materialize(shared.select("id").union(short.select("id")).distinct().withColumn("_row", F.col("id")), "wanted")
     words = session.materialize(_words_of(copy, met), "words")
-    links = session.materialize(_verified(pairs, words), "links")
-    return links.union(_rest(words, _undone(shared, short, links), links, pairs))
-
-
-def _rooted(rows: DataFrame, links: DataFrame) -> DataFrame:
+    first = session.materialize(_nearest(shared), "pairs")
+    links = session.materialize(_verified(first, words), "links")
+    roots = _grown(None, links)
+    open_ = _open(shared.drop("x"), roots)
+    pairs = session.materialize(_pairs(open_).join(first, ["a", "b"], "left_anti"), "pairs")
+    more = session.materialize(_verified_pairs(pairs, words), "links")
+    roots = _grown(roots, more)
+    found, roots = _rest(words, _undone(open_, short, roots), roots, first.union(pairs))
+    return links.union(more).union(found), roots
+
+
+def _grown(roots: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``id`` and ``root`` of all texts that have one, or get one by stored new links: only these links' components are made."""
+    if roots is None:
+        return session.materialize(components(links).withColumnRenamed("node", "id"), "roots")
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        ends = ends.join(roots.withColumnsRenamed({"id": end, "root": f"of_{end}"}), end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    ends = session.materialize(ends, "ends")
+    merged = session.materialize(components(ends, "of_a", "of_b").select(F.col("node").alias("root"), F.col("root").alias("merged")), "merged")
+    every = roots.union(ends.select("a", "of_a")).union(ends.select("b", "of_b")).distinct()
+    every = every.join(merged, "root", "left").select("id", F.coalesce("merged", "root").alias("root"))
+    return session.materialize(every, "roots")
+
+
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
     """``rows`` with the ``root`` of their ``id``, the id itself where no link has it."""
-    roots = session.materialize(components(links), "roots").withColumnRenamed("node", "id")
     return rows.join(roots, "id", "left").withColumn("root", F.coalesce("root", "id"))
 
 
-def _undone(shared: DataFrame, short: DataFrame, links: DataFrame) -> DataFrame:
-    """Texts (id, n_words, root) of large buckets that hold several components, and all short ones."""
-    many = shared.where(F.col("n") > ALL_PAIRS).select("id", "n_words", "band", "key")
-    short = short.select("id", "n_words", F.lit(-1).alias("band"), F.lit(0).cast("long").alias("key"))
-    many = session.materialize(_rooted(many.union(short), links), "many")
-    apart = many.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-    apart = session.materialize(apart.select("band", "key"), "apart")
-    columns = ["id", "n_words", "root"]
-    undone = many.where("band >= 0").join(apart, ["band", "key"], "left_semi").select(*columns).union(many.where("band < 0").select(*columns))
-    return session.materialize(undone.distinct(), "undone")
+def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """Those of ``rows`` (id, n_words, band, key, n) whose bucket holds several components, with their root and the bucket's first text x."""
+    rooted = session.materialize(_rooted(rows, roots), "rooted")
+    first = F.min(F.struct(F.xxhash64("id", "band").alias("salt"), "id", "n_words", "root"))
+    apart = rooted.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), first.alias("x")).where("low != high")
+    apart = session.materialize(apart.select("band", "key", F.struct("x.id", "x.n_words", "x.root").alias("x")), "apart")
+    return session.materialize(rooted.join(apart, ["band", "key"]), "open")
+
+
+def _undone(open_: DataFrame, short: DataFrame, roots: DataFrame) -> DataFrame:
+    """Texts (id, n_words, root) of large buckets that hold several components, and all short ones.
+
+    ``buckets`` are those of up to ``CROWD`` texts; texts of larger ones, and short ones, are ``rare``: they meet by their rarest words.
+    """
+    still = _open(open_.where(F.col("n") > ALL_PAIRS).select("id", "n_words", "band", "key", "n"), roots)
+    held = still.select("id", "n_words", F.when(F.col("n") <= CROWD, F.xxhash64("band", "key")).alias("bucket"), (F.col("n") > CROWD).alias("rare"))
+    short = short.select("id", "n_words", F.lit(None).cast("long").alias("bucket"), F.lit(True).alias("rare"))
+    # a text has one bucket a band at most
+    undone = held.union(short).groupBy("id", "n_words").agg(F.collect_set("bucket").alias("buckets"), F.max("rare").alias("rare"))
+    return session.materialize(_rooted(undone, roots), "undone")
 
 
 def _word_tokens(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -242,11 +282,11 @@ def _edits(sizes: np.ndarray) -> np.ndarray:
 
 
 def _rarest(texts: DataFrame) -> DataFrame:
-    """Of texts (id, n_words, root, words): ``tokens``, the words of which linked texts share one, and ``signs``, a bit for each word.
+    """Of texts (id, n_words, root, buckets, rare, words): ``tokens``, their buckets and, of rare texts, the words of which linked ones share one, and ``signs``, a bit for each word.
 
     An edit takes at most one word away, so linked texts of at most n words have all but
     e = 0.2 n words in common, and the rarest of these is among the e + 1 rarest words of
-    both. Words are ordered by how many there are in ``texts``, counted in slots of their
+    both. Words are ordered by how many there are in rare texts, counted in slots of their
     hashes, then by hash. Repeated words are told apart.
     """
     shift = np.uint64(64 - SLOT_BITS)
@@ -259,7 +299,7 @@ def _rarest(texts: DataFrame) -> DataFrame:
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(seen[at])], names=["slot", "n"])
 
-    counted = texts.select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counted = texts.where("rare").select("words").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     often = np.zeros(1 << SLOT_BITS, np.int64)
     often[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     shared = texts.sparkSession.sparkContext.broadcast(often)
@@ -269,17 +309,18 @@ def _rarest(texts: DataFrame) -> DataFrame:
             some = batch.slice(low, high - low)
             hashes, owner, sizes = _word_tokens(some)
             order = np.lexsort((hashes, shared.value[(hashes >> shift).astype(np.int64)], owner))
-            kept = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner] < (_edits(sizes) + 1)[owner]
+            kept = np.arange(len(owner)) - (np.cumsum(sizes) - sizes)[owner] < np.where(np.asarray(some.column("rare")), _edits(sizes) + 1, 0)[owner]
             ends = np.concatenate(([0], np.cumsum(np.bincount(owner[kept], minlength=len(sizes)))))
             tokens = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(hashes[order].view(np.int64)[kept]))
             bit = mix(np.concatenate([np.frombuffer(w, np.uint32) for w in some.column("words").to_pylist()]).astype(np.uint64)) % np.uint64(64 * SIGNS)
             signs = np.zeros((len(sizes), SIGNS), np.uint64)
             np.bitwise_or.at(signs, (owner, (bit >> np.uint64(6)).astype(np.int64)), np.uint64(1) << (bit & np.uint64(63)))
-            columns = [*(some.column(c) for c in ("id", "n_words", "root")), tokens, *(pa.array(signs[:, k].view(np.int64)) for k in range(SIGNS))]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "root", "tokens", *_SIGNS])
+            columns = [*(some.column(c) for c in ("id", "n_words", "root", "buckets")), tokens, *(pa.array(signs[:, k].view(np.int64)) for k in range(SIGNS))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "n_words", "root", "buckets", "tokens", *_SIGNS])
 
-    schema = "id long, n_words int, root long, tokens array<long>, " + ", ".join(f"{s} long" for s in _SIGNS)
-    return over_batches(texts.select("id", "n_words", "root", "words"), schema, rare)
+    schema = "id long, n_words int, root long, buckets array<long>, tokens array<long>, " + ", ".join(f"{s} long" for s in _SIGNS)
+    made = over_batches(texts.select("id", "n_words", "root", "buckets", "rare", "words"), schema, rare)
+    return made.withColumn("tokens", F.concat("buckets", "tokens")).drop("buckets")
 
 
 _SIGNS = [f"s{k}" for k in range(SIGNS)]
@@ -375,13 +416,13 @@ def _across_blocks(pairs: int) -> Callable[[pa.Table], pa.Table]:
     return compare
 
 
-def _rest(words: DataFrame, undone: DataFrame, links: DataFrame, tested: DataFrame) -> DataFrame:
-    """Links between ``undone`` texts of different roots that no candidate pair had yet.
+def _rest(words: DataFrame, undone: DataFrame, roots: DataFrame, tested: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Links between ``undone`` texts of different roots that no candidate pair had yet, and the roots with them.
 
-    Each text offers its rarest words, such that linked texts have one in common. Words
-    are dealt over tasks, which compare the texts that offer the same one. Those of a word
-    that more than ``CROWD`` texts offer are dealt into blocks, and every two blocks meet
-    in one task. Tasks pass on few pairs; where they left some out, roots are computed anew
+    Each text offers its buckets, or its rarest words, such that linked texts have one in
+    common; below, either is a word. Words are dealt over tasks, which compare the texts
+    that offer the same one. Those of a word that more than ``CROWD`` texts offer are
+    dealt into blocks, and every two blocks meet in one task. Tasks pass on few pairs; where they left some out, roots are computed anew
     and the turn is repeated, until nothing that may be linked was left out between texts
     of different roots. No pair is aligned twice.
     """
@@ -391,10 +432,12 @@ def _rest(words: DataFrame, undone: DataFrame, links: DataFrame, tested: DataFra
         slim = texts.select(F.explode("tokens").alias("token"), "id", "n_words", "root", *_SIGNS)
         if cut is not None:
             slim = slim.join(cut, "token", "left_semi")
-        sizes = slim.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-        crowded = session.materialize(sizes.where(F.col("n") > CROWD), "crowded")
-        few = slim.join(crowded, "token", "left_anti")
-        tasks = max(1, -(-(texts.agg(F.sum(F.size("tokens"))).first()[0] or 0) // GROUP_ROWS))
+        # a word of one text makes no pair
+        sizes = session.materialize(slim.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
+        crowded, shared = sizes.where(F.col("n") > CROWD), sizes.where(F.col("n") <= CROWD)
+        rows, looks = shared.agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
+        few = slim.join(shared, "token", "left_semi")
+        tasks = max(1, -(-(rows or 0) // GROUP_ROWS), -(-(looks or 0) // GROUP_PAIRS))
         few = few.withColumn("task", F.pmod(F.xxhash64("token"), F.lit(tasks)))
         close = session.materialize(few.groupBy("task").applyInArrow(_within_tokens(pairs), _CLOSE), "close")
         if not crowded.isEmpty():
@@ -406,12 +449,13 @@ def _rest(words: DataFrame, undone: DataFrame, links: DataFrame, tested: DataFra
         fresh = close.where("not more").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         fresh = session.materialize(fresh, "pairs")
         found = session.materialize(_verified(fresh, words), "links")
+        roots = _grown(roots, found)
         made = found if made is None else made.union(found)
         cut = session.materialize(close.where("more").select("token").distinct(), "cut")
         if cut.isEmpty():
-            return made
+            return made, roots
         tested, pairs = tested.union(fresh), pairs * MORE_PAIRS
-        texts = session.materialize(_rooted(texts.drop("root"), links.union(made)).select(*texts.columns), "rarest")
+        texts = session.materialize(_rooted(texts.drop("root"), roots).select(*texts.columns), "rarest")
 
 
 def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -427,24 +471,70 @@ def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:
     return over_batches(looked_up(copy.select("_row", "text"), wanted, "_row").select("id", "text"), "id long, words binary", work)
 
 
-def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
-    """Links (a, b, similarity) among the candidate pairs."""
+def _bag(words: np.ndarray) -> np.ndarray:
+    """A text's words in the order of their values, told apart by how often they occurred before."""
+    return np.sort(words.astype(np.uint64) << np.uint64(32) | _first_seen(words).astype(np.uint64))
+
+
+def _similarity(x: np.ndarray, y: np.ndarray, bag_x: np.ndarray, bag_y: np.ndarray) -> float | None:
+    """The similarity of two texts if they are linked. Words that only one has are an edit each, and are counted first."""
+    longer = max(len(x), len(y))
+    limit = int(longer * (1 - SIMILARITY) + 1e-9)
+    at = np.minimum(np.searchsorted(bag_x, bag_y), len(bag_x) - 1)
+    if longer - np.count_nonzero(bag_x[at] == bag_y) > limit:
+        return None
+    distance = within(x, y, limit)
+    return None if distance is None else 1 - distance / longer
+
+
+_LINK = "a long, b long, similarity double"
+
+
+def _verified_pairs(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (a, b, similarity) among candidate pairs of which a text has few."""
     left = words.select(F.col("id").alias("a"), F.col("words").alias("_x"))
     right = words.select(F.col("id").alias("b"), F.col("words").alias("_y"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        a, b, similar = [], [], []
+        found = []
         for i, j, x, y in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "_x", "_y"))):
             x, y = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-            longer = max(len(x), len(y))
-            distance = within(x, y, int(longer * (1 - SIMILARITY) + 1e-9))
-            if distance is not None:
-                a.append(i)
-                b.append(j)
-                similar.append(1 - distance / longer)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(similar, pa.float64())], names=["a", "b", "similarity"])
+            found.append((i, j, _similarity(x, y, _bag(x), _bag(y))))
+        return _of_links(found)
+
+    return over_batches(pairs.join(right, "b").join(left, "a"), _LINK, work)
+
 
-    return over_batches(pairs.join(right, "b").join(left, "a"), "a long, b long, similarity double", work)
+def _of_links(found: list[tuple]) -> pa.RecordBatch:
+    """Those of some compared pairs (a, b, similarity) that are linked."""
+    linked = [f for f in found if f[2] is not None]
+    columns = [pa.array([f[k] for f in linked], kind) for k, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "similarity"])
+
+
+def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
+    """Links (a, b, similarity) among stored candidate pairs; a text is sent to a task once, not with each of its pairs.
+
+    Texts are dealt into blocks, and the pairs of any two blocks are one task's.
+    """
+    n, texts = pairs.count(), pairs.select(F.explode(F.array("a", "b"))).distinct().count()
+    # where a text has many pairs, most are told apart without an alignment, and larger blocks send it to fewer tasks
+    blocks = max(1, int(np.sqrt(2 * n / (ALIGNED_PAIRS * max(1, min(8, n // max(1, texts)))))))
+    own = [F.pmod(F.xxhash64(c), F.lit(blocks)) for c in ("a", "b")]
+    tasks = blocks * (blocks + 1) // 2
+    high = F.greatest(*own)
+    dealt = pairs.withColumn("task", (F.floor(high * (high + 1) / 2) + F.least(*own)).cast("long"))
+    wanted = dealt.select("task", F.col("a").alias("id")).union(dealt.select("task", "b")).distinct()
+    parts = min(tasks, max(1, -(-n // ALIGNED_PAIRS)))
+    texts = wanted.join(words, "id").select(F.col("task").alias("of"), "id", "words").repartition(parts, "of")
+
+    def align(some: pa.Table, theirs: pa.Table) -> pa.Table:
+        held = {i: np.frombuffer(w, np.uint32) for i, w in zip(theirs.column("id").to_pylist(), theirs.column("words").to_pylist())}
+        bags = {i: _bag(w) for i, w in held.items()}
+        ends = zip(some.column("a").to_pylist(), some.column("b").to_pylist())
+        return pa.Table.from_batches([_of_links([(i, j, _similarity(held[i], held[j], bags[i], bags[j])) for i, j in ends])])
+
+    return dealt.repartition(parts, "task").groupBy("task").cogroup(texts.groupBy("of")).applyInArrow(align, _LINK)
 
 
 class Classes:
@@ -465,8 +555,8 @@ def classes(docs: DataFrame) -> Classes:
     rows = session.materialize(_sketched(copy), "sketches")
     texts = rows.groupBy("h1", "h2").agg(F.min("_row").alias("_row"), F.min("n_words").alias("n_words"), F.min("sketch").alias("sketch"))
     texts = session.materialize(texts.withColumn("id", F.col("_row")), "texts")
-    links = session.materialize(_links(copy, texts), "all-links")
-    roots = session.materialize(components(links), "roots").withColumnRenamed("node", "id")
+    links, roots = _links(copy, texts)
+    links = session.materialize(links, "all-links")
     rooted = texts.select("h1", "h2", "id").join(roots, "id", "left").select("h1", "h2", "id", F.coalesce("root", "id").alias("root"))
     members = rows.select("_row", "doc_id", "h1", "h2", "n_words").join(rooted, ["h1", "h2"]).drop("h1", "h2")
     return Classes(copy, session.materialize(members, "members"), links)

@@ -116,3 +116,20 @@ def test_labels_without_id_or_with_two_values(spark, docs):
     assert got == {i: i % 2 for i in range(60)}  # of two labels the larger counts
     nothing = quality.fit(docs(texts).where("false"), frame, F.lit(True))
     assert {round(r["score"], 3) for r in quality.score(docs(texts[:3]), nothing).collect()} == {0.5}
+
+
+def test_near_copies_in_many_buckets_are_compared_few_times(docs, monkeypatch):
+    """A class of near copies that share nearly all buckets takes two or three comparisons a text, not one a bucket."""
+    compared = []
+    for name in ("_verified", "_verified_pairs"):
+        real = getattr(near_dedup, name, None)
+        monkeypatch.setattr(near_dedup, name, lambda pairs, words, real=real: compared.append(pairs.count()) or real(pairs, words), raising=False)
+    rng = random.Random(12)
+    texts = []
+    for k in range(120):
+        words = [f"w{i}" for i in range(120)]
+        for _ in range(3):
+            words[rng.randrange(120)] = f"v{rng.randrange(10**6)}"
+        texts.append((k, " ".join(words)))
+    assert [r["class_id"] for r in near_dedup.class_of(docs(texts)).collect()] == [0] * 120
+    assert sum(compared) <= 3 * 120
