@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from gridtally import session
 from gridtally.catalog.base_sql import CHANGES, CHANGE_COLUMNS, CUSTOMERS, CUSTOMER_CHANGES
 from gridtally.catalog.registry import query, with_ctes
 from gridtally.operators import cdc, evolve
@@ -163,7 +164,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     """A registry that does not know the status field yet grows by one version where it occurs."""
-    seen = evolve.one_type(evolve.observed(valid_events(spark, folder)))
+    seen = session.materialize(evolve.one_type(evolve.observed(valid_events(spark, folder))), "seen")  # one row a field, used many times
     registry = seen.filter("field <> 'status'").select("table_name", F.lit(0).alias("version"), "field", "dtype")
     return evolve.evolve(registry, seen)[0]
 

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from gridtally import session
 from gridtally.functions import payload
 from gridtally.operators.once import computed_once
 
@@ -59,6 +60,8 @@ def evolve(registry: DataFrame, proposed: DataFrame) -> tuple[DataFrame, list[st
     Raises on a removed or retyped field. The registry holds one row per field,
     so looking at the differences on the driver is bounded by the schemas.
     """
+    # each is used several times, and may stand for all events
+    registry, proposed = session.materialize(registry, "registry"), session.materialize(proposed, "proposed")
     current = latest(registry)
     changes = diff(current, proposed)
     tables = [r[0] for r in proposed.select("table_name").distinct().collect()]

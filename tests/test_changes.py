@@ -189,3 +189,22 @@ def test_snapshot_and_changes(spark):
     feed = spark.createDataFrame([("1", "b", 1, "UPDATE"), ("2", None, 5, "DELETE"), ("3", "late", 2, "UPDATE"), ("4", "n", 1, "INSERT")], "k string, v string, t int, operation string")
     out = cdc.unify(snap, feed, ["k"], "t")
     assert sorted((r["k"], r["v"]) for r in out.collect()) == [("1", "b"), ("3", "a"), ("4", "n")]
+
+
+def test_growing_a_registry_reads_its_proposal_once(spark):
+    """What is proposed may stand for all events, so it is computed once."""
+    read = spark.sparkContext.accumulator(0)
+
+    def rows(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    fields = [("meters", "meter_id", "str"), ("meters", "status", "str")]
+    shape = "table_name string, field string, dtype string"
+    proposed = spark.createDataFrame(fields, shape).mapInArrow(rows, shape)
+    registry = spark.createDataFrame([("meters", 0, "meter_id", "str")], "table_name string, version int, field string, dtype string")
+    grown, tables = evolve.evolve(registry, proposed)
+    assert tables == ["meters"]
+    assert sorted(map(tuple, grown.collect())) == [("meters", 0, "meter_id", "str"), ("meters", 1, "meter_id", "str"), ("meters", 1, "status", "str")]
+    assert read.value == 2
