@@ -27,7 +27,8 @@ from gridtally.operators import dedup, integrity, upsert
 #: Words of a file's Bloom filter. Four bits are set for each key, in one word of 64 bits;
 #: a file of a million keys has some eight keys a word.
 WORDS = 1 << 17
-#: Keys of a batch that are looked up one by one. A larger batch takes all files in its range.
+#: Keys of a batch, times files in its range, that are looked up one by one. A larger batch hits most
+#: of these files anyway and takes them all, so the work of a lookup does not grow as keys times files.
 LOOKED_UP = 1_000_000
 #: How often an append is tried again when other writers commit in between.
 TRIES = 10
@@ -117,8 +118,9 @@ class Table:
         asked = source.filter(upsert.keyed(self.found_by)).select(*self.found_by).distinct()
         ranges = asked.agg(F.min(first).alias("low"), F.max(first).alias("high"), F.count(F.lit(1)).alias("n")).first()
         near = live.filter((F.col("low") <= F.lit(ranges["high"])) & (F.col("high") >= F.lit(ranges["low"])))
-        commits = [r["commit"] for r in near.select("commit").distinct().collect()]
-        if not commits or ranges["n"] > LOOKED_UP:
+        per_commit = near.groupBy("commit").agg(F.count(F.lit(1)).alias("files")).collect()
+        commits = [r["commit"] for r in per_commit]
+        if not commits or ranges["n"] * sum(r["files"] for r in per_commit) > LOOKED_UP:
             return near
         word, bits = self._bits(self._hash())
         asked = asked.select(F.col(first).alias("_key"), word.alias("word"), bits.alias("_asked"))

@@ -191,3 +191,15 @@ def test_empty_changes(spark, table):
     table.replace(nothing, nothing)
     assert content(table.read()) == before
     assert table.read().filter(F.col("id").isNull()).count() == 0
+
+
+def test_a_lookup_is_bounded_by_keys_times_files(spark, table, monkeypatch):
+    """Four keys and eight overlapping files are 32 looks: above the bound all files in the range are taken, below it those of the keys."""
+    names = filled(spark, table)
+    inside = sorted(names)[200:600]
+    batch = rows_of(spark, [(k, 0.0, "") for k in (inside[0], inside[100], inside[200], inside[-1])])
+    ranges = {r["path"] for r in table.files().filter((F.col("low") <= inside[-1]) & (F.col("high") >= inside[0])).collect()}
+    few = {r["path"] for r in table.holding(batch).collect()}
+    monkeypatch.setattr("gridtally.sinks.tables.LOOKED_UP", 4 * len(ranges) - 1)
+    assert {r["path"] for r in table.holding(batch).collect()} == ranges
+    assert few < ranges
