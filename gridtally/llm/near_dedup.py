@@ -13,9 +13,12 @@ then are done. In the others pairs of different components follow: all in a buck
 few texts, those with the first text, another one in each band, in a larger one. Where
 that leaves a large bucket in several components, its texts are compared exactly: in one
 task each, or, where a bucket is very large, by the rarest words, of which any two texts
-that can be linked share one. A task looks at the words that either of two texts has
-alone, by one bit a word, which must be few; of what is left between two components some
-pairs are aligned first, and further ones only as long as they stay apart.
+that can be linked share one. Such a task holds its texts' words, rules pairs out by
+counts of words, aligns others as long as their components stay apart, and passes on
+nothing but links. Only the texts of a word that very many offer meet in blocks: there a
+task looks at the words that either of two texts has alone, by one bit a word, which must
+be few; of what is left between two components some pairs are aligned first, and further
+ones only as long as they stay apart.
 """
 
 from __future__ import annotations
@@ -43,9 +46,11 @@ SHORTEST, SHORT = 5, 50
 #: Slots in which words are counted, as a power of two.
 SLOT_BITS = 17
 #: Texts of a bucket, or that offer the same word, up to which they are compared in one task, texts of a block of the others, and rows of a task.
-CROWD, BLOCK, GROUP_ROWS = 1024, 512, 100_000
+CROWD, BLOCK, GROUP_ROWS = 4096, 512, 100_000
+#: Words of the texts of a task, and slots in which a task counts a text's words.
+GROUP_WORDS, SLOTS = 4_000_000, 256
 #: Pairs that a task looks at, and pairs that it aligns.
-GROUP_PAIRS, ALIGNED_PAIRS = 20_000_000, 2000
+GROUP_PAIRS, ALIGNED_PAIRS = 5_000_000, 2000
 #: Pairs between two classes of one task that are aligned first, and how many times more in each next turn.
 FIRST_PAIRS, MORE_PAIRS = 1024, 64
 #: Numbers of 64 bits in which a text's words set a bit each.
@@ -180,12 +185,13 @@ def _shared(active: DataFrame) -> DataFrame:
     """Rows (id, n_words, band, key) of buckets with more than one text, with the bucket's size n and first text x.
 
     Which text is first differs by band, so that no text is the only one others are compared with.
+    The rows are shuffled once, for the counts and for the join with them.
     """
+    active = active.repartition("band", "key")
     first = F.min(F.struct(F.xxhash64("id", "band").alias("salt"), "id", "n_words"))
     sizes = active.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), first.alias("x")).where("n > 1")
-    # stored, so that the join is between two plain shuffles and a large bucket can be split
-    sizes = session.materialize(sizes.withColumn("x", F.struct("x.id", "x.n_words")), "sizes")
-    return session.materialize(active.join(sizes, ["band", "key"]), "buckets")
+    sizes = sizes.withColumn("x", F.struct("x.id", "x.n_words"))
+    return session.materialize(active.join(sizes.hint("merge"), ["band", "key"]), "buckets")
 
 
 def _nearest(shared: DataFrame) -> DataFrame:
@@ -374,24 +380,77 @@ class _Texts:
 _CLOSE = "token long, a long, b long, more boolean"
 
 
-def _within_tokens(pairs: int) -> Callable[[pa.Table], pa.Table]:
-    """Pairs of texts that offer the same word, of many words that each few texts offer."""
+class _Held:
+    """Texts of one task with their words, and the links between them."""
 
-    def compare(table: pa.Table) -> pa.Table:
-        texts = _Texts(table)
-        n = len(texts.token)
-        start = np.flatnonzero(np.concatenate(([True], texts.token[1:] != texts.token[:-1])))
+    def __init__(self, table: pa.Table, tasks: int):
+        columns = {c: np.asarray(table.column(c)).astype(np.int64) for c in ("id", "n_words", "root")}
+        order = np.argsort(columns["id"], kind="stable")
+        self.id, self.size, self.root = (columns[c][order] for c in ("id", "n_words", "root"))
+        self.edits = _edits(self.size)
+        words, tokens = (table.column(c).to_pylist() for c in ("words", "tokens"))
+        self.words = [np.frombuffer(words[i], np.uint32) for i in order]
+        self.offered = [frozenset(tokens[i]) for i in order]
+        self.counts = np.stack([np.minimum(np.bincount(w % np.uint32(SLOTS), minlength=SLOTS), 255).astype(np.uint8) for w in self.words])
+        # which text offers which word, of the words that are compared here
+        flat = np.array([x for i in order for x in tokens[i]], np.int64)
+        owner = np.repeat(np.arange(len(order)), [len(tokens[i]) for i in order])
+        here = flat % tasks == table.column("task")[0].as_py()
+        flat, owner = flat[here], owner[here]
+        order = np.lexsort((owner, flat))
+        self.token, self.owner = flat[order], owner[order]
+        self.bags, self.held = {}, 0
+
+    def fit(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the pairs have different roots, and few words that only one of them has."""
+        edits = np.maximum(self.edits[x], self.edits[y])
+        longer = self.size[x] - self.size[y]
+        fits = (self.root[x] != self.root[y]) & (np.abs(longer) <= edits)
+        at = np.flatnonzero(fits)
+        for low in range(0, len(at), 1 << 16):
+            some = at[low : low + (1 << 16)]
+            one, other = self.counts[x[some]], self.counts[y[some]]
+            most = np.maximum(one, other)
+            for less, n in ((other, longer[some]), (one, -longer[some])):
+                # a word that only the first has is taken away or replaced, as many as the second is longer by are added
+                fits[some] &= (most - less).sum(axis=1, dtype=np.int64) <= edits[some] - np.maximum(-n, 0)
+        return fits
+
+    def bag(self, i: int) -> np.ndarray:
+        if i not in self.bags:
+            self.held += len(self.words[i])
+            if self.held > GROUP_WORDS:
+                self.bags, self.held = {}, len(self.words[i])
+            self.bags[i] = _bag(self.words[i])
+        return self.bags[i]
+
+    def links(self) -> list[tuple]:
+        """Links (a, b, similarity) after which no two texts of one word that can be linked have different roots."""
+        n, found = len(self.token), []
+        start = np.flatnonzero(np.concatenate(([True], self.token[1:] != self.token[:-1])))
         left = np.repeat(np.append(start[1:], n), np.diff(np.append(start, n))) - np.arange(n)
-        at, step, found = np.arange(n), 1, []
+        at, step = np.arange(n), 1
         while True:
             at = at[left[at] > step]
             if not len(at):
-                break
-            fits = at[texts.linkable(at, at + step)]
-            found.append((fits, fits + step))
+                return found
+            some = at[self.fit(self.owner[at], self.owner[at + step])]
+            for token, x, y in zip(self.token[some].tolist(), self.owner[some].tolist(), self.owner[some + step].tolist()):
+                # a pair that shares several words is compared by the first of them alone, in whichever task that is
+                if self.root[x] == self.root[y] or min(self.offered[x] & self.offered[y]) != token:
+                    continue
+                alike = _similarity(self.words[x], self.words[y], self.bag(x), self.bag(y))
+                if alike is not None:
+                    found.append((int(self.id[x]), int(self.id[y]), alike))
+                    self.root[self.root == self.root[y]] = self.root[x]
             step += 1
-        x, y = (np.concatenate([f[k] for f in found] or [at]) for k in (0, 1))
-        return texts.picked(x, y, pairs)
+
+
+def _linked_within(tasks: int) -> Callable[[pa.Table], pa.Table]:
+    """Links between texts that offer the same word, of many words that each few texts offer."""
+
+    def compare(table: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([_of_links(_Held(table, tasks).links())])
 
     return compare
 
@@ -420,42 +479,43 @@ def _rest(words: DataFrame, undone: DataFrame, roots: DataFrame, tested: DataFra
     """Links between ``undone`` texts of different roots that no candidate pair had yet, and the roots with them.
 
     Each text offers its buckets, or its rarest words, such that linked texts have one in
-    common; below, either is a word. Words are dealt over tasks, which compare the texts
-    that offer the same one. Those of a word that more than ``CROWD`` texts offer are
-    dealt into blocks, and every two blocks meet in one task. Tasks pass on few pairs; where they left some out, roots are computed anew
+    common; below, either is a word. Words of which all texts have one root are done. The
+    others are dealt over tasks, which get the texts that offer them, once each with its
+    words, and find the links between those that offer the same one. The texts of a word
+    that more than ``CROWD`` offer are dealt into blocks, and every two blocks meet in one
+    task. These tasks pass on few pairs; where they left some out, roots are computed anew
     and the turn is repeated, until nothing that may be linked was left out between texts
-    of different roots. No pair is aligned twice.
+    of different roots.
     """
     texts = session.materialize(_rarest(looked_up(words, undone, "id")), "rarest")
-    tested, made, pairs, cut = tested.select("a", "b"), None, FIRST_PAIRS, None
-    while True:
-        slim = texts.select(F.explode("tokens").alias("token"), "id", "n_words", "root", *_SIGNS)
-        if cut is not None:
-            slim = slim.join(cut, "token", "left_semi")
-        # a word of one text makes no pair
-        sizes = session.materialize(slim.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-        crowded, shared = sizes.where(F.col("n") > CROWD), sizes.where(F.col("n") <= CROWD)
-        rows, looks = shared.agg(F.sum("n"), F.sum(F.col("n") * F.col("n"))).first()
-        few = slim.join(shared, "token", "left_semi")
-        tasks = max(1, -(-(rows or 0) // GROUP_ROWS), -(-(looks or 0) // GROUP_PAIRS))
-        few = few.withColumn("task", F.pmod(F.xxhash64("token"), F.lit(tasks)))
-        close = session.materialize(few.groupBy("task").applyInArrow(_within_tokens(pairs), _CLOSE), "close")
-        if not crowded.isEmpty():
-            large = slim.join(crowded, "token").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-            large = session.materialize(large.withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int")), "large")
-            dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-            close = close.union(session.materialize(groups.applyInArrow(_across_blocks(pairs), _CLOSE), "close"))
+    offers = texts.select(F.explode("tokens").alias("token"), "id", "n_words", "root")
+    sizes = offers.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"), F.min("root").alias("low"), F.max("root").alias("high"))
+    sizes = session.materialize(sizes.where("low != high").drop("low", "high"), "sizes")
+    crowded, shared = sizes.where(F.col("n") > CROWD), sizes.where(F.col("n") <= CROWD)
+    offered, looks, sent = (n or 0 for n in shared.agg(F.sum("n"), F.sum(F.col("n") * F.col("n")), F.sum("words")).first())
+    tasks = max(1, -(-offered // GROUP_ROWS), -(-looks // GROUP_PAIRS), -(-sent // GROUP_WORDS))
+    few = offers.select("token", "id").join(shared, "token", "left_semi").groupBy("id").agg(F.collect_list("token").alias("tokens"))
+    few = session.materialize(texts.select("id", "n_words", "root").join(few, "id"), "offers")
+    dealt = looked_up(words, few, "id").withColumn("task", F.explode(F.array_distinct(F.transform("tokens", lambda t: F.pmod(t, F.lit(tasks))))))
+    made = session.materialize(dealt.repartition(tasks, "task").groupBy("task").applyInArrow(_linked_within(tasks), _LINK), "links")
+    roots = _grown(roots, made)
+    tested, pairs = tested.select("a", "b"), FIRST_PAIRS
+    while not crowded.isEmpty():
+        texts = session.materialize(_rooted(texts.drop("root"), roots).select(*texts.columns), "rarest")
+        large = texts.select(F.explode("tokens").alias("token"), "id", "n_words", "root", *_SIGNS).join(crowded, "token")
+        large = large.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+        large = session.materialize(large.withColumn("own", F.pmod(F.xxhash64("id", "token"), "blocks").cast("int")), "large")
+        dealt = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        groups = dealt.groupBy("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+        close = session.materialize(groups.applyInArrow(_across_blocks(pairs), _CLOSE), "close")
         fresh = close.where("not more").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
         fresh = session.materialize(fresh, "pairs")
         found = session.materialize(_verified(fresh, words), "links")
-        roots = _grown(roots, found)
-        made = found if made is None else made.union(found)
-        cut = session.materialize(close.where("more").select("token").distinct(), "cut")
-        if cut.isEmpty():
-            return made, roots
+        roots, made = _grown(roots, found), made.union(found)
+        cut = close.where("more").select("token").distinct()
+        crowded = session.materialize(crowded.join(cut, "token", "left_semi"), "cut")
         tested, pairs = tested.union(fresh), pairs * MORE_PAIRS
-        texts = session.materialize(_rooted(texts.drop("root"), roots).select(*texts.columns), "rarest")
+    return made, roots
 
 
 def _words_of(copy: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -492,6 +552,8 @@ _LINK = "a long, b long, similarity double"
 
 def _verified_pairs(pairs: DataFrame, words: DataFrame) -> DataFrame:
     """Links (a, b, similarity) among candidate pairs of which a text has few."""
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    words = looked_up(words, wanted, "id", "left_semi")
     left = words.select(F.col("id").alias("a"), F.col("words").alias("_x"))
     right = words.select(F.col("id").alias("b"), F.col("words").alias("_y"))
 
@@ -526,7 +588,7 @@ def _verified(pairs: DataFrame, words: DataFrame) -> DataFrame:
     dealt = pairs.withColumn("task", (F.floor(high * (high + 1) / 2) + F.least(*own)).cast("long"))
     wanted = dealt.select("task", F.col("a").alias("id")).union(dealt.select("task", "b")).distinct()
     parts = min(tasks, max(1, -(-n // ALIGNED_PAIRS)))
-    texts = wanted.join(words, "id").select(F.col("task").alias("of"), "id", "words").repartition(parts, "of")
+    texts = looked_up(words, wanted, "id").select(F.col("task").alias("of"), "id", "words").repartition(parts, "of")
 
     def align(some: pa.Table, theirs: pa.Table) -> pa.Table:
         held = {i: np.frombuffer(w, np.uint32) for i, w in zip(theirs.column("id").to_pylist(), theirs.column("words").to_pylist())}

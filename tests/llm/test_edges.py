@@ -133,3 +133,30 @@ def test_near_copies_in_many_buckets_are_compared_few_times(docs, monkeypatch):
         texts.append((k, " ".join(words)))
     assert [r["class_id"] for r in near_dedup.class_of(docs(texts)).collect()] == [0] * 120
     assert sum(compared) <= 3 * 120
+
+
+def test_long_texts_behind_one_passage_pass_on_no_pairs(docs, monkeypatch):
+    """Texts of so many words that each bit a word is set are told apart where their words are, not as pairs."""
+    compared = []
+    verified = near_dedup._verified
+    monkeypatch.setattr(near_dedup, "_verified", lambda pairs, words: compared.append(pairs.count()) or verified(pairs, words))
+    rng = random.Random(13)
+    passage = [f"p{i}" for i in range(400)]
+    texts = [(k, " ".join(passage + [f"q{rng.randrange(10**6)}" for _ in range(240)])) for k in range(60)]
+    assert near_dedup.class_of(docs(texts)).select("class_id").distinct().count() == 60
+    assert sum(compared[1:]) <= 60
+
+
+def test_bucket_rows_are_shuffled_once(spark, monkeypatch):
+    plans = []
+
+    def seen(df, label):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+        return df
+
+    monkeypatch.setattr(near_dedup.session, "materialize", seen)
+    rows = [(i, 5 + i % 3, i % 4, i // 8) for i in range(64)]
+    made = near_dedup._shared(spark.createDataFrame(rows, "id long, n_words int, band int, key long")).collect()
+    assert len(made) == 64 and {r["n"] for r in made} == {2}
+    assert [p.count("ReusedExchange") for p in plans] == [1]
