@@ -73,11 +73,14 @@ def usage_in_periods(
 def covered_days(daily: DataFrame, periods: DataFrame, keys: list[str], start: str, end: str, flag: str) -> DataFrame:
     """Daily rows with a flag telling whether some period contains the day.
 
-    ``daily`` has one row per key and day. Grouping by the join's own columns
-    keeps its partitioning, so the flag costs no further shuffle.
+    ``daily`` has one row per key and day. The periods of a key and month are gathered
+    first, of which the calendar allows few, so that a daily row meets one row at most and
+    nothing is held or grouped after the join.
     """
-    joined = _covering(daily, periods, keys, start, end, "left")
-    kept = [c for c in daily.columns if c not in (*keys, "day")]
-    return joined.groupBy(*keys, "_day_month", "day").agg(
-        *[F.first(c).alias(c) for c in kept], F.max(F.col("_month").isNotNull()).alias(flag)
-    ).drop("_day_month")
+    cut = period_months(periods, keys, start, end).groupBy(*keys, "_month").agg(F.collect_list(F.struct(F.col(start).alias("low"), F.col(end).alias("high"))).alias("_spans"))
+    cut = cut.withColumnsRenamed({k: f"_p_{k}" for k in keys}).hint("merge")
+    on = F.trunc("day", "MM") == F.col("_month")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_p_{k}"))
+    within = F.exists("_spans", lambda s: F.col("day").between(s.low, s.high))
+    return daily.join(cut, on, "left").select(*daily.columns, F.coalesce(within, F.lit(False)).alias(flag))

@@ -185,3 +185,13 @@ def test_usage_and_coverage_match_every_pair_tested(spark):
     assert got == want
     flags = {(r["site"], r["day"]): r["billed"] for r in ranges.covered_days(d, p, ["site"], "a", "b", "billed").collect()}
     assert flags == {(s, x): any(s == q and a <= x <= b for q, a, b in periods) for s, x, _ in daily}
+
+
+def test_coverage_groups_nothing_after_its_join(spark):
+    day = dt.date(2024, 5, 10)
+    d = spark.createDataFrame([("a", day, 1), ("a", None, 2), (None, day, 3), ("b", day, 4)], "site string, day date, usage int")
+    p = spark.createDataFrame([("a", day, day), ("a", dt.date(2024, 4, 1), dt.date(2024, 6, 1)), ("b", None, day), (None, day, day)], "site string, a date, b date")
+    made = ranges.covered_days(d, p, ["site"], "a", "b", "billed")
+    assert {r["usage"]: r["billed"] for r in made.collect()} == {1: True, 2: False, 3: False, 4: False}
+    plan = made._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Join" in plan and "Aggregate" not in plan.split("Join")[0]
