@@ -39,6 +39,8 @@ SHINGLE = 3
 SIMILARITY = 0.8
 #: Sketches of a text, and k-mers a sketch takes: texts of similarity 0.8 share one with probability 0.99 or more.
 SKETCHES, TAKE = 48, 2
+#: A power of two, at least ``SKETCHES``: a bucket's key holds its band below it.
+BANDS = 64
 #: Texts of a bucket up to which all its pairs are compared.
 ALL_PAIRS = 10
 #: Shorter texts are linked to none; texts up to ``SHORT`` words have too few k-mers for sketches and are compared exactly.
@@ -57,6 +59,7 @@ FIRST_PAIRS, MORE_PAIRS = 1024, 64
 SIGNS = 4
 _ALIKE = f"least(x.n_words, y.n_words) >= {SIMILARITY} * greatest(x.n_words, y.n_words)"
 _BASE = 0x9E3779B97F4A7C15
+_BAND = f"cast(key & {BANDS - 1} AS int)"
 
 
 def word_runs(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -182,53 +185,67 @@ def _sketched(copy: DataFrame) -> DataFrame:
 
 
 def _shared(active: DataFrame) -> DataFrame:
-    """Rows (id, n_words, band, key) of buckets with more than one text, with the bucket's size n and first text x.
+    """Buckets of more than one text: key, number of texts n, first text x and texts m (id, n_words).
 
-    Which text is first differs by band, so that no text is the only one others are compared with.
-    The rows are shuffled once, for the counts and for the join with them.
+    ``active`` has a row (id, n_words, key) for each sketch of a text. A bucket of up to
+    ``ALL_PAIRS`` texts is one row, a larger one a row for each text. Which text is first differs
+    by band, so that no text is the only one others are compared with. The rows are shuffled
+    once, for the counts, for the join with them and for the texts of a bucket.
     """
-    active = active.repartition("band", "key")
-    first = F.min(F.struct(F.xxhash64("id", "band").alias("salt"), "id", "n_words"))
-    sizes = active.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), first.alias("x")).where("n > 1")
+    active = active.repartition("key")
+    first = F.min(F.struct(F.xxhash64("id", F.expr(_BAND)).alias("salt"), "id", "n_words"))
+    sizes = active.groupBy("key").agg(F.count(F.lit(1)).alias("n"), first.alias("x")).where("n > 1")
     sizes = sizes.withColumn("x", F.struct("x.id", "x.n_words"))
-    return session.materialize(active.join(sizes.hint("merge"), ["band", "key"]), "buckets")
+    rows = active.join(sizes.hint("merge"), "key").withColumn("alone", F.when(F.col("n") > ALL_PAIRS, F.col("id")))
+    made = rows.groupBy("key", "alone").agg(F.first("n").alias("n"), F.first("x").alias("x"), F.collect_list(F.struct("id", "n_words")).alias("m"))
+    return session.materialize(made.drop("alone"), "buckets")
 
 
 def _nearest(shared: DataFrame) -> DataFrame:
     """Pairs (a < b) to compare first: each text and the first one of its largest and of its smallest bucket."""
-    star = shared.where("x.id != id").select("x", F.struct("id", "n_words").alias("y"), "n", "band").where(_ALIKE)
+    star = shared.select("x", F.explode("m").alias("y"), "n", F.expr(_BAND).alias("band")).where("x.id != y.id").where(_ALIKE)
     ends = star.groupBy("y").agg(*(f(F.struct("n", "band", "x")).alias(c) for f, c in ((F.max, "most"), (F.min, "least"))))
     return ends.select("y", F.explode(F.array("most.x", "least.x")).alias("x")).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
 
-def _pairs(open_: DataFrame) -> DataFrame:
-    """Pairs (a < b) of different roots: all of a small bucket, those with the first text of a large one."""
-    few = open_.where(F.col("n") <= ALL_PAIRS).groupBy("band", "key").agg(F.sort_array(F.collect_list(F.struct("id", "n_words", "root"))).alias("m"))
-    every = F.expr("flatten(transform(m, (x, i) -> transform(filter(slice(m, i + 2, size(m)), y -> y.root != x.root), y -> struct(x, y))))")
-    small = few.select(F.explode(every).alias("p")).select("p.x", "p.y")
-    star = open_.where((F.col("n") > ALL_PAIRS) & (F.col("x.root") != F.col("root"))).select("x", F.struct("id", "n_words", "root").alias("y"))
-    return small.union(star).where(_ALIKE).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+def _pairs(shared: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs (a < b) of different roots but the ``first``: all of a small bucket, those with the first text of a large one.
+
+    A pair that shares many buckets is one row before its roots are looked up.
+    """
+    every = F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x, y))))")
+    small = shared.where(F.col("n") <= ALL_PAIRS).select(F.explode(every).alias("p")).select("p.x", "p.y")
+    star = shared.where(F.col("n") > ALL_PAIRS).select("x", F.col("m")[0].alias("y")).where("x.id != y.id")
+    pairs = small.union(star).where(_ALIKE).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    pairs = pairs.join(first, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        pairs = looked_up(pairs, roots.withColumnsRenamed({"id": end, "root": f"of_{end}"}), end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    return pairs.where("of_a != of_b").select("a", "b")
 
 
 def _links(copy: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b, similarity) between text ids, and the ``root`` of each linked id: their components are the classes.
 
-    A bucket is done when all its texts are in one component. The texts of large ones that
-    are not, and all short texts, are compared exactly (``_rest``).
+    ``texts`` has each text once (id, n_words, sketch). A bucket is done when all its texts are
+    in one component. The texts of large ones that are not, and all short texts, are compared
+    exactly (``_rest``).
     """
     texts = texts.where(f"n_words >= {SHORTEST}")
-    shared = _shared(texts.select("id", "n_words", F.posexplode("sketch").alias("band", "key")))
+    sketched = texts.select("id", "n_words", F.posexplode("sketch").alias("band", "value"))
+    # the band is the lowest bits of the key
+    shared = _shared(sketched.select("id", "n_words", F.expr(f"value & {-BANDS} | band").alias("key")))
     short = texts.where(f"n_words <= {SHORT}").select("id", "n_words")
-    met = session.materialize(shared.select("id").union(short.select("id")).distinct().withColumn("_row", F.col("id")), "wanted")
+    met = shared.select(F.explode("m.id").alias("id")).union(short.select("id")).distinct()
+    met = session.materialize(met.withColumn("_row", F.col("id")), "wanted")
     words = session.materialize(_words_of(copy, met), "words")
     first = session.materialize(_nearest(shared), "pairs")
     links = session.materialize(_verified(first, words), "links")
     roots = _grown(None, links)
-    open_ = _open(shared.drop("x"), roots)
-    pairs = session.materialize(_pairs(open_).join(first, ["a", "b"], "left_anti"), "pairs")
+    pairs = session.materialize(_pairs(shared, first, roots), "pairs")
     more = session.materialize(_verified_pairs(pairs, words), "links")
     roots = _grown(roots, more)
-    found, roots = _rest(words, _undone(open_, short, roots), roots, first.union(pairs))
+    large = shared.where(F.col("n") > ALL_PAIRS).select("key", F.col("m")[0].alias("y"), "n").select("key", "y.id", "y.n_words", "n")
+    found, roots = _rest(words, _undone(large, short, roots), roots, first.union(pairs))
     return links.union(more).union(found), roots
 
 
@@ -252,21 +269,19 @@ def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """Those of ``rows`` (id, n_words, band, key, n) whose bucket holds several components, with their root and the bucket's first text x."""
+    """Those of ``rows`` (id, n_words, key, n) whose bucket holds several components."""
     rooted = session.materialize(_rooted(rows, roots), "rooted")
-    first = F.min(F.struct(F.xxhash64("id", "band").alias("salt"), "id", "n_words", "root"))
-    apart = rooted.groupBy("band", "key").agg(F.min("root").alias("low"), F.max("root").alias("high"), first.alias("x")).where("low != high")
-    apart = session.materialize(apart.select("band", "key", F.struct("x.id", "x.n_words", "x.root").alias("x")), "apart")
-    return session.materialize(rooted.join(apart, ["band", "key"]), "open")
+    apart = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
+    return rooted.join(session.materialize(apart.select("key"), "apart"), "key")
 
 
-def _undone(open_: DataFrame, short: DataFrame, roots: DataFrame) -> DataFrame:
+def _undone(large: DataFrame, short: DataFrame, roots: DataFrame) -> DataFrame:
     """Texts (id, n_words, root) of large buckets that hold several components, and all short ones.
 
     ``buckets`` are those of up to ``CROWD`` texts; texts of larger ones, and short ones, are ``rare``: they meet by their rarest words.
     """
-    still = _open(open_.where(F.col("n") > ALL_PAIRS).select("id", "n_words", "band", "key", "n"), roots)
-    held = still.select("id", "n_words", F.when(F.col("n") <= CROWD, F.xxhash64("band", "key")).alias("bucket"), (F.col("n") > CROWD).alias("rare"))
+    still = _open(large, roots)
+    held = still.select("id", "n_words", F.when(F.col("n") <= CROWD, F.xxhash64("key")).alias("bucket"), (F.col("n") > CROWD).alias("rare"))
     short = short.select("id", "n_words", F.lit(None).cast("long").alias("bucket"), F.lit(True).alias("rare"))
     # a text has one bucket a band at most
     undone = held.union(short).groupBy("id", "n_words").agg(F.collect_set("bucket").alias("buckets"), F.max("rare").alias("rare"))
@@ -606,6 +621,14 @@ class Classes:
         self.copy, self.members, self.links = copy, members, links
 
 
+def _once(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Each text once, as its first row has it: id, n_words, sketch. Of sketches, those of other rows are left out where they are."""
+    repeated = texts.where("n > 1").select("h1", "h2", "id")
+    others = looked_up(rows.select("_row", "h1", "h2"), repeated, ["h1", "h2"]).where("_row != id").select("_row")
+    once = looked_up(rows, session.materialize(others, "copies"), "_row", "left_anti")
+    return once.select(F.col("_row").alias("id"), "n_words", "sketch")
+
+
 def classes(docs: DataFrame) -> Classes:
     """Near-duplicate classes of all rows of ``docs`` (``doc_id``, ``text``, any other columns).
 
@@ -615,9 +638,8 @@ def classes(docs: DataFrame) -> Classes:
     """
     copy = numbered_copy(docs, "documents")
     rows = session.materialize(_sketched(copy), "sketches")
-    texts = rows.groupBy("h1", "h2").agg(F.min("_row").alias("_row"), F.min("n_words").alias("n_words"), F.min("sketch").alias("sketch"))
-    texts = session.materialize(texts.withColumn("id", F.col("_row")), "texts")
-    links, roots = _links(copy, texts)
+    texts = session.materialize(rows.groupBy("h1", "h2").agg(F.min("_row").alias("id"), F.count(F.lit(1)).alias("n")), "texts")
+    links, roots = _links(copy, _once(rows, texts))
     links = session.materialize(links, "all-links")
     rooted = texts.select("h1", "h2", "id").join(roots, "id", "left").select("h1", "h2", "id", F.coalesce("root", "id").alias("root"))
     members = rows.select("_row", "doc_id", "h1", "h2", "n_words").join(rooted, ["h1", "h2"]).drop("h1", "h2")

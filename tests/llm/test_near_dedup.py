@@ -153,3 +153,39 @@ def test_sketches_of_near_pairs(similarity):
     texts = [" ".join(t) for a in pairs for t in (a, swapped(rng, a, 1 - similarity + 1e-9))]
     made = near_dedup.sketches(*near_dedup.word_runs(texts))
     assert (made[::2] == made[1::2]).any(axis=1).mean() >= 0.99
+
+
+def test_bucket_rows_are_not_stored_again(docs, monkeypatch):
+    rng = random.Random(7)
+    base = [[f"w{rng.randrange(3000)}" for _ in range(120)] for _ in range(30)]
+    # 29 pairs, whose buckets are small, and one group with large ones, in which ten texts stay apart
+    texts = [(2 * k + j, varied(rng, words_, 2 * j)) for k, words_ in enumerate(base[1:]) for j in (0, 1)]
+    texts += [(100 + j, varied(rng, base[0], 2 * bool(j))) for j in range(40)]
+    texts += [(200 + j, " ".join(base[0][:100] + [f"q{rng.randrange(9999)}" for _ in range(80)])) for j in range(10)]
+    texts += [(300 + j, texts[j][1]) for j in range(5)]
+    stored, store = {}, near_dedup.session.materialize
+
+    def kept(df, label):
+        out = store(df, label)
+        stored.setdefault(label, []).append(out)
+        return out
+
+    monkeypatch.setattr(near_dedup.session, "materialize", kept)
+    got = {r["doc_id"]: r["class_id"] for r in near_dedup.class_of(docs(texts)).collect()}
+    assert got == {d: d // 2 * 2 if d < 100 else 100 if d < 200 else d if d < 300 else (d - 300) // 2 * 2 for d, _ in texts}
+    # sketches are stored once, and only texts of large buckets are given roots row by row
+    assert [label for label, tables in stored.items() for t in tables if "sketch" in t.columns] == ["sketches"]
+    large = {r["key"]: r["n"] for r in stored["rooted"][0].select("key", "n").collect()}
+    assert large and min(large.values()) > near_dedup.ALL_PAIRS
+
+
+def test_buckets_hold_all_texts_that_share_a_sketch(spark):
+    rng = random.Random(8)
+    sketches = [[rng.randrange(-(2**40), 2**40) << 6 if rng.random() < 0.5 else (rng.randrange(3) - 1) << 6 for _ in range(48)] for _ in range(30)]
+    want = {(b, v): [i for i, s in enumerate(sketches) if s[b] == v] for b in range(48) for v in {s[b] for s in sketches}}
+    rows = [(i, 10 + i, v | b) for i, s in enumerate(sketches) for b, v in enumerate(s)]
+    got = {}
+    for r in near_dedup._shared(spark.createDataFrame(rows, "id long, n_words int, key long")).collect():
+        assert r["n"] > near_dedup.ALL_PAIRS and len(r["m"]) == 1 or len(r["m"]) == r["n"]
+        got.setdefault((r["key"] & 63, r["key"] & -64), []).extend(y["id"] for y in r["m"])
+    assert {k: sorted(v) for k, v in got.items()} == {k: v for k, v in want.items() if len(v) > 1}
