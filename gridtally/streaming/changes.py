@@ -162,9 +162,9 @@ def counters(spark: SparkSession, source: str | None, out: str) -> DataFrame:
         told = _stored(spark, out, "announced", "path string, times bigint").agg(F.coalesce(F.sum("times"), F.lit(0)).alias("notifications"))
     else:
         told = files.listing(spark, source).filter("bytes > 0").agg(F.count(F.lit(1)).alias("notifications"))
-    # three aggregates of one row each
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    return one(told).join(one(tried), "_one").join(one(seen), "_one").drop("_one")
+    # three aggregates of one row each, as one row
+    parts = told.unionByName(tried, allowMissingColumns=True).unionByName(seen, allowMissingColumns=True)
+    return parts.agg(*(F.sum(c).alias(c) for c in parts.columns))
 
 
 def _files(spark: SparkSession, out: str) -> DataFrame:
