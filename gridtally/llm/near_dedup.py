@@ -185,25 +185,27 @@ def _sketched(copy: DataFrame) -> DataFrame:
 
 
 def _shared(active: DataFrame) -> DataFrame:
-    """Buckets of more than one text: key, number of texts n, first text x and texts m (id, n_words).
+    """Rows (id, n_words, key) of buckets with more than one text, with the bucket's size n, first text x and, in m, the texts it is stored with and its place ``at`` there.
 
-    ``active`` has a row (id, n_words, key) for each sketch of a text. A bucket of up to
-    ``ALL_PAIRS`` texts is one row, a larger one a row for each text. Which text is first differs
-    by band, so that no text is the only one others are compared with. The rows are shuffled
-    once, for the counts, for the join with them and for the texts of a bucket.
+    ``active`` has a row (id, n_words, band, key) for each sketch of a text; the band becomes the
+    lowest bits of the key. A bucket of up to ``ALL_PAIRS`` texts is stored as one row, a larger
+    one as a row for each text. Which text is first differs by band, so that no text is the only
+    one others are compared with. The rows are shuffled once, for the counts, for the join with
+    them and for the texts of a bucket.
     """
-    active = active.repartition("key")
+    active = active.select("id", "n_words", F.expr(f"xxhash64(key) & {-BANDS} | band").alias("key")).repartition("key")
     first = F.min(F.struct(F.xxhash64("id", F.expr(_BAND)).alias("salt"), "id", "n_words"))
     sizes = active.groupBy("key").agg(F.count(F.lit(1)).alias("n"), first.alias("x")).where("n > 1")
     sizes = sizes.withColumn("x", F.struct("x.id", "x.n_words"))
     rows = active.join(sizes.hint("merge"), "key").withColumn("alone", F.when(F.col("n") > ALL_PAIRS, F.col("id")))
     made = rows.groupBy("key", "alone").agg(F.first("n").alias("n"), F.first("x").alias("x"), F.collect_list(F.struct("id", "n_words")).alias("m"))
-    return session.materialize(made.drop("alone"), "buckets")
+    stored = session.materialize(made.drop("alone"), "buckets")
+    return stored.select("*", F.posexplode("m").alias("at", "y")).select("key", "n", "x", "m", "at", "y.id", "y.n_words")
 
 
 def _nearest(shared: DataFrame) -> DataFrame:
     """Pairs (a < b) to compare first: each text and the first one of its largest and of its smallest bucket."""
-    star = shared.select("x", F.explode("m").alias("y"), "n", F.expr(_BAND).alias("band")).where("x.id != y.id").where(_ALIKE)
+    star = shared.select("x", F.struct("id", "n_words").alias("y"), "n", F.expr(_BAND).alias("band")).where("x.id != y.id").where(_ALIKE)
     ends = star.groupBy("y").agg(*(f(F.struct("n", "band", "x")).alias(c) for f, c in ((F.max, "most"), (F.min, "least"))))
     return ends.select("y", F.explode(F.array("most.x", "least.x")).alias("x")).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
 
@@ -213,9 +215,8 @@ def _pairs(shared: DataFrame, first: DataFrame, roots: DataFrame) -> DataFrame:
 
     A pair that shares many buckets is one row before its roots are looked up.
     """
-    every = F.expr("flatten(transform(m, (x, i) -> transform(slice(m, i + 2, size(m)), y -> struct(x, y))))")
-    small = shared.where(F.col("n") <= ALL_PAIRS).select(F.explode(every).alias("p")).select("p.x", "p.y")
-    star = shared.where(F.col("n") > ALL_PAIRS).select("x", F.col("m")[0].alias("y")).where("x.id != y.id")
+    small = shared.where(F.col("n") <= ALL_PAIRS).select(F.struct("id", "n_words").alias("x"), F.explode(F.expr("slice(m, at + 2, size(m))")).alias("y"))
+    star = shared.where(F.col("n") > ALL_PAIRS).where("x.id != id").select("x", F.struct("id", "n_words").alias("y"))
     pairs = small.union(star).where(_ALIKE).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     pairs = pairs.join(first, ["a", "b"], "left_anti")
     for end in ("a", "b"):
@@ -231,12 +232,9 @@ def _links(copy: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     exactly (``_rest``).
     """
     texts = texts.where(f"n_words >= {SHORTEST}")
-    sketched = texts.select("id", "n_words", F.posexplode("sketch").alias("band", "value"))
-    # the band is the lowest bits of the key
-    shared = _shared(sketched.select("id", "n_words", F.expr(f"value & {-BANDS} | band").alias("key")))
+    shared = _shared(texts.select("id", "n_words", F.posexplode("sketch").alias("band", "key")))
     short = texts.where(f"n_words <= {SHORT}").select("id", "n_words")
-    met = shared.select(F.explode("m.id").alias("id")).union(short.select("id")).distinct()
-    met = session.materialize(met.withColumn("_row", F.col("id")), "wanted")
+    met = session.materialize(shared.select("id").union(short.select("id")).distinct().withColumn("_row", F.col("id")), "wanted")
     words = session.materialize(_words_of(copy, met), "words")
     first = session.materialize(_nearest(shared), "pairs")
     links = session.materialize(_verified(first, words), "links")
@@ -244,7 +242,7 @@ def _links(copy: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = session.materialize(_pairs(shared, first, roots), "pairs")
     more = session.materialize(_verified_pairs(pairs, words), "links")
     roots = _grown(roots, more)
-    large = shared.where(F.col("n") > ALL_PAIRS).select("key", F.col("m")[0].alias("y"), "n").select("key", "y.id", "y.n_words", "n")
+    large = shared.where(F.col("n") > ALL_PAIRS).select("key", "id", "n_words", "n")
     found, roots = _rest(words, _undone(large, short, roots), roots, first.union(pairs))
     return links.union(more).union(found), roots
 
