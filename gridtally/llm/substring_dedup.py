@@ -7,14 +7,18 @@ a hit at both of their places: only windows that contain a hit can be repeated.
 hits are then extended: all windows of ``width`` words around them are hashed to 96
 bits and counted, and runs of repeated windows are the maximal repeats.
 
-Hashes are dealt out by value. A task sends, per few hundred rows and bucket of hash
-values, one row of packed arrays (hash, place), and the answer comes back the same
-way, so no row is made per word, and equal hashes never meet as pairs: a bucket only
-says whether a hash has another place.
+Hashes are dealt out by value. A task sends, per chunk of some million windows and
+bucket of hash values, one row of packed arrays (place in the chunk, hash), and the
+answer comes back the same way, so no row is made per word or text, and equal hashes
+never meet as pairs: a bucket only says whether a hash has another place. The texts
+of a chunk may be any; a table of them goes with one of its rows. What is found goes
+to the texts packed for some neighbours at a time.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,13 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from gridtally import session
-from gridtally.llm.common import looked_up, mix, numbered_copy, over_batches, run_hashes, shuffle_partitions, slices, spans_of
+from gridtally.llm.common import looked_up, numbered_copy, over_batches, run_hashes, shuffle_partitions, slices, spans_of
 
 WIDTH = 35
-#: Rows that travel together: a group of neighbours in the stored copy.
-GROUP_BITS = 9
+#: Rows whose spans travel together: a group of neighbours in the stored copy.
+GROUP_BITS = 6
+#: Windows that travel together, about; each so many make a packed row a bucket.
+CHUNK_WINDOWS = 1 << 21
 #: Bytes of text whose windows one bucket holds, about.
 BUCKET_BYTES = 16 << 20
+#: Buckets up to which tasks get two each; beyond, only bytes ask for more.
+SPARE_BUCKETS = 2048
 _BASE, _SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -59,206 +67,268 @@ def _gaps(values: np.ndarray) -> np.ndarray:
 
 
 def _packed(places: np.ndarray) -> bytes:
-    """Places (text in its group << 32 | word), ascending, as bytes: texts, their counts, gaps of words."""
-    text, word = places >> 32, places & 0xFFFFFFFF
-    first = np.flatnonzero(np.diff(text, prepend=-1))
-    gaps = np.diff(word, prepend=0)
-    gaps[first] = word[first]
-    parts = [_gaps(text[first]), _gaps(np.append(first[1:], len(text))), _gaps(np.cumsum(gaps))]
-    head = np.array([len(first), len(text), *(p.itemsize for p in parts)], np.uint32)
-    return head.tobytes() + b"".join(p.tobytes() for p in parts)
+    """Places, ascending, as bytes: the size of a gap, and the gaps."""
+    gaps = _gaps(places)
+    return bytes([gaps.itemsize]) + gaps.tobytes()
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    texts, n, *sizes = np.frombuffer(data, np.uint32, 5).tolist()
-    at, parts = 20, []
-    for count, size in zip((texts, texts, n), sizes):
-        parts.append(np.cumsum(np.frombuffer(data, f"<u{size}", count, at).astype(np.int64)))
-        at += count * size
-    text, ends, total = parts
-    first = np.concatenate(([0], ends[:-1])).astype(np.int64)
-    owner = np.repeat(np.arange(texts), np.diff(ends, prepend=0))
-    gap = np.diff(total, prepend=0)
-    running = np.cumsum(gap)
-    word = running - (running[first] - gap[first])[owner]
-    return text[owner] << 32 | word
-
-
-def _dealt(group: int, places: np.ndarray, hashes: list[np.ndarray], bucket: np.ndarray) -> list[tuple[int, int, bytes, bytes]]:
-    """One packed row per bucket of a group's windows."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
+    return np.cumsum(np.frombuffer(data, f"<u{data[0]}", -1, 1).astype(np.int64)) if len(data) > 1 else np.zeros(0, np.int64)
+
+
+_ROW = "bucket int, _chunk long, places binary, hashes binary, segments binary"
+_FOUND = "_chunk long, places binary, segments binary"
+#: Windows of a text that follow each other in a chunk: their text, its word they begin at, how many they are.
+_SEGMENT = np.dtype([("row", "<i8"), ("word", "<i4"), ("windows", "<i4")])
+
+
+def _columns(rows: list[tuple], names: tuple[str, ...], kinds: tuple) -> list[pa.Array]:
+    columns = zip(*rows) if rows else [()] * len(names)
+    return [pa.array(c, k) for c, k in zip(columns, kinds)]
+
+
+def _chunk(parts: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
+    """The windows of some parts (segments, bucketing hashes, hashes to send), a packed row per bucket.
+
+    A window's place is its number in the chunk. The first row has the segments.
+    """
+    segments = np.concatenate([p[0] for p in parts])
+    bucket = np.concatenate([(p[1] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32) for p in parts])
+    order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")
+    hashes = [np.concatenate(x)[order] for x in zip(*(p[2] for p in parts))]
+    bucket = bucket[order].astype(np.int64)
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    rows = []
+    name, rows, size = int(segments["row"][0]), [], 0
     for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), len(bucket)]):
-        of = order[low:high]
-        rows.append((int(bucket[low]), group, _packed(places[of]), b"".join(h[of].tobytes() for h in hashes)))
-    return rows
+        sent = b"".join(h[low:high].tobytes() for h in hashes)
+        rows.append((int(bucket[low]), name, _packed(order[low:high]), sent, None if low else segments.tobytes()))
+        size += len(sent)
+        if size >= 4 << 20 or high == len(bucket):
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            names = ("bucket", "_chunk", "places", "hashes", "segments")
+            yield pa.RecordBatch.from_arrays(_columns(rows, names, kinds), names=list(names))
+            rows, size = [], 0
 
 
-_ROW = "bucket int, _group long, places binary, hashes binary"
+def _dealt(df: DataFrame, buckets: int, hashed) -> DataFrame:
+    """The windows that ``hashed`` makes of Arrow batches, dealt out by bucket."""
+    limit = CHUNK_WINDOWS
 
+    def run(batches):
+        parts, windows = [], 0
+        for batch in batches:
+            for part in hashed(batch):
+                parts.append(part)
+                windows += len(part[1])
+                if windows >= limit:
+                    yield from _chunk(parts, buckets)
+                    parts, windows = [], 0
+        if parts:
+            yield from _chunk(parts, buckets)
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [(), (), (), ()]
-    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["bucket", "_group", "places", "hashes"])
+    return df.mapInArrow(run, _ROW)
 
 
-def _by_group(rows: np.ndarray, low: int, high: int):
-    """Parts of a slice whose rows belong to one group: (group, first, after the last)."""
-    groups = rows[low:high] >> GROUP_BITS
-    cuts = np.flatnonzero(np.diff(groups, prepend=-1))
-    yield from zip(groups[cuts].tolist(), (cuts + low).tolist(), [*(cuts[1:] + low).tolist(), high])
+def _segments(rows: np.ndarray, words: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    made = np.empty(len(rows), _SEGMENT)
+    made["row"], made["word"], made["windows"] = rows, words, windows
+    return made
 
 
 def _probes(copy: DataFrame, block: int, buckets: int) -> DataFrame:
-    """Hashes of all rolling windows of ``block`` words, dealt out; blocks are those at multiples of ``block``."""
+    """Hashes of all rolling windows of ``block`` words, dealt out; the last bit says which are blocks.
+
+    Blocks are the windows at multiples of ``block``.
+    """
 
-    def work(batch: pa.RecordBatch):
+    def hashed(batch: pa.RecordBatch):
         rows = batch.column("_row").to_numpy(zero_copy_only=False)
         texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
         for low, high in slices([len(t) for t in texts], 1 << 20):
-            for group, a, b in _by_group(rows, low, high):
-                flat, begin, end, ends = _words(texts[a:b])
-                starts = np.concatenate(([0], ends[:-1]))
-                owner, word = _places(ends - starts, block)
-                if not len(owner):
-                    continue
-                at = starts[owner] + word
-                hashes = run_hashes(run_hashes(flat, begin, end, _BASE), at, at + block, _BASE)
-                place = (rows[a:b] & (1 << GROUP_BITS) - 1)[owner] << 32 | word
-                bucket = (hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                yield _batch(_dealt(group, place, [hashes.astype(np.uint32)], bucket.astype(np.int64)))
+            flat, begin, end, ends = _words(texts[low:high])
+            starts = np.concatenate(([0], ends[:-1]))
+            owner, word = _places(ends - starts, block)
+            if not len(owner):
+                continue
+            at = starts[owner] + word
+            hashes = run_hashes(run_hashes(flat, begin, end, _BASE), at, at + block, _BASE)
+            sent = hashes.astype(np.uint32) & ~np.uint32(1) | (word % block == 0)
+            n = np.maximum(0, ends - starts - block + 1)
+            some = n > 0
+            yield _segments(rows[low:high][some], np.zeros(some.sum(), np.int32), n[some]), hashes, [sent]
 
-    return over_batches(copy.select("_row", "text"), _ROW, work)
+    return _dealt(copy.select("_row", "text"), buckets, hashed)
 
 
-def _answers(dealt: DataFrame, schema: str, judge) -> DataFrame:
-    """``judge`` on all windows of a bucket; the windows it picks go back by group, packed."""
+def _answers(dealt: DataFrame, judge) -> DataFrame:
+    """``judge`` on all windows of a bucket; the windows it picks go back by chunk, packed."""
 
     def run(table: pa.Table) -> pa.Table:
-        groups = table.column("_group").to_pylist()
         places = [_unpacked(p) for p in table.column("places").to_pylist()]
-        sizes = np.array([len(p) for p in places])
-        picked = judge(np.array(groups, np.int64), places, sizes, table.column("hashes").to_pylist())
-        ends = np.cumsum(sizes)
-        found = [(g, _packed(p[picked[e - n : e]])) for g, p, e, n in zip(groups, places, ends, sizes) if picked[e - n : e].any()]
-        columns = list(zip(*found)) if found else [(), ()]
-        return pa.Table.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())], names=["_group", "places"])
-
-    return dealt.groupBy("bucket").applyInArrow(run, schema)
-
+        sizes = [len(p) for p in places]
+        picked = judge(table.column("hashes").to_pylist(), sizes)
+        found, end = [], 0
+        for chunk, p, segments in zip(table.column("_chunk").to_pylist(), places, table.column("segments").to_pylist()):
+            end += len(p)
+            mine = p[picked[end - len(p) : end]]
+            if len(mine) or segments is not None:
+                found.append((chunk, _packed(mine), segments))
+        names = ("_chunk", "places", "segments")
+        return pa.Table.from_arrays(_columns(found, names, (pa.int64(), pa.binary(), pa.binary())), names=list(names))
 
-def _identities(groups: np.ndarray, places: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
-    """A number for each window that no other window shares: row and word, mixed."""
-    place = np.concatenate(places)
-    row = np.repeat(groups, sizes) << GROUP_BITS | place >> 32
-    return mix(mix(row.astype(np.uint64)) + (place & 0xFFFFFFFF).astype(np.uint64))
+    return dealt.groupBy("bucket").applyInArrow(run, _FOUND)
 
 
-def _hits(probes: DataFrame, block: int) -> DataFrame:
+def _hits(probes: DataFrame) -> DataFrame:
     """Windows that equal a block elsewhere."""
 
-    def judge(groups, places, sizes, data):
-        hashes = np.concatenate([np.frombuffer(d, np.uint32) for d in data])
-        own = _identities(groups, places, sizes)
-        is_block = (np.concatenate(places) & 0xFFFFFFFF) % block == 0
-        order = np.argsort(hashes[is_block], kind="stable")
-        blocks, whose = hashes[is_block][order], own[is_block][order]
+    def judge(data, sizes):
+        sent = np.concatenate([np.frombuffer(d, np.uint32) for d in data])
+        hashes, picked = sent >> np.uint32(1), np.zeros(len(sent), bool)
+        blocks = np.flatnonzero(sent & np.uint32(1))
         if not len(blocks):
-            return np.zeros(len(hashes), bool)
-        first = np.flatnonzero(np.concatenate(([True], blocks[1:] != blocks[:-1])))
-        count, value, holder = np.diff(np.append(first, len(blocks))), blocks[first], whose[first]
-        at = np.minimum(np.searchsorted(value, hashes), len(value) - 1)
-        return (value[at] == hashes) & ((count[at] > 1) | (holder[at] != own))
+            return picked
+        blocks = blocks[np.argsort(hashes[blocks], kind="stable")]
+        value = hashes[blocks]
+        first = np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))
+        count, value, holder = np.diff(np.append(first, len(blocks))), value[first], blocks[first]
+        # most windows equal no block, and the leading bits of the blocks' hashes tell most of them
+        there = np.zeros(1 << 22, bool)
+        there[value >> np.uint32(9)] = True
+        maybe = np.flatnonzero(there[hashes >> np.uint32(9)])
+        own = hashes[maybe]
+        at = np.minimum(np.searchsorted(value, own), len(value) - 1)
+        picked[maybe] = (value[at] == own) & ((count[at] > 1) | (holder[at] != maybe))
+        return picked
 
-    return _answers(probes, "_group long, places binary", judge)
+    return _answers(probes, judge)
 
 
 def _repeats(dealt: DataFrame) -> DataFrame:
     """Windows whose hash occurs at more than one place."""
 
-    def judge(groups, places, sizes, data):
-        one = np.concatenate([np.frombuffer(d, np.uint64, len(d) // 12) for d in data])
-        two = np.concatenate([np.frombuffer(d, np.uint32, len(d) // 12, 8 * (len(d) // 12)) for d in data])
-        order = np.lexsort((two, one))
-        one, two = one[order], two[order]
-        same = (one[1:] == one[:-1]) & (two[1:] == two[:-1])
+    def judge(data, sizes):
+        one = np.concatenate([np.frombuffer(d, np.uint64, n) for d, n in zip(data, sizes)])
+        two = np.concatenate([np.frombuffer(d, np.uint32, n, 8 * n) for d, n in zip(data, sizes)])
+        order = np.argsort(one)
+        same = one[order][1:] == one[order][:-1]
+        if (same & (two[order][1:] != two[order][:-1])).any():
+            order = np.lexsort((two, one))
+            same = one[order][1:] == one[order][:-1]
+        same &= two[order][1:] == two[order][:-1]
         picked = np.zeros(len(one), bool)
         picked[order] = np.concatenate(([False], same)) | np.concatenate((same, [False]))
         return picked
 
-    return _answers(dealt, "_group long, places binary", judge)
+    return _answers(dealt, judge)
+
+
+def _smallest(values: np.ndarray) -> np.ndarray:
+    """Numbers in as few bytes as the largest needs."""
+    return values.astype(np.uint8 if (top := int(values.max())) < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32)
+
+
+def _packed_spans(texts: np.ndarray, begins: np.ndarray, lengths: np.ndarray) -> bytes:
+    """Spans of words in texts of a group, by the texts' places in it; such bytes can follow each other."""
+    parts = [texts.astype(np.uint8), _smallest(begins), _smallest(lengths)]
+    return np.array([len(texts), *(p.itemsize for p in parts[1:])], "<u4").tobytes() + b"".join(p.tobytes() for p in parts)
+
+
+def _unpacked_spans(data: bytes) -> dict[int, list[tuple[int, int]]]:
+    """By the place of a text in its group: begins and ends of its spans, ascending."""
+    found, at = {}, 0
+    while at < len(data):
+        n, *sizes = np.frombuffer(data, "<u4", 3, at).tolist()
+        at, parts = at + 12, []
+        for size in (1, *sizes):
+            parts.append(np.frombuffer(data, f"<u{size}", n, at).astype(np.int64))
+            at += n * size
+        text, begin, length = parts
+        for t, b, e in zip(text.tolist(), begin.tolist(), (begin + length).tolist()):
+            found.setdefault(t, []).append((b, e))
+    return found
+
+
+def _own_spans(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int]]]:
+    """The spans of each row, from those of its group."""
+    group, held = None, {}
+    for row, data in zip(batch.column("_row").to_pylist(), batch.column("spans")):
+        if row >> GROUP_BITS != group:
+            group, held = row >> GROUP_BITS, _unpacked_spans(data.as_py() or b"")
+        yield held.get(row & (1 << GROUP_BITS) - 1, [])
+
+
+def _beside(copy: DataFrame, spans: DataFrame, how: str) -> DataFrame:
+    """Each row of a stored copy beside the spans of its group."""
+    return looked_up(copy.withColumn("_group", F.shiftright("_row", GROUP_BITS)), spans, "_group", how)
 
 
 def _spans(answers: DataFrame, before: int, after: int) -> DataFrame:
-    """Per row, the words within ``before`` and ``after`` of picked places, as runs: _row, spans (begin, end pairs).
+    """The words within ``before`` and ``after`` of picked places, as runs: _group, spans (packed).
 
-    A group's answers are a few per bucket and together no more than its windows.
+    A chunk's answers are one per bucket and together no more than its windows.
     """
-    gathered = answers.groupBy("_group").agg(F.collect_list("places").alias("places"))
+    gathered = answers.groupBy("_chunk").agg(F.collect_list("places").alias("places"), F.first("segments", True).alias("segments"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        rows, spans = [], []
-        for group, packed in zip(batch.column("_group").to_pylist(), batch.column("places").to_pylist()):
-            place = np.sort(np.concatenate([_unpacked(p) for p in packed]))
-            text, word = place >> 32, place & 0xFFFFFFFF
-            new = np.concatenate(([True], (text[1:] != text[:-1]) | (word[1:] - before > word[:-1] + after)))
-            first = np.flatnonzero(new)
+        made = []
+        for packed, data in zip(batch.column("places"), batch.column("segments")):
+            place = np.sort(np.concatenate([_unpacked(p) for p in packed.as_py()]))
+            if not len(place):
+                continue
+            segments = np.frombuffer(data.as_py(), _SEGMENT)
+            ends = np.cumsum(segments["windows"].astype(np.int64))
+            which = np.searchsorted(ends, place, "right")
+            row = segments["row"][which]
+            word = place - (ends - segments["windows"])[which] + segments["word"][which]
+            first = np.flatnonzero(np.concatenate(([True], (row[1:] != row[:-1]) | (word[1:] - before > word[:-1] + after))))
             last = np.append(first[1:], len(place)) - 1
-            pairs = np.stack([np.maximum(0, word[first] - before), word[last] + after], axis=1)
-            cuts = np.flatnonzero(np.diff(text[first], prepend=-1))
-            for low, high in zip(cuts, [*cuts[1:], len(first)]):
-                rows.append(group << GROUP_BITS | int(text[first[low]]))
-                spans.append(pairs[low:high].astype(np.int32).ravel())
-        return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(spans, pa.list_(pa.int32()))], names=["_row", "spans"])
+            row, begin = row[first], np.maximum(0, word[first] - before)
+            length, group, text = word[last] + after - begin, row >> GROUP_BITS, row & (1 << GROUP_BITS) - 1
+            cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
+            for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), len(group)]):
+                made.append((int(group[low]), _packed_spans(text[low:high], begin[low:high], length[low:high])))
+        names = ("_group", "spans")
+        return pa.RecordBatch.from_arrays(_columns(made, names, (pa.int64(), pa.binary())), names=list(names))
 
-    return over_batches(gathered, "_row long, spans array<int>", work)
+    # texts of a group may be in several chunks, one text is in one
+    pieces = over_batches(gathered, "_group long, spans binary", work)
+    return pieces.groupBy("_group").agg(F.expr("aggregate(collect_list(spans), X'', (a, b) -> concat(a, b))").alias("spans"))
 
 
 def _extended(near: DataFrame, width: int, buckets: int) -> DataFrame:
     """Hashes of the windows of ``width`` words that begin in a row's spans, dealt out."""
 
-    def work(batch: pa.RecordBatch):
-        rows = batch.column("_row").to_numpy(zero_copy_only=False)
-        texts = [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
-        spans = batch.column("spans").to_pylist()
+    def hashed(batch: pa.RecordBatch):
+        spans = list(_own_spans(batch))
+        some = np.flatnonzero([len(s) > 0 for s in spans])
+        rows = batch.column("_row").to_numpy(zero_copy_only=False)[some]
+        texts = [t or b"" for t in batch.column("text").take(pa.array(some)).cast(pa.binary()).to_pylist()]
         for low, high in slices([len(t) for t in texts], 1 << 20):
             flat, begin, end, ends = _words(texts[low:high])
-            values = [run_hashes(flat, begin, end, base) for base in (_BASE, _SECOND)]
             starts = np.concatenate(([0], ends[:-1]))
-            for k in range(low, high):
-                first, n = int(starts[k - low]), int(ends[k - low] - starts[k - low])
-                word = [np.arange(s, min(e, n - width + 1)) for s, e in zip(spans[k][::2], spans[k][1::2])]
-                word = np.concatenate(word) if word else np.zeros(0, np.int64)
-                if not len(word):
-                    continue
-                own = [v[first : first + n] for v in values]
-                one, two = (run_hashes(v, word, word + width, base) for v, base in zip(own, (_BASE, _SECOND)))
-                bucket = (one >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-                place = (rows[k] & (1 << GROUP_BITS) - 1) << 32 | word
-                held.setdefault(int(rows[k] >> GROUP_BITS), []).append((place, one, two, bucket))
-            made = []
-            for group, parts in held.items():
-                place, one, two, bucket = (np.concatenate(x) for x in zip(*parts))
-                made += _dealt(group, place, [one, two.astype(np.uint32)], bucket.astype(np.int64))
-            held.clear()
-            yield _batch(made)
-
-    held: dict[int, list] = {}
-    return over_batches(near.select("_row", "text", "spans"), _ROW, work)
+            pairs = [(k, b, e) for k in range(high - low) for b, e in spans[some[low + k]]]
+            text, first, last = np.array(pairs, np.int64).T
+            n = np.minimum(last, (ends - starts - width + 1)[text]) - first
+            text, first, n = text[n > 0], first[n > 0], n[n > 0]
+            if not len(n):
+                continue
+            at = np.repeat(starts[text] + first - np.cumsum(n) + n, n) + np.arange(n.sum())
+            one, two = (run_hashes(run_hashes(flat, begin, end, base), at, at + width, base) for base in (_BASE, _SECOND))
+            yield _segments(rows[low:high][text], first, n), one, [one, two.astype(np.uint32)]
+
+    return _dealt(near.select("_row", "text", "spans"), buckets, hashed)
 
 
 def repeated_spans(copy: DataFrame, width: int = WIDTH) -> DataFrame:
-    """Per row of a stored copy (_row, text), the words inside repeated windows, as begin and end pairs."""
+    """Of a stored copy (_row, text), the words inside repeated windows: spans by group of rows, packed."""
     spark = copy.sparkSession
     size = copy.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    buckets = max(2 * shuffle_partitions(spark), -(-size // BUCKET_BYTES))
+    buckets = max(min(2 * shuffle_partitions(spark), SPARE_BUCKETS), -(-size // BUCKET_BYTES))
     # a window of this many words holds a block of so many, wherever it begins
     block = (width + 1) // 2
-    hits = session.materialize(_spans(_hits(_probes(copy, block, buckets), block), width - block, 1), "hits")
-    near = looked_up(copy, hits, "_row")
+    hits = session.materialize(_spans(_hits(_probes(copy, block, buckets)), width - block, 1), "hits")
+    near = _beside(copy, hits, "inner")
     return session.materialize(_spans(_repeats(_extended(near, width, buckets)), 0, width), "repeats")
 
 
@@ -274,14 +344,13 @@ def dedup(docs: DataFrame, keep: tuple = ("doc_id",), width: int = WIDTH) -> Dat
     """
     copy = numbered_copy(docs.select(*keep, F.col("text").alias("_text")), "documents")
     found = repeated_spans(copy.select("_row", F.col("_text").alias("text")), width)
-    joined = looked_up(copy, found, "_row", "left")
+    joined = _beside(copy, found, "left")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         n_words, n_removed, kept, runs = [], [], [], []
-        for text, spans in zip(batch.column("_text").cast(pa.binary()).to_pylist(), batch.column("spans").to_pylist()):
+        for text, pairs in zip(batch.column("_text").cast(pa.binary()).to_pylist(), _own_spans(batch)):
             words = (text or b"").split()  # bytes: splits at exactly these six characters
             n, gone = len(words), 0
-            pairs = list(zip(spans[::2], spans[1::2])) if spans else []
             for begin, end in reversed(pairs):
                 gone += end - begin
                 del words[begin:end]
@@ -295,4 +364,4 @@ def dedup(docs: DataFrame, keep: tuple = ("doc_id",), width: int = WIDTH) -> Dat
 
     fields = [f for f in copy.schema.fields if f.name in keep]
     more = StructType.fromDDL("n_words long, n_removed long, text string, spans array<struct<start: int, end: int>>")
-    return over_batches(joined.select(*keep, "_text", "spans"), StructType(fields + more.fields), work)
+    return over_batches(joined.select(*keep, "_row", "_text", "spans"), StructType(fields + more.fields), work)

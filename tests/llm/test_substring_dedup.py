@@ -4,10 +4,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
-from gridtally.llm import queries, substring_dedup
+from gridtally.llm import common, queries, substring_dedup
 
 SAMPLE = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -67,3 +69,62 @@ def test_sample(spark):
     got = sorted(tuple(r) for r in queries.QUERIES["op10_block_anchors"](spark, SAMPLE).collect())
     assert got == want
     assert sum(r[2] for r in got) > 0
+
+
+def in_tasks(spark, docs, monkeypatch, rows, width, broadcast, chunk):
+    """The result of dedup, and how many packed rows each task sent to each bucket, by step."""
+    sent, real = [], substring_dedup._answers
+
+    def counted(dealt, *rest):
+        by_task = dealt.groupBy(F.spark_partition_id().alias("task"), "bucket").count()
+        sent.append([r["count"] for r in by_task.collect()])
+        return real(dealt, *rest)
+
+    monkeypatch.setattr(substring_dedup, "_answers", counted)
+    monkeypatch.setattr(substring_dedup, "CHUNK_WINDOWS", chunk, raising=False)
+    if not broadcast:
+        monkeypatch.setattr(common, "BROADCAST_BYTES", -1)
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.execution.arrow.maxRecordsPerBatch": "40"}
+    before = {k: spark.conf.get(k) for k in changed}
+    try:
+        for k, v in changed.items():
+            spark.conf.set(k, v)
+        got = [tuple(r)[:4] for r in substring_dedup.dedup(docs(rows).coalesce(1), width=width).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return got, sent
+
+
+def many_texts(n):
+    rng = random.Random(7)
+    rows = [(d, " ".join(f"w{rng.randrange(10**6)}" for _ in range(20))) for d in range(n)]
+    return [(d, rows[d // 3][1] if d % 3 == 1 else t + " " + t if d % 50 == 0 else t) for d, t in rows]
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_a_task_sends_one_packed_row_a_bucket(spark, docs, monkeypatch, broadcast):
+    # a row per bucket and few texts grows with the square of the input, as buckets follow it, too
+    rows = many_texts(1500)
+    got, sent = in_tasks(spark, docs, monkeypatch, rows, 5, broadcast, 1 << 21)
+    assert sorted(got, key=key) == sorted(brute(rows, 5), key=key)
+    assert len(sent) == 2 and all(sent) and {n for step in sent for n in step} == {1}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_texts_of_a_group_in_several_chunks(spark, docs, monkeypatch, broadcast):
+    rows = many_texts(300) + [(900, " ".join("ab" * 300)), (901, " ".join(str(n) for n in range(70000)))]
+    got, sent = in_tasks(spark, docs, monkeypatch, rows, 5, broadcast, 100)
+    assert sorted(got, key=key) == sorted(brute(rows, 5), key=key)
+    assert max(sent[0]) > 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sets(st.tuples(st.integers(0, 63), st.integers(0, 1 << 20), st.integers(1, 1 << 20)), min_size=1, max_size=30), max_size=3))
+def test_spans_round_trip(pieces):
+    want, data = {}, b""
+    for piece in map(sorted, pieces):
+        data += substring_dedup._packed_spans(*np.array(piece).T)
+        for text, begin, length in piece:
+            want.setdefault(text, []).append((begin, begin + length))
+    assert substring_dedup._unpacked_spans(data) == want
