@@ -12,12 +12,16 @@ bucket of hash values, one row of packed arrays (place in the chunk, hash), and
 answer comes back the same way, so no row is made per word or text, and equal hashes
 never meet as pairs: a bucket only says whether a hash has another place. The texts
 of a chunk may be any; a table of them goes with one of its rows. What is found goes
-to the texts packed for some neighbours at a time.
+to the texts packed for some neighbours at a time. Where most windows are near a hit,
+the extended ones are dealt out in turns, some buckets in each, so that the disk holds
+those of one turn.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,10 @@ CHUNK_WINDOWS = 1 << 21
 BUCKET_BYTES = 16 << 20
 #: Buckets up to which tasks get two each; beyond, only bytes ask for more.
 SPARE_BUCKETS = 2048
+#: Bytes that an extended window takes on its way, about.
+WINDOW_BYTES = 14
+#: Bytes of extended windows that travel in one turn, for each byte of text.
+TURN_BYTES = 1.25
 _BASE, _SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
@@ -87,14 +95,16 @@ def _columns(rows: list[tuple], names: tuple[str, ...], kinds: tuple) -> list[pa
     return [pa.array(c, k) for c, k in zip(columns, kinds)]
 
 
-def _chunk(parts: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
-    """The windows of some parts (segments, bucketing hashes, hashes to send), a packed row per bucket.
+def _chunk(parts: list[tuple], buckets: int, turn: int, turns: int) -> Iterator[pa.RecordBatch]:
+    """The windows of some parts (segments, bucketing hashes, hashes to send), a packed row per bucket of a turn.
 
     A window's place is its number in the chunk. The first row has the segments.
     """
     segments = np.concatenate([p[0] for p in parts])
     bucket = np.concatenate([(p[1] >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32) for p in parts])
-    order = np.argsort(bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64), kind="stable")
+    bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64)
+    own = np.flatnonzero(bucket % turns == turn) if turns > 1 else np.arange(len(bucket))
+    order = own[np.argsort(bucket[own], kind="stable")]
     hashes = [np.concatenate(x)[order] for x in zip(*(p[2] for p in parts))]
     bucket = bucket[order].astype(np.int64)
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
@@ -110,8 +120,8 @@ def _chunk(parts: list[tuple], buckets: int) -> Iterator[pa.RecordBatch]:
             rows, size = [], 0
 
 
-def _dealt(df: DataFrame, buckets: int, hashed) -> DataFrame:
-    """The windows that ``hashed`` makes of Arrow batches, dealt out by bucket."""
+def _dealt(df: DataFrame, hashed, buckets: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """The windows that ``hashed`` makes of Arrow batches, dealt out by bucket: those of a turn."""
     limit = CHUNK_WINDOWS
 
     def run(batches):
@@ -121,10 +131,10 @@ def _dealt(df: DataFrame, buckets: int, hashed) -> DataFrame:
                 parts.append(part)
                 windows += len(part[1])
                 if windows >= limit:
-                    yield from _chunk(parts, buckets)
+                    yield from _chunk(parts, buckets, turn, turns)
                     parts, windows = [], 0
         if parts:
-            yield from _chunk(parts, buckets)
+            yield from _chunk(parts, buckets, turn, turns)
 
     return df.mapInArrow(run, _ROW)
 
@@ -157,7 +167,7 @@ def _probes(copy: DataFrame, block: int, buckets: int) -> DataFrame:
             some = n > 0
             yield _segments(rows[low:high][some], np.zeros(some.sum(), np.int32), n[some]), hashes, [sent]
 
-    return _dealt(copy.select("_row", "text"), buckets, hashed)
+    return _dealt(copy.select("_row", "text"), hashed, buckets)
 
 
 def _answers(dealt: DataFrame, judge) -> DataFrame:
@@ -235,7 +245,7 @@ def _packed_spans(texts: np.ndarray, begins: np.ndarray, lengths: np.ndarray) ->
 
 
 def _unpacked_spans(data: bytes) -> dict[int, list[tuple[int, int]]]:
-    """By the place of a text in its group: begins and ends of its spans, ascending."""
+    """By the place of a text in its group: begins and ends of its spans, ascending, apart from each other."""
     found, at = {}, 0
     while at < len(data):
         n, *sizes = np.frombuffer(data, "<u4", 3, at).tolist()
@@ -246,7 +256,18 @@ def _unpacked_spans(data: bytes) -> dict[int, list[tuple[int, int]]]:
         text, begin, length = parts
         for t, b, e in zip(text.tolist(), begin.tolist(), (begin + length).tolist()):
             found.setdefault(t, []).append((b, e))
-    return found
+    return {t: _merged(spans) for t, spans in found.items()}
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans as runs: what overlaps or touches is one."""
+    runs: list[tuple[int, int]] = []
+    for begin, end in sorted(spans):
+        if runs and begin <= runs[-1][1]:
+            runs[-1] = (runs[-1][0], max(end, runs[-1][1]))
+        else:
+            runs.append((begin, end))
+    return runs
 
 
 def _own_spans(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int]]]:
@@ -260,11 +281,11 @@ def _own_spans(batch: pa.RecordBatch) -> Iterator[list[tuple[int, int]]]:
 
 def _beside(copy: DataFrame, spans: DataFrame, how: str) -> DataFrame:
     """Each row of a stored copy beside the spans of its group."""
-    return looked_up(copy.withColumn("_group", F.shiftright("_row", GROUP_BITS)), spans, "_group", how)
+    return looked_up(copy.withColumn("_group", F.shiftright("_row", GROUP_BITS)), spans.select("_group", "spans"), "_group", how)
 
 
 def _spans(answers: DataFrame, before: int, after: int) -> DataFrame:
-    """The words within ``before`` and ``after`` of picked places, as runs: _group, spans (packed).
+    """The words within ``before`` and ``after`` of picked places, as runs: _group, spans (packed), words.
 
     A chunk's answers are one per bucket and together no more than its windows.
     """
@@ -287,16 +308,21 @@ def _spans(answers: DataFrame, before: int, after: int) -> DataFrame:
             length, group, text = word[last] + after - begin, row >> GROUP_BITS, row & (1 << GROUP_BITS) - 1
             cuts = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
             for low, high in zip(cuts.tolist(), [*cuts[1:].tolist(), len(group)]):
-                made.append((int(group[low]), _packed_spans(text[low:high], begin[low:high], length[low:high])))
-        names = ("_group", "spans")
-        return pa.RecordBatch.from_arrays(_columns(made, names, (pa.int64(), pa.binary())), names=list(names))
+                spans = _packed_spans(text[low:high], begin[low:high], length[low:high])
+                made.append((int(group[low]), spans, int(length[low:high].sum())))
+        names = ("_group", "spans", "words")
+        return pa.RecordBatch.from_arrays(_columns(made, names, (pa.int64(), pa.binary(), pa.int64())), names=list(names))
 
     # texts of a group may be in several chunks, one text is in one
-    pieces = over_batches(gathered, "_group long, spans binary", work)
-    return pieces.groupBy("_group").agg(F.expr("aggregate(collect_list(spans), X'', (a, b) -> concat(a, b))").alias("spans"))
+    return _by_group(over_batches(gathered, "_group long, spans binary, words long", work))
+
+
+def _by_group(pieces: DataFrame) -> DataFrame:
+    joined = F.expr("aggregate(collect_list(spans), X'', (a, b) -> concat(a, b))")
+    return pieces.groupBy("_group").agg(joined.alias("spans"), F.sum("words").alias("words"))
 
 
-def _extended(near: DataFrame, width: int, buckets: int) -> DataFrame:
+def _extended(near: DataFrame, width: int, buckets: int, turn: int, turns: int) -> DataFrame:
     """Hashes of the windows of ``width`` words that begin in a row's spans, dealt out."""
 
     def hashed(batch: pa.RecordBatch):
@@ -317,7 +343,7 @@ def _extended(near: DataFrame, width: int, buckets: int) -> DataFrame:
             one, two = (run_hashes(run_hashes(flat, begin, end, base), at, at + width, base) for base in (_BASE, _SECOND))
             yield _segments(rows[low:high][text], first, n), one, [one, two.astype(np.uint32)]
 
-    return _dealt(near.select("_row", "text", "spans"), buckets, hashed)
+    return _dealt(near.select("_row", "text", "spans"), hashed, buckets, turn, turns)
 
 
 def repeated_spans(copy: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -329,7 +355,13 @@ def repeated_spans(copy: DataFrame, width: int = WIDTH) -> DataFrame:
     block = (width + 1) // 2
     hits = session.materialize(_spans(_hits(_probes(copy, block, buckets)), width - block, 1), "hits")
     near = _beside(copy, hits, "inner")
-    return session.materialize(_spans(_repeats(_extended(near, width, buckets)), 0, width), "repeats")
+    windows = hits.agg(F.sum("words")).first()[0] or 0
+    turns = max(1, math.ceil(windows * WINDOW_BYTES / max(1, size * TURN_BYTES)))
+    found = [
+        session.materialize(_spans(_repeats(_extended(near, width, buckets, turn, turns)), 0, width), "repeats")
+        for turn in range(turns)
+    ]
+    return found[0] if turns == 1 else session.materialize(_by_group(reduce(DataFrame.unionAll, found)), "repeats")
 
 
 def dedup(docs: DataFrame, keep: tuple = ("doc_id",), width: int = WIDTH) -> DataFrame:

@@ -127,4 +127,28 @@ def test_spans_round_trip(pieces):
         data += substring_dedup._packed_spans(*np.array(piece).T)
         for text, begin, length in piece:
             want.setdefault(text, []).append((begin, begin + length))
-    assert substring_dedup._unpacked_spans(data) == want
+    got = substring_dedup._unpacked_spans(data)
+    assert {t: runs(spans) for t, spans in want.items()} == got
+
+
+def runs(spans):
+    made = []
+    for begin, end in sorted(spans):
+        if made and begin <= made[-1][1]:
+            begin, end = made[-1][0], max(made.pop()[1], end)
+        made.append((begin, end))
+    return made
+
+
+def test_turns(spark, docs, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefgh") for _ in range(60)) for _ in range(40)]
+    rows = list(enumerate(texts + texts[:30] + [texts[0] + " z " + texts[1], "a b c", None]))
+    want = [tuple(r) for r in substring_dedup.dedup(docs(rows), width=5).collect()]
+    assert sorted(tuple(r[:4]) for r in want) == sorted(brute(rows, 5))
+    sent, real = [], substring_dedup._answers
+    monkeypatch.setattr(substring_dedup, "_answers", lambda dealt, *rest: sent.append(dealt.count()) or real(dealt, *rest))
+    monkeypatch.setattr(substring_dedup, "TURN_BYTES", 2.0)
+    got = [tuple(r) for r in substring_dedup.dedup(docs(rows), width=5).collect()]
+    assert sorted(got) == sorted(want)
+    assert len(sent) > 3 and min(sent) > 0
